@@ -1,8 +1,8 @@
-"""Column expressions the operators are made of."""
+"""Expressions the operators are made of, as columns or as SQL text."""
 
 from marketflow.functions.messages import (
     base_endpoint,
-    has_no_nulls,
+    has_nulls,
     magnitude,
     parse_message,
     top_levels,
@@ -13,7 +13,7 @@ from marketflow.functions.times import epoch_ms_to_timestamp, utc_date
 __all__ = [
     "base_endpoint",
     "epoch_ms_to_timestamp",
-    "has_no_nulls",
+    "has_nulls",
     "magnitude",
     "parse_message",
     "top_levels",

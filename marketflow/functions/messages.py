@@ -1,8 +1,10 @@
-"""Column expressions over exchange messages."""
+"""Expressions over exchange messages.
 
-from __future__ import annotations
+Those that go into wide projections are SQL text: dozens of columns built one call at a
+time cost the driver more than the whole projection as text.
+"""
 
-from decimal import Decimal
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from marketflow.schemas import BOOK_LEVELS, Kind
 
 # Larger than any book entry, so no element ever equals it.
-_ABSENT = Decimal("1000000000000")
+_ABSENT = "cast(1000000000000 as decimal(21,8))"
 
 # Python hashes an integer as its remainder by this prime; raw topics are keyed by that hash.
 _HASH_PRIME = 2**61 - 1
@@ -25,23 +27,23 @@ def parse_message(value: Column, kind: Kind) -> Column:
     return F.from_json(value.cast("string"), kind.wire_ddl).cast(kind.named_ddl)
 
 
-def top_levels(book: Column, levels: int = BOOK_LEVELS) -> Column:
+def top_levels(book: str, levels: int = BOOK_LEVELS) -> str:
     """The first levels of an order-book side, in the order sent."""
-    return F.slice(book, 1, levels)
+    return f"slice({book}, 1, {levels})"
 
 
-def has_no_nulls(book: Column) -> Column:
-    """True when no level and no number in a book side is null.
+def has_nulls(book: str) -> str:
+    """Whether a level or a number in a book side is null (a null side counts too).
 
     ``array_contains`` answers null instead of false when the array holds a null, and
     unlike a lambda it stays inside generated code.
     """
-    return F.array_contains(F.flatten(book), F.lit(_ABSENT).cast("decimal(21,8)")).isNotNull()
+    return f"array_contains(flatten({book}), {_ABSENT}) is null"
 
 
-def magnitude(value: Column) -> Column:
+def magnitude(value: str) -> str:
     """Absolute value; null where it does not fit a long."""
-    return F.when(value >= 0, value).otherwise(F.try_subtract(F.lit(0).cast("bigint"), value))
+    return f"if({value} >= 0, {value}, try_subtract(0L, {value}))"
 
 
 def topic_partition(event_time: Column, partitions: int) -> Column:

@@ -26,11 +26,11 @@ def normalize(raw: DataFrame, endpoint: str, carry: Sequence[str] = ("partition"
     flat = raw.select(*carry, F.inline(F.array(parse_message(F.col("value"), kind))))
 
     def column(field):
-        path = f"{kind.nested}.{field.name}" if "." in field.wire else field.name
+        path = f"`{kind.nested}`.`{field.name}`" if "." in field.wire else f"`{field.name}`"
         if field.logical == "millis":
-            return epoch_ms_to_timestamp(F.col(path)).alias(field.name)
-        if field.logical == "book":
-            return top_levels(F.col(path)).alias(field.name)
-        return F.col(path).alias(field.name)
+            path = epoch_ms_to_timestamp(path)
+        elif field.logical == "book":
+            path = top_levels(path)
+        return f"{path} as `{field.name}`"
 
-    return flat.select(*(column(f) for f in kind.fields), *carry)
+    return flat.selectExpr(*map(column, kind.fields), *carry)

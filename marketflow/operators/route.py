@@ -45,28 +45,32 @@ def route_raw(
         *carry,
         "doc",
         F.try_element_at(kinds, at("$[0].e", "string")).alias("kind"),
-        at("$[0].E").alias("event_time"),
-        (at("$[0]").isNotNull() & at("$[1]").isNull()).alias("well_formed"),
+        at("$[0].E", "bigint").alias("millis"),
+        F.schema_of_variant(at("$[0].E")).alias("time_type"),
+        (F.col("doc").isNull() | at("$[1]").isNotNull()).alias("malformed"),
         F.is_variant_null(at("$[0].result")).alias("is_ack"),
     )
-    time_type = F.schema_of_variant("event_time")
     is_object = F.startswith(F.schema_of_variant(at("$[0]")), F.lit("OBJECT"))
+    without_kind = (
+        F.when(at("$[0]").isNull(), "malformed").when(is_object, "unknown event").otherwise("not an object")
+    )
     reason = (
-        F.when(~F.col("well_formed"), "malformed")
+        F.when(F.col("malformed"), "malformed")
         .when(F.col("is_ack"), "acknowledgement")
-        .when(F.col("kind").isNull(), F.when(is_object, "unknown event").otherwise("not an object"))
-        .when(time_type.isNull() | (time_type == "VOID"), "no event time")
-        .when(time_type != "BIGINT", "bad event time")
+        .when(F.col("kind").isNull(), without_kind)
+        .when(F.coalesce("time_type", F.lit("VOID")) == "VOID", "no event time")
+        .when(F.col("time_type") != "BIGINT", "bad event time")
     )
-    accepted = fields.withColumn(REASON, reason)
+    # As in ``validate``, the generator keeps filters on the reason from repeating its making.
+    judged = fields.select("*", F.explode(F.array(reason)).alias(REASON))
     ok = F.col(REASON).isNull()
-    value = F.to_json(at("$[0]")) if rewrite_json else F.col("value").cast("string")
-    millis = F.try_variant_get("event_time", "$", "bigint")
-    return accepted.select(
+    text = F.col("value").cast("string")
+    value = F.when(ok, F.to_json(at("$[0]"))).otherwise(text) if rewrite_json else text
+    return judged.select(
         F.when(ok, F.col("kind")).alias("endpoint"),
         F.when(ok, F.concat("kind", F.lit("_raw"))).alias("topic"),
-        F.when(ok, topic_partition(millis, partitions)).alias("partition"),
-        F.when(ok, value).otherwise(F.col("value").cast("string")).alias("value"),
+        F.when(ok, topic_partition(F.col("millis"), partitions)).alias("partition"),
+        value.alias("value"),
         F.when(ok, at("$[0].s", "string")).alias("symbol"),
         F.when(ok & (F.col("kind") == "kline"), at("$[0].k.i", "string")).alias("interval"),
         REASON,

@@ -44,15 +44,14 @@ def table_rows(rows: DataFrame, endpoint: str) -> DataFrame:
     text is only kept with quarantined rows.
     """
     kind = kind_of(endpoint)
-    rejected = F.col(REASON).isNotNull()
-    return validate(rows, endpoint).select(
-        *kind.columns,
-        F.col("partition").cast("int").alias("partition"),
-        F.col("offset").cast("bigint").alias("offset"),
+    return validate(rows, endpoint).selectExpr(
+        *(f"`{c}`" for c in kind.columns),
+        "cast(partition as int) as partition",
+        "cast(offset as bigint) as offset",
         REASON,
-        F.when(rejected, F.col("value").cast("string")).alias(VALUE),
-        rejected.alias(REJECTED),
-        utc_date(F.col(kind.date_source)).alias(kind.date_column),
+        f"if({REASON} is not null, cast(value as string), null) as {VALUE}",
+        f"{REASON} is not null as {REJECTED}",
+        f"{utc_date(kind.date_source)} as {kind.date_column}",
     )
 
 
@@ -154,7 +153,7 @@ def create_tables(spark: SparkSession, endpoints: Iterable[str], database: str)
 def insert_rows(rows: DataFrame, endpoint: str, table: str) -> None:
     """Append rows fit for the table to a catalog table, laid out as in ``append_rows``."""
     kind = kind_of(endpoint)
-    dated = rows.select(*kind.columns, utc_date(F.col(kind.date_source)).alias(kind.date_column))
+    dated = rows.select(*kind.columns, F.expr(utc_date(kind.date_source)).alias(kind.date_column))
     laid_out = dated.hint("rebalance", kind.date_column, "symbol")
     laid_out.sortWithinPartitions(kind.date_column, *kind.sort_key).write.insertInto(table)
 
