@@ -198,7 +198,8 @@ def klines_compacted(spark, sf_dir):
 
 def _drained(spark, sf_dir, endpoints, messages) -> Pipeline:
     root = new_work_dir(spark)
-    pipeline = Pipeline(spark, endpoints, root, FileTopics(f"{root}/raw"), FileTopics(f"{root}/processed"))
+    raw, processed = FileTopics(f"{root}/raw"), FileTopics(f"{root}/processed", per_topic=True)
+    pipeline = Pipeline(spark, endpoints, root, raw, processed)
     pipeline.drain(messages)
     return pipeline
 

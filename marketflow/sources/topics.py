@@ -66,7 +66,7 @@ class KafkaTopics:
         options = {**self.source_options(topic), "endingOffsets": "latest"}
         return spark.read.format("kafka").options(**options).load().select("topic", *RECORD_COLUMNS)
 
-    def writer(self, records: DataFrame) -> DataStreamWriter:
+    def writer(self, records: DataFrame, topic: str | None = None) -> DataStreamWriter:
         """Sink for ``topic``, ``partition``, ``value``; Kafka assigns the offsets."""
         return (
             records.select("topic", "partition", "value")
@@ -79,30 +79,42 @@ class KafkaTopics:
 
 @dataclass(frozen=True)
 class FileTopics:
-    """Topics as Parquet files below ``path``, exactly once through the file sink's log."""
+    """Topics as Parquet files below ``path``, exactly once through the file sink's log.
+
+    A sink's folder belongs to one query: another query's batches would be taken for
+    batches already written. With ``per_topic`` every topic has a folder and a writing
+    query of its own; without, one query writes all topics.
+    """
 
     path: str
+    per_topic: bool = False
     files_per_trigger: int | None = None
 
     SCHEMA = "partition int, offset bigint, value string, topic string"
 
+    def _folder(self, topic: str) -> str:
+        return f"{self.path}/{topic}" if self.per_topic else self.path
+
     def read_stream(self, spark: SparkSession, topic: str, max_records: int | None = None) -> DataFrame:
         """``max_records`` does not apply: files are limited by count (``files_per_trigger``)."""
         reader = spark.readStream.schema(self.SCHEMA)
         if self.files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.files_per_trigger)
-        return reader.parquet(self.path).filter(F.col("topic") == topic).select("topic", *RECORD_COLUMNS)
+        files = reader.parquet(self._folder(topic))
+        return files.filter(F.col("topic") == topic).select("topic", *RECORD_COLUMNS)
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
-        files = spark.read.schema(self.SCHEMA).parquet(self.path)
+        files = spark.read.schema(self.SCHEMA).parquet(self._folder(topic))
         return files.filter(F.col("topic") == topic).select("topic", *RECORD_COLUMNS)
 
-    def writer(self, records: DataFrame) -> DataStreamWriter:
-        """Offsets of the records are kept, as no broker assigns them."""
+    def writer(self, records: DataFrame, topic: str | None = None) -> DataStreamWriter:
+        """Sink for records of ``topic``, or of all topics; offsets are kept, as no broker assigns them."""
+        if self.per_topic != (topic is not None):
+            raise ValueError("a folder per topic takes one topic's records, a shared folder one query for all topics")
         return (
             records.select("topic", "partition", F.col("offset").cast("bigint"), "value")
             .writeStream.outputMode("append")
             .format("parquet")
-            .option("path", self.path)
+            .option("path", self._folder(topic) if topic else self.path)
             .partitionBy("topic")
         )

@@ -94,7 +94,8 @@ def start_transform(
     rows = normalize(raw, kind.name, carry=("partition", "offset"))
     records = encode_processed(rows, kind.name, carry=("offset",))
     records = records.withColumn("topic", F.lit(kind.processed_topic))
-    return _start(sink.writer(records), checkpoint, f"transform-{kind.name}", live, rate)
+    writer = sink.writer(records, kind.processed_topic)
+    return _start(writer, checkpoint, f"transform-{kind.name}", live, rate)
 
 
 def _table_writer(rows: DataFrame, endpoint: str, path: str) -> DataStreamWriter:
@@ -152,7 +153,8 @@ class Pipeline:
     """All jobs for a set of endpoints over one folder and one pair of topic stores.
 
     Tables are ``<root>/tables/<table>``; every job's checkpoint is below
-    ``<root>/checkpoints``. Endpoints of one kind share their jobs.
+    ``<root>/checkpoints``. Endpoints of one kind share their jobs. A table's folder
+    belongs to one query, so a root is filled by ``load`` or by ``direct``, not both.
     """
 
     spark: SparkSession
