@@ -208,7 +208,7 @@ ORACLES = {
     "subscription_filter": f"""
         SELECT kind || '_raw' AS topic, {partition("ts")} AS partition, upper(event_type) AS symbol,
             bar AS "interval", event_id AS "offset"
-        FROM events, (VALUES ('trade', NULL), ('kline', '1h'), ('depth', NULL)) kinds(kind, bar)
+        FROM events, (VALUES ('trade', ''), ('kline', '1h'), ('depth', '')) kinds(kind, bar)
         WHERE event_type IN ('click', 'purchase')
     """,
     "subscription_pairs": """
@@ -241,6 +241,7 @@ ORACLES = {
         SELECT event_id AS "offset", {QUARANTINE_REASON} AS reject_reason
         FROM events WHERE ({QUARANTINE_REASON}) IS NOT NULL AND event_id % 71 <> 0
     """,
+    "stream_compacted": f"SELECT {AVG_PRICE_COLUMNS} FROM part",
     "backfilled_depths": f"""
         SELECT
             {seconds("ts")} AS timestamp_utc,

@@ -31,7 +31,7 @@ from marketflow.plans import adapters
 from marketflow.plans.batch import backfill, raw_to_rows
 from marketflow.sources.tables import (
     append_rows,
-    compact_klines,
+    compact_table,
     create_tables,
     insert_rows,
     read_quarantine,
@@ -126,7 +126,8 @@ def route_rejects(spark, sf_dir):
 def subscription_filter(spark, sf_dir):
     routed = route_raw(adapters.mixed(_rows(spark, sf_dir, "events")), carry=("offset",))
     kept = filter_subscribed(routed, Subscriptions.of(MARKETS, ENDPOINTS))
-    return kept.select("topic", "partition", "symbol", "interval", "offset")
+    interval = F.coalesce("interval", F.lit("")).alias("interval")
+    return kept.select("topic", "partition", "symbol", interval, "offset")
 
 
 def subscription_pairs_listed(spark, sf_dir):
@@ -190,9 +191,9 @@ def klines_compacted(spark, sf_dir):
         adapters.klines(_rows(spark, sf_dir, "events")), "kline", carry=("partition", "offset", "value")
     )
     append_rows(updates.filter(F.col("partition") < 4), "kline", log)
-    compact_klines(spark, log, target)
+    compact_table(spark, "kline", log, target)
     append_rows(updates.filter(F.col("partition") >= 4), "kline", log)
-    compact_klines(spark, log, target)
+    compact_table(spark, "kline", log, target)
     return comparable(spark.read.parquet(target).drop("open_date"))
 
 
@@ -229,6 +230,18 @@ def stream_quarantine(spark, sf_dir):
     return read_quarantine(spark, "trade", pipeline.table_path("trade")).select("offset", REASON)
 
 
+def stream_compacted(spark, sf_dir):
+    """Average prices of a stream-written table, compacted by date."""
+    root = new_work_dir(spark)
+    topics = FileTopics(f"{root}/raw")
+    pipeline = Pipeline(spark, ["avgPrice"], root, topics, topics)
+    pipeline.route(adapters.avg_prices(adapters.stream_rows(spark, sf_dir, "part"))).awaitTermination()
+    for query in pipeline.direct():
+        query.awaitTermination()
+    compact_table(spark, "avgPrice", pipeline.table_path("avgPrice"), f"{root}/compacted")
+    return comparable(spark.read.parquet(f"{root}/compacted").drop("event_date"))
+
+
 def backfilled_depths(spark, sf_dir):
     """Books routed to a stored topic by a stream, then appended to a table in batch."""
     root = new_work_dir(spark)
@@ -275,5 +288,6 @@ QUERIES = {
     "stream_trades": stream_trades,
     "stream_klines_latest": stream_klines_latest,
     "stream_quarantine": stream_quarantine,
+    "stream_compacted": stream_compacted,
     "backfilled_depths": backfilled_depths,
 }

@@ -2,7 +2,7 @@
 
 from marketflow.sources.tables import (
     append_rows,
-    compact_klines,
+    compact_table,
     create_tables,
     insert_rows,
     read_quarantine,
@@ -18,7 +18,7 @@ __all__ = [
     "KafkaTopics",
     "Rate",
     "append_rows",
-    "compact_klines",
+    "compact_table",
     "create_tables",
     "default_rate",
     "insert_rows",

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,6 +63,7 @@ def append_rows(rows: DataFrame, endpoint: str, path: str) -> None:
     large and merge small ones, so no task takes a whole symbol and files come out even.
     """
     kind = kind_of(endpoint)
+    check_batch_folder(rows.sparkSession, path)
     stored = table_rows(rows, endpoint)
     partitions = partition_columns(endpoint)
     (
@@ -108,23 +110,28 @@ def read_quarantine(spark: SparkSession, endpoint: str, path: str) -> DataFrame:
     return rows.select("partition", "offset", F.col(VALUE).alias("value"), REASON)
 
 
-def compact_klines(spark: SparkSession, log_path: str, target_path: str, since: str | None = None) -> None:
-    """Write the last update of every candlestick to ``target_path``.
+def compact_table(
+    spark: SparkSession, endpoint: str, path: str, target_path: str, since: str | None = None
+) -> None:
+    """Rewrite a table's fit rows to ``target_path``: few files per date, sorted by the sort key.
 
-    Dates are rebuilt whole from the log and replace the target's, so a job that failed
-    is simply run again. ``since`` (a UTC timestamp) limits the job to dates that got
-    log files at or after it; the others' files are not read.
+    Of a candlestick only the last update is written. Dates are rebuilt whole and replace
+    the target's, so a job that failed is simply run again. ``since`` (a UTC timestamp,
+    ``YYYY-MM-DDTHH:MM:SS``) limits the job to dates that got files after it; files of
+    other dates are not opened.
     """
-    kind = kind_of("kline")
-    log = _stored(spark, "kline", log_path).filter(~F.col(REJECTED))
+    kind = kind_of(endpoint)
+    rows = _stored(spark, endpoint, path).filter(~F.col(REJECTED))
     if since:
-        modified = F.col("_metadata.file_modification_time") >= F.lit(since + "+00:00").cast("timestamp")
+        recent = spark.read.schema(_stored_schema(kind)).option("modifiedAfter", since).option("timeZone", "UTC")
         # At most one row per calendar day (3.7 million in years 1 to 9999), so it can be broadcast.
-        touched = log.filter(modified).select(kind.date_column).distinct()
-        log = log.join(F.broadcast(touched), kind.date_column, "left_semi")
-    latest = latest_klines(log).select(*kind.columns, kind.date_column)
+        touched = recent.parquet(path).filter(~F.col(REJECTED)).select(kind.date_column).distinct()
+        rows = rows.join(F.broadcast(touched), kind.date_column, "left_semi")
+    if kind.name == "kline":
+        rows = latest_klines(rows)
     (
-        latest.hint("rebalance", kind.date_column, "symbol")
+        rows.select(*kind.columns, kind.date_column)
+        .hint("rebalance", kind.date_column, "symbol")
         .sortWithinPartitions(kind.date_column, *kind.sort_key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -133,6 +140,32 @@ def compact_klines(spark: SparkSession, log_path: str, target_path: str, since:
     )
 
 
+def _has_sink_log(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("text").load(f"{path}/_spark_metadata")
+    except AnalysisException:
+        return False
+    return True
+
+
+def check_batch_folder(spark: SparkSession, path: str) -> None:
+    """Refuse to append a batch where readers would not see it."""
+    if _has_sink_log(spark, path):
+        raise ValueError(f"{path} belongs to a stream; append batches to a folder of their own")
+
+
+def check_stream_folder(spark: SparkSession, path: str) -> None:
+    """Refuse to start a stream where it would hide a batch's files from readers."""
+    if _has_sink_log(spark, path):
+        return
+    try:
+        files = spark.read.format("text").option("recursiveFileLookup", "true").load(path).inputFiles()
+    except AnalysisException:
+        return
+    if files:
+        raise ValueError(f"{path} holds batches; give the stream a folder of its own")
+
+
 def create_tables(spark: SparkSession, endpoints: Iterable[str], database: str) -> list[str]:
     """Create each endpoint's table in the catalog unless it is there; returns the names.
 

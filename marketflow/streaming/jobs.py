@@ -26,7 +26,7 @@ from marketflow.operators import (
 from marketflow.operators.route import DEFAULT_PARTITIONS
 from marketflow.operators.validate import REASON
 from marketflow.schemas import distinct_kinds, kind_of
-from marketflow.sources.tables import partition_columns, table_rows
+from marketflow.sources.tables import check_stream_folder, partition_columns, table_rows
 from marketflow.sources.topics import FileTopics, KafkaTopics, Rate, default_rate
 
 Topics = FileTopics | KafkaTopics
@@ -99,6 +99,7 @@ def start_transform(
 
 
 def _table_writer(rows: DataFrame, endpoint: str, path: str) -> DataStreamWriter:
+    check_stream_folder(rows.sparkSession, path)
     return (
         table_rows(rows, endpoint)
         .writeStream.outputMode("append")

@@ -157,6 +157,21 @@ def test_a_shared_folder_takes_no_single_topic(spark, tmp_path, feed):
         start_routing(feed.stream(), FileTopics(str(tmp_path), per_topic=True), str(tmp_path / "c"))
 
 
+def test_batches_and_streams_do_not_share_a_folder(spark, tmp_path, feed):
+    feed.send(TRADE)
+    topics = FileTopics(str(tmp_path / "raw"))
+    start_routing(feed.stream(), topics, str(tmp_path / "c")).awaitTermination()
+    pipeline = Pipeline(spark, ["trade"], str(tmp_path), topics, topics)
+    finish(pipeline.direct())
+    with pytest.raises(ValueError):
+        backfill(spark, "trade", topics, pipeline.table_path("trade"))
+    backfill(spark, "trade", topics, str(tmp_path / "b" / "tables" / "trades"))
+    with pytest.raises(ValueError):
+        Pipeline(spark, ["trade"], str(tmp_path / "b"), topics, topics).direct()
+    finish(pipeline.direct())
+    assert read_table(spark, "trade", pipeline.table_path("trade")).count() == 1
+
+
 def test_default_rates():
     assert default_rate("trade") == default_rate("aggTrade") == Rate(1000, "500 milliseconds")
     for name in ("kline_3m", "avgPrice", "miniTicker", "ticker", "depth"):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import random
 import time
 from types import SimpleNamespace
@@ -25,7 +26,7 @@ from marketflow.operators import subscribe
 from marketflow.plans.batch import raw_to_rows
 from marketflow.sources import (
     append_rows,
-    compact_klines,
+    compact_table,
     create_tables,
     insert_rows,
     new_work_dir,
@@ -144,20 +145,44 @@ def test_compaction_rebuilds_only_touched_dates(spark, tmp_path):
     day1 = T0 - T0 % DAY
     day2 = day1 + DAY
     append_rows(stored_klines(spark, [kline("A", day1, day1, 1), kline("A", day2, day2, 2)]), "kline", log)
-    compact_klines(spark, log, target)
+    compact_table(spark, "kline", log, target)
     untouched = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "latest").glob("open_date=2023-11-14/*.parquet")}
-    time.sleep(1.1)
-    since = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
+    time.sleep(2.1)
+    since = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="seconds")
     append_rows(stored_klines(spark, [kline("A", day2, day2 + 1000, 3), kline("B", day2, day2, 4)]), "kline", log)
-    compact_klines(spark, log, target, since=since)
+    compact_table(spark, "kline", log, target, since=since)
     ids = [r.first_trade_id for r in spark.read.parquet(target).orderBy("first_trade_id").collect()]
     assert ids == [1, 3, 4]
     after = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "latest").glob("open_date=2023-11-14/*.parquet")}
     assert after == untouched
-    compact_klines(spark, log, target, since=since)
+    compact_table(spark, "kline", log, target, since=since)
     assert spark.read.parquet(target).count() == 3
 
 
+def test_compaction_opens_only_recent_files(spark, tmp_path):
+    log = str(tmp_path / "log")
+    append_rows(stored_klines(spark, [kline("A", T0, T0, 1)]), "kline", log)
+    compact_table(spark, "kline", log, str(tmp_path / "latest"), since="2100-01-01T00:00:00")
+    assert not list((tmp_path / "latest").glob("open_date=*"))
+
+
+def test_a_busy_symbol_is_written_in_parts(spark, tmp_path):
+    """One symbol and date holds every row; adaptive execution still splits the write."""
+    path = str(tmp_path / "trades")
+    source = spark.range(0, 60_000, 1, 8).select(
+        F.lit(json.dumps(TRADE)).alias("template"), F.lit(0).alias("partition"), F.col("id").alias("offset")
+    )
+    value = F.replace("template", F.lit('"t": 1'), F.concat(F.lit('"t": '), F.col("offset").cast("string")))
+    rows = normalize(source.withColumn("value", value), "trade", carry=("partition", "offset", "value"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    try:
+        append_rows(rows, "trade", path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "trades").rglob("*.parquet"))) > 1
+    assert read_table(spark, "trade", path).agg(F.count_distinct("trade_id")).first()[0] == 60_000
+
+
 def test_catalog_tables_are_created_once(spark, tmp_path):
     spark.sql(f"CREATE DATABASE tables_test LOCATION '{tmp_path / 'db'}'")
     try:
