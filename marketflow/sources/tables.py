@@ -57,17 +57,18 @@ def table_rows(rows: DataFrame, endpoint: str) -> DataFrame:
 
 
 def append_rows(rows: DataFrame, endpoint: str, path: str) -> None:
-    """Append a batch, laid out by date and symbol and sorted by the table's sort key.
+    """Append a batch, laid out by date and sorted by the table's sort key within files.
 
-    ``rebalance`` lets adaptive execution split a partition that a busy symbol makes too
-    large and merge small ones, so no task takes a whole symbol and files come out even.
+    ``rebalance`` by date lets adaptive execution split large dates by size and merge
+    small ones: files come out even, a task writes few dates, and no task takes a whole
+    symbol or date. The sort lets readers skip row groups and pages by symbol and time.
     """
     kind = kind_of(endpoint)
     check_batch_folder(rows.sparkSession, path)
     stored = table_rows(rows, endpoint)
     partitions = partition_columns(endpoint)
     (
-        stored.hint("rebalance", *partitions, "symbol")
+        stored.hint("rebalance", *partitions)
         .sortWithinPartitions(*partitions, *kind.sort_key)
         .write.mode("append")
         .partitionBy(*partitions)
@@ -131,7 +132,7 @@ def compact_table(
         rows = latest_klines(rows)
     (
         rows.select(*kind.columns, kind.date_column)
-        .hint("rebalance", kind.date_column, "symbol")
+        .hint("rebalance", kind.date_column)
         .sortWithinPartitions(kind.date_column, *kind.sort_key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -187,7 +188,7 @@ def insert_rows(rows: DataFrame, endpoint: str, table: str) -> None:
     """Append rows fit for the table to a catalog table, laid out as in ``append_rows``."""
     kind = kind_of(endpoint)
     dated = rows.select(*kind.columns, F.expr(utc_date(kind.date_source)).alias(kind.date_column))
-    laid_out = dated.hint("rebalance", kind.date_column, "symbol")
+    laid_out = dated.hint("rebalance", kind.date_column)
     laid_out.sortWithinPartitions(kind.date_column, *kind.sort_key).write.insertInto(table)
 
 

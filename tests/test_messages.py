@@ -160,21 +160,21 @@ def test_books_with_nulls_are_quarantined(spark):
     ) == ["incomplete bids", "incomplete asks", "missing asks", None, None]
 
 
-@pytest.mark.parametrize(
-    "price, expected",
-    [
-        ("1.123456785", "1.12345679"),
-        ("12345678.1", None),
-        (1.5, "1.5"),
-        ("", None),
-        ("x", None),
-        ("1e-9", "0"),
-        (None, None),
-    ],
-)
-def test_prices(spark, price, expected):
-    got = one(spark, "trade", {**TRADE, "p": price})["price"]
-    assert got == (None if expected is None else Decimal(expected))
+PRICES = [
+    ("1.123456785", "1.12345679"),
+    ("12345678.1", None),
+    (1.5, "1.5"),
+    ("", None),
+    ("x", None),
+    ("1e-9", "0"),
+    (None, None),
+]
+
+
+def test_prices(spark):
+    rows = normalize(raw(spark, *({**TRADE, "p": p} for p, _ in PRICES)), "trade", carry=("offset",))
+    got = [r.price for r in rows.orderBy("offset").collect()]
+    assert got == [None if expected is None else Decimal(expected) for _, expected in PRICES]
 
 
 def test_long_decimals_stay_exact(spark):
@@ -194,22 +194,22 @@ def test_broken_messages_lose_every_column(spark):
     assert reasons(spark, "kline", {**KLINE, "k": None})[0].startswith("missing first_trade_id, missing last_trade_id")
 
 
-@pytest.mark.parametrize(
-    "millis, expected",
-    [
-        (T0, AT),
-        (-1500, dt.datetime(1969, 12, 31, 23, 59, 59)),
-        (-1, dt.datetime(1970, 1, 1)),
-        (253_402_300_799_999, dt.datetime(9999, 12, 31, 23, 59, 59)),
-        (253_402_300_800_000, None),
-        (2**63 - 1, None),
-        (-(2**63), None),
-    ],
-)
-def test_instants(spark, millis, expected):
-    row = normalize(raw(spark, {**TRADE, "E": millis}), "trade").select(F.unix_seconds("timestamp_utc")).first()
-    seconds = None if expected is None else int((expected - dt.datetime(1970, 1, 1)).total_seconds())
-    assert row[0] == seconds
+INSTANTS = [
+    (T0, AT),
+    (-1500, dt.datetime(1969, 12, 31, 23, 59, 59)),
+    (-1, dt.datetime(1970, 1, 1)),
+    (253_402_300_799_999, dt.datetime(9999, 12, 31, 23, 59, 59)),
+    (253_402_300_800_000, None),
+    (2**63 - 1, None),
+    (-(2**63), None),
+]
+
+
+def test_instants(spark):
+    rows = normalize(raw(spark, *({**TRADE, "E": ms} for ms, _ in INSTANTS)), "trade", carry=("offset",))
+    got = [r[0] for r in rows.orderBy("offset").select(F.unix_seconds("timestamp_utc")).collect()]
+    epoch = dt.datetime(1970, 1, 1)
+    assert got == [None if at is None else int((at - epoch).total_seconds()) for _, at in INSTANTS]
 
 
 def test_repeated_hour_stays_apart(spark, zone):
@@ -250,53 +250,51 @@ def test_routes_of_every_kind(spark, case_sensitive):
     assert [r.interval for r in rows] == ["3m" if r.topic == "kline_raw" else None for r in rows]
 
 
-@pytest.mark.parametrize(
-    "message, reason",
-    [
-        ('{"result":null,"id":1}', "acknowledgement"),
-        ('{"result":null,"e":"trade","E":1}', "acknowledgement"),
-        ('{"result":1,"id":1}', "unknown event"),
-        ('{"result":1,"e":"trade","E":1}', None),
-        ('{"e":"bookTicker","E":1}', "unknown event"),
-        ('{"e":5,"E":1}', "unknown event"),
-        ('{"e":{"a":1},"E":1}', "unknown event"),
-        ('{"E":1}', "unknown event"),
-        ('{"e":"trade","s":"B"}', "no event time"),
-        ('{"e":"trade","E":null}', "no event time"),
-        ('{"e":"trade","E":"1700"}', "bad event time"),
-        ('{"e":"trade","E":1.5}', "bad event time"),
-        ('{"e":"trade","E":true}', "bad event time"),
-        ('{"e":"trade","E":99999999999999999999}', "bad event time"),
-        ("not json", "malformed"),
-        ("", "malformed"),
-        (None, "malformed"),
-        ('{"e":"trade","E":1', "malformed"),
-        ('{"e":"trade","E":1} trailing', "malformed"),
-        ('{"e":"trade","E":1}{"e":"trade","E":1}', "malformed"),
-        ('{"e":"trade","E":1},{"e":"trade","E":1}', "malformed"),
-        ('{"e":"trade","E":1,"E":2}', "malformed"),
-        ("[1,2]", "not an object"),
-        ('"result"', "not an object"),
-        ("null", "not an object"),
-        (' {"e":"trade","E":1} ', None),
-    ],
-)
-def test_route_reasons(spark, message, reason):
-    (row,) = routes(spark, message)
-    assert row.reject_reason == reason
-    assert (row.topic is None) == (row.partition is None) == (reason is not None)
-    assert row.value == message
-
-
-def python_partition(event_time, partitions):
-    return hash(event_time) % partitions
+ROUTED = [
+    ('{"result":null,"id":1}', "acknowledgement"),
+    ('{"result":null,"e":"trade","E":1}', "acknowledgement"),
+    ('{"result":1,"id":1}', "unknown event"),
+    ('{"result":1,"e":"trade","E":1}', None),
+    ('{"e":"bookTicker","E":1}', "unknown event"),
+    ('{"e":5,"E":1}', "unknown event"),
+    ('{"e":{"a":1},"E":1}', "unknown event"),
+    ('{"E":1}', "unknown event"),
+    ('{"e":"trade","s":"B"}', "no event time"),
+    ('{"e":"trade","E":null}', "no event time"),
+    ('{"e":"trade","E":"1700"}', "bad event time"),
+    ('{"e":"trade","E":1.5}', "bad event time"),
+    ('{"e":"trade","E":true}', "bad event time"),
+    ('{"e":"trade","E":99999999999999999999}', "bad event time"),
+    ("not json", "malformed"),
+    ("", "malformed"),
+    (None, "malformed"),
+    ('{"e":"trade","E":1', "malformed"),
+    ('{"e":"trade","E":1} trailing', "malformed"),
+    ('{"e":"trade","E":1}{"e":"trade","E":1}', "malformed"),
+    ('{"e":"trade","E":1},{"e":"trade","E":1}', "malformed"),
+    ('{"e":"trade","E":1,"E":2}', "malformed"),
+    ("[1,2]", "not an object"),
+    ('"result"', "not an object"),
+    ("null", "not an object"),
+    (' {"e":"trade","E":1} ', None),
+]
+
+
+def test_route_reasons(spark):
+    rows = routes(spark, *(message for message, _ in ROUTED))
+    assert [r.reject_reason for r in rows] == [reason for _, reason in ROUTED]
+    assert [r.value for r in rows] == [message for message, _ in ROUTED]
+    for row in rows:
+        assert (row.topic is None) == (row.partition is None) == (row.reject_reason is not None)
+
+
+EVENT_TIMES = [0, 1, T0, -1, -2, -10, 2**61 - 2, 2**61 - 1, 2**61, -(2**61), 2**63 - 1, -(2**63)]
 
 
-@pytest.mark.parametrize("millis", [0, 1, T0, -1, -2, -10, 2**61 - 2, 2**61 - 1, 2**61, -(2**61), 2**63 - 1, -(2**63)])
 @pytest.mark.parametrize("partitions", [1, 9, 16])
-def test_partition_is_the_hash_of_the_event_time(spark, millis, partitions):
-    (row,) = routes(spark, {"e": "trade", "E": millis}, partitions=partitions)
-    assert row.partition == python_partition(millis, partitions)
+def test_partition_is_the_hash_of_the_event_time(spark, partitions):
+    rows = routes(spark, *({"e": "trade", "E": ms} for ms in EVENT_TIMES), partitions=partitions)
+    assert [r.partition for r in rows] == [hash(ms) % partitions for ms in EVENT_TIMES]
 
 
 def test_rewritten_json(spark):
