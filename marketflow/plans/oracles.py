@@ -234,6 +234,7 @@ ORACLES = {
     "trades_table": f"SELECT {TRADE_COLUMNS} FROM events",
     "catalog_table": f"SELECT {AVG_PRICE_COLUMNS} FROM part",
     "klines_compacted": LATEST_KLINES,
+    "klines_recompacted": LATEST_KLINES,
     "stream_trades": f"SELECT {TRADE_COLUMNS} FROM events WHERE ({ROUTE_REASON}) IS NULL",
     "stream_klines_latest": LATEST_KLINES,
     # Broken JSON already ends at routing.

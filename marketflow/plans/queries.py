@@ -34,6 +34,7 @@ from marketflow.sources.tables import (
     compact_table,
     create_tables,
     insert_rows,
+    read_compacted,
     read_quarantine,
     read_table,
 )
@@ -184,16 +185,29 @@ def catalog_table(spark, sf_dir):
 
 
 def klines_compacted(spark, sf_dir):
-    """Candlestick updates appended to a log in two batches, compacted after each."""
+    """Candlestick updates appended to a log in two batches, compacted in between."""
     root = new_work_dir(spark)
     log, target = f"{root}/klines", f"{root}/klines_latest"
     updates = normalize(
         adapters.klines(_rows(spark, sf_dir, "events")), "kline", carry=("partition", "offset", "value")
     )
     append_rows(updates.filter(F.col("partition") < 4), "kline", log)
-    compact_table(spark, "kline", log, target)
+    since = compact_table(spark, "kline", log, target)
     append_rows(updates.filter(F.col("partition") >= 4), "kline", log)
-    compact_table(spark, "kline", log, target)
+    return comparable(read_compacted(spark, "kline", log, target, since))
+
+
+def klines_recompacted(spark, sf_dir):
+    """As ``klines_compacted``, read from the copy after a second, partial compaction."""
+    root = new_work_dir(spark)
+    log, target = f"{root}/klines", f"{root}/klines_latest"
+    updates = normalize(
+        adapters.klines(_rows(spark, sf_dir, "events")), "kline", carry=("partition", "offset", "value")
+    )
+    append_rows(updates.filter(F.col("offset") % 3 > 0), "kline", log)
+    since = compact_table(spark, "kline", log, target)
+    append_rows(updates.filter(F.col("offset") % 3 == 0), "kline", log)
+    compact_table(spark, "kline", log, target, since)
     return comparable(spark.read.parquet(target).drop("open_date"))
 
 
@@ -285,6 +299,7 @@ QUERIES = {
     "trades_table": trades_table,
     "catalog_table": catalog_table,
     "klines_compacted": klines_compacted,
+    "klines_recompacted": klines_recompacted,
     "stream_trades": stream_trades,
     "stream_klines_latest": stream_klines_latest,
     "stream_quarantine": stream_quarantine,

@@ -5,6 +5,7 @@ from marketflow.sources.tables import (
     compact_table,
     create_tables,
     insert_rows,
+    read_compacted,
     read_quarantine,
     read_table,
     register_views,
@@ -23,6 +24,7 @@ __all__ = [
     "default_rate",
     "insert_rows",
     "new_work_dir",
+    "read_compacted",
     "read_quarantine",
     "read_table",
     "register_views",

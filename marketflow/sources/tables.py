@@ -10,6 +10,7 @@ A folder takes one or the other: readers of a stream's folder see only what its
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -111,23 +112,38 @@ def read_quarantine(spark: SparkSession, endpoint: str, path: str) -> DataFrame:
     return rows.select("partition", "offset", F.col(VALUE).alias("value"), REASON)
 
 
+def _touched_dates(spark: SparkSession, kind: Kind, path: str, since: str) -> DataFrame:
+    """Dates of a table that got files after ``since``; older files are not opened.
+
+    At most one row per calendar day (3.7 million in years 1 to 9999), so it can be broadcast.
+    """
+    recent = spark.read.schema(_stored_schema(kind)).option("modifiedAfter", since).option("timeZone", "UTC")
+    return F.broadcast(recent.parquet(path).filter(~F.col(REJECTED)).select(kind.date_column).distinct())
+
+
 def compact_table(
-    spark: SparkSession, endpoint: str, path: str, target_path: str, since: str | None = None
-) -> None:
+    spark: SparkSession,
+    endpoint: str,
+    path: str,
+    target_path: str,
+    since: str | None = None,
+    overlap: dt.timedelta = dt.timedelta(days=1),
+) -> str:
     """Rewrite a table's fit rows to ``target_path``: few files per date, sorted by the sort key.
 
     Of a candlestick only the last update is written. Dates are rebuilt whole and replace
     the target's, so a job that failed is simply run again. ``since`` (a UTC timestamp,
-    ``YYYY-MM-DDTHH:MM:SS``) limits the job to dates that got files after it; files of
-    other dates are not opened.
+    ``YYYY-MM-DDTHH:MM:SS``) limits the job to dates that got files after it.
+
+    Returns the ``since`` of the next run: the start of this one less ``overlap``. A file
+    carries the time it was written but shows up when its batch commits, so the overlap
+    has to be longer than any batch takes; a date rebuilt once more comes out the same.
     """
     kind = kind_of(endpoint)
+    next_since = dt.datetime.now(dt.timezone.utc) - overlap
     rows = _stored(spark, endpoint, path).filter(~F.col(REJECTED))
     if since:
-        recent = spark.read.schema(_stored_schema(kind)).option("modifiedAfter", since).option("timeZone", "UTC")
-        # At most one row per calendar day (3.7 million in years 1 to 9999), so it can be broadcast.
-        touched = recent.parquet(path).filter(~F.col(REJECTED)).select(kind.date_column).distinct()
-        rows = rows.join(F.broadcast(touched), kind.date_column, "left_semi")
+        rows = rows.join(_touched_dates(spark, kind, path, since), kind.date_column, "left_semi")
     if kind.name == "kline":
         rows = latest_klines(rows)
     (
@@ -139,6 +155,24 @@ def compact_table(
         .partitionBy(kind.date_column)
         .parquet(target_path)
     )
+    return next_since.strftime("%Y-%m-%dT%H:%M:%S")
+
+
+def read_compacted(spark: SparkSession, endpoint: str, path: str, target_path: str, since: str) -> DataFrame:
+    """A compacted table with what was added after ``since``, the value its compaction returned.
+
+    Dates without new files come from the compacted copy as they are; only the others are
+    read from the table itself, so keep-latest is worked out anew for those alone.
+    """
+    kind = kind_of(endpoint)
+    touched = _touched_dates(spark, kind, path, since)
+    compacted_schema = T.StructType.fromDDL(f"{kind.table_ddl}, `{kind.date_column}` date")
+    compacted = spark.read.schema(compacted_schema).parquet(target_path)
+    settled = compacted.join(touched, kind.date_column, "left_anti")
+    added = _stored(spark, endpoint, path).filter(~F.col(REJECTED)).join(touched, kind.date_column, "left_semi")
+    if kind.name == "kline":
+        added = latest_klines(added)
+    return settled.select(*kind.columns).unionByName(added.select(*kind.columns))
 
 
 def _has_sink_log(spark: SparkSession, path: str) -> bool:

@@ -30,6 +30,7 @@ from marketflow.sources import (
     create_tables,
     insert_rows,
     new_work_dir,
+    read_compacted,
     read_quarantine,
     read_table,
     register_views,
@@ -145,11 +146,16 @@ def test_compaction_rebuilds_only_touched_dates(spark, tmp_path):
     day1 = T0 - T0 % DAY
     day2 = day1 + DAY
     append_rows(stored_klines(spark, [kline("A", day1, day1, 1), kline("A", day2, day2, 2)]), "kline", log)
-    compact_table(spark, "kline", log, target)
+    now = dt.datetime.now(dt.timezone.utc)
+    assert compact_table(spark, "kline", log, target) < (now - dt.timedelta(hours=23)).isoformat()
     untouched = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "latest").glob("open_date=2023-11-14/*.parquet")}
     time.sleep(2.1)
     since = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="seconds")
     append_rows(stored_klines(spark, [kline("A", day2, day2 + 1000, 3), kline("B", day2, day2, 4)]), "kline", log)
+    assert compact_table(spark, "kline", log, str(tmp_path / "x"), overlap=dt.timedelta(0)) > since
+    both = read_compacted(spark, "kline", log, target, since)
+    assert sorted(r.first_trade_id for r in both.collect()) == [1, 3, 4]
+    assert both.columns == list(KINDS["kline"].columns)
     compact_table(spark, "kline", log, target, since=since)
     ids = [r.first_trade_id for r in spark.read.parquet(target).orderBy("first_trade_id").collect()]
     assert ids == [1, 3, 4]
