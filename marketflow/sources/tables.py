@@ -13,7 +13,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +21,7 @@ from marketflow.functions import utc_date
 from marketflow.operators.latest import latest_klines
 from marketflow.operators.validate import REASON, validate
 from marketflow.schemas import Kind, distinct_kinds, kind_of
+from marketflow.sources.work import check_batch_folder
 
 REJECTED = "rejected"
 VALUE = "rejected_value"
@@ -175,32 +175,6 @@ def read_compacted(spark: SparkSession, endpoint: str, path: str, target_path: s
     return settled.select(*kind.columns).unionByName(added.select(*kind.columns))
 
 
-def _has_sink_log(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("text").load(f"{path}/_spark_metadata")
-    except AnalysisException:
-        return False
-    return True
-
-
-def check_batch_folder(spark: SparkSession, path: str) -> None:
-    """Refuse to append a batch where readers would not see it."""
-    if _has_sink_log(spark, path):
-        raise ValueError(f"{path} belongs to a stream; append batches to a folder of their own")
-
-
-def check_stream_folder(spark: SparkSession, path: str) -> None:
-    """Refuse to start a stream where it would hide a batch's files from readers."""
-    if _has_sink_log(spark, path):
-        return
-    try:
-        files = spark.read.format("text").option("recursiveFileLookup", "true").load(path).inputFiles()
-    except AnalysisException:
-        return
-    if files:
-        raise ValueError(f"{path} holds batches; give the stream a folder of its own")
-
-
 def create_tables(spark: SparkSession, endpoints: Iterable[str], database: str) -> list[str]:
     """Create each endpoint's table in the catalog unless it is there; returns the names.
 

@@ -66,6 +66,10 @@ class KafkaTopics:
         options = {**self.source_options(topic), "endingOffsets": "latest"}
         return spark.read.format("kafka").options(**options).load().select("topic", *RECORD_COLUMNS)
 
+    def sink_folder(self, topic: str | None = None) -> None:
+        """No folder: topics of a broker take records of any number of queries."""
+        return None
+
     def writer(self, records: DataFrame, topic: str | None = None) -> DataStreamWriter:
         """Sink for ``topic``, ``partition``, ``value``; Kafka assigns the offsets."""
         return (
@@ -92,7 +96,7 @@ class FileTopics:
 
     SCHEMA = "partition int, offset bigint, value string, topic string"
 
-    def _folder(self, topic: str) -> str:
+    def sink_folder(self, topic: str | None = None) -> str:
         return f"{self.path}/{topic}" if self.per_topic else self.path
 
     def read_stream(self, spark: SparkSession, topic: str, max_records: int | None = None) -> DataFrame:
@@ -100,11 +104,11 @@ class FileTopics:
         reader = spark.readStream.schema(self.SCHEMA)
         if self.files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.files_per_trigger)
-        files = reader.parquet(self._folder(topic))
+        files = reader.parquet(self.sink_folder(topic))
         return files.filter(F.col("topic") == topic).select("topic", *RECORD_COLUMNS)
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
-        files = spark.read.schema(self.SCHEMA).parquet(self._folder(topic))
+        files = spark.read.schema(self.SCHEMA).parquet(self.sink_folder(topic))
         return files.filter(F.col("topic") == topic).select("topic", *RECORD_COLUMNS)
 
     def writer(self, records: DataFrame, topic: str | None = None) -> DataStreamWriter:
@@ -115,6 +119,6 @@ class FileTopics:
             records.select("topic", "partition", F.col("offset").cast("bigint"), "value")
             .writeStream.outputMode("append")
             .format("parquet")
-            .option("path", self._folder(topic) if topic else self.path)
+            .option("path", self.sink_folder(topic))
             .partitionBy("topic")
         )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 
@@ -20,3 +21,34 @@ def new_work_dir(spark: SparkSession) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix="marketflow-")
     raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+
+
+def files_below(spark: SparkSession, path: str) -> list[str] | None:
+    """Visible files below a folder; null if there is no such folder or file."""
+    try:
+        return spark.read.format("text").option("recursiveFileLookup", "true").load(path).inputFiles()
+    except AnalysisException:
+        return None
+
+
+def has_sink_log(spark: SparkSession, path: str) -> bool:
+    return files_below(spark, f"{path}/_spark_metadata") is not None
+
+
+def check_batch_folder(spark: SparkSession, path: str) -> None:
+    """Refuse to append a batch where readers would not see it."""
+    if has_sink_log(spark, path):
+        raise ValueError(f"{path} belongs to a stream; append batches to a folder of their own")
+
+
+def check_stream_folder(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Refuse to start a stream into a folder that is another writer's.
+
+    Over a batch's files its log would hide them; over another query's log its first
+    batches would be passed over as already written.
+    """
+    if has_sink_log(spark, path):
+        if files_below(spark, f"{checkpoint}/metadata") is None:
+            raise ValueError(f"{path} belongs to a stream with another checkpoint")
+    elif files_below(spark, path):
+        raise ValueError(f"{path} holds batches; give the stream a folder of its own")

@@ -7,7 +7,7 @@ All jobs are map-only: no shuffle and no state.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,15 +26,24 @@ from marketflow.operators import (
 from marketflow.operators.route import DEFAULT_PARTITIONS
 from marketflow.operators.validate import REASON
 from marketflow.schemas import distinct_kinds, kind_of
-from marketflow.sources.tables import check_stream_folder, partition_columns, table_rows
+from marketflow.sources.tables import partition_columns, table_rows
 from marketflow.sources.topics import FileTopics, KafkaTopics, Rate, default_rate
+from marketflow.sources.work import check_stream_folder
 
 Topics = FileTopics | KafkaTopics
 
 
 def _start(
-    writer: DataStreamWriter, checkpoint: str, name: str, live: bool, rate: Rate | None = None
+    spark: SparkSession,
+    writer: DataStreamWriter,
+    folder: str | None,
+    checkpoint: str,
+    name: str,
+    live: bool,
+    rate: Rate | None = None,
 ) -> StreamingQuery:
+    if folder:
+        check_stream_folder(spark, folder, checkpoint)
     writer = writer.option("checkpointLocation", checkpoint).queryName(name)
     if not live:
         return writer.trigger(availableNow=True).start()
@@ -74,7 +83,7 @@ def start_routing(
             "value",
             "offset",
         )
-    return _start(sink.writer(records), checkpoint, "route", live)
+    return _start(messages.sparkSession, sink.writer(records), sink.sink_folder(), checkpoint, "route", live)
 
 
 def start_transform(
@@ -95,11 +104,11 @@ def start_transform(
     records = encode_processed(rows, kind.name, carry=("offset",))
     records = records.withColumn("topic", F.lit(kind.processed_topic))
     writer = sink.writer(records, kind.processed_topic)
-    return _start(writer, checkpoint, f"transform-{kind.name}", live, rate)
+    folder = sink.sink_folder(kind.processed_topic)
+    return _start(spark, writer, folder, checkpoint, f"transform-{kind.name}", live, rate)
 
 
 def _table_writer(rows: DataFrame, endpoint: str, path: str) -> DataStreamWriter:
-    check_stream_folder(rows.sparkSession, path)
     return (
         table_rows(rows, endpoint)
         .writeStream.outputMode("append")
@@ -128,7 +137,8 @@ def start_load(
     rate = rate or default_rate(kind.name)
     records = source.read_stream(spark, kind.processed_topic, _limit(rate, live))
     rows = decode_processed(records, kind.name, carry=("partition", "offset", "value"))
-    return _start(_table_writer(rows, kind.name, path), checkpoint, f"load-{kind.name}", live, rate)
+    writer = _table_writer(rows, kind.name, path)
+    return _start(spark, writer, path, checkpoint, f"load-{kind.name}", live, rate)
 
 
 def start_direct(
@@ -146,7 +156,8 @@ def start_direct(
     rate = rate or default_rate(kind.name)
     raw = source.read_stream(spark, kind.raw_topic, _limit(rate, live))
     rows = normalize(raw, kind.name, carry=("partition", "offset", "value"))
-    return _start(_table_writer(rows, kind.name, path), checkpoint, f"direct-{kind.name}", live, rate)
+    writer = _table_writer(rows, kind.name, path)
+    return _start(spark, writer, path, checkpoint, f"direct-{kind.name}", live, rate)
 
 
 @dataclass(frozen=True)
@@ -159,7 +170,7 @@ class Pipeline:
     """
 
     spark: SparkSession
-    endpoints: Iterable[str]
+    endpoints: Sequence[str]
     root: str
     raw: Topics
     processed: Topics

@@ -9,7 +9,7 @@ import pytest
 from marketflow import Subscriptions, latest_klines, normalize
 from marketflow.plans.batch import backfill, raw_to_rows
 from marketflow.sources import FileTopics, KafkaTopics, Rate, default_rate, read_quarantine, read_table
-from marketflow.streaming import Pipeline, await_any, start_routing
+from marketflow.streaming import Pipeline, await_any, start_direct, start_routing
 from test_messages import ALL, DEPTH, KLINE, T0, TRADE
 
 SCHEMA = "value string, offset bigint"
@@ -170,6 +170,10 @@ def test_batches_and_streams_do_not_share_a_folder(spark, tmp_path, feed):
         Pipeline(spark, ["trade"], str(tmp_path / "b"), topics, topics).direct()
     finish(pipeline.direct())
     assert read_table(spark, "trade", pipeline.table_path("trade")).count() == 1
+    with pytest.raises(ValueError):
+        start_direct(spark, "trade", topics, pipeline.table_path("trade"), str(tmp_path / "other"))
+    with pytest.raises(ValueError):
+        start_routing(feed.stream(), topics, str(tmp_path / "other"))
 
 
 def test_default_rates():
