@@ -49,7 +49,7 @@ ENDPOINTS = ["trade", "kline_3m", "kline_1h", "depth", ""]
 def comparable(df: DataFrame) -> DataFrame:
     def column(field):
         if isinstance(field.dataType, T.DecimalType):
-            return F.col(field.name).cast("string").alias(field.name)
+            return adapters.plain_text(F.col(field.name), field.dataType.scale).alias(field.name)
         if isinstance(field.dataType, T.TimestampType):
             return F.unix_seconds(field.name).alias(field.name)
         return F.col(field.name)
