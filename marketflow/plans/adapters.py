@@ -7,8 +7,6 @@ exchanges do.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,11 +52,8 @@ def amount(value: Column | str | int | float, scale: int = 8) -> Column:
 
 
 def plain_text(number: Column, scale: int) -> Column:
-    """A decimal in plain digits; outside ANSI mode the cast writes those below 1E-6 with an exponent."""
-    tiny = number.between(Decimal("-0.000001"), Decimal("0.000001"))
-    places = F.lpad((F.abs(number) * 10**scale).cast("bigint").cast("string"), scale, "0")
-    digits = F.concat(F.when(number < 0, "-0.").otherwise("0."), places)
-    return F.when(tiny, digits).otherwise(number.cast("string"))
+    """A decimal in plain digits; outside ANSI mode a cast writes those below 1E-6 with an exponent."""
+    return F.call_function("format_number", number, F.lit("0." + "0" * scale))
 
 
 def text(value: Column | str | int | float, scale: int = 8) -> Column:
