@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -10,17 +9,13 @@ from pyspark.sql import SparkSession
 
 
 def new_work_dir(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's ``spark.checkpoint.dir``.
+    """A fresh folder that driver and executors share.
 
-    Only a local session, whose executors share the driver's disk, may go without the
-    setting; it gets a temporary folder.
+    It lies below the cluster's ``spark.checkpoint.dir``, else below the warehouse, which
+    is shared wherever tables are. The rule is the same for every master.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/marketflow-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="marketflow-")
-    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/marketflow-{uuid.uuid4().hex}"
 
 
 def files_below(spark: SparkSession, path: str) -> list[str] | None:
