@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.llm.ann import approximate_nearest
+from marketflow.llm.chat import format_paths, parsed_turns, threads
+from marketflow.llm.mixing import mix
+from marketflow.llm.simhash import near_duplicates
 from marketflow.llm.topk import exact_top_k
 
 
@@ -18,12 +21,48 @@ def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
+def op3_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations formatted as trees of one path each; everything is read back from the output."""
+    said = F.lit("\\### Assistant: </turn> ok")
+    added = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.element_at(F.array(F.lit("user"), F.lit("assistant")), F.col("id").cast("int") + 1).alias("role"), said.alias("text"),
+    )
+    stored = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    messages = threads(stored.unionByName(added))
+    names = messages.filter("up IS NULL").select("tree", "conv_id")
+    parsed = format_paths(messages).select("tree", "formatted", "loss_spans", parsed_turns("formatted").alias("turns"))
+    line = F.lit("\n")
+    whole = F.transform("turns", lambda t: F.concat(t["role"], line, t["text"], line))
+    learned = F.transform("loss_spans", lambda s: F.get("turns", s["turn"])["text"])
+    texts = parsed.select(
+        "tree", "formatted", F.size("turns").cast("long").alias("n_turns"),
+        F.array_join(whole, "").alias("whole"), F.array_join(learned, "").alias("learned"),
+    )
+    return texts.join(names, "tree").select(
+        "conv_id", "n_turns", F.sha2("whole", 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op4_hash_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents"))
+
+
 def op6_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return approximate_nearest(vectors, F.col("vec_id") % 20 == 0, 20)
 
 
+def op7_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_topk": op1_exact_topk,
+    "op3_chat_trees": op3_chat_trees,
+    "op4_hash_mix": op4_hash_mix,
     "op6_graph_ann": op6_graph_ann,
+    "op7_pivot_simhash": op7_pivot_simhash,
 }
