@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from marketflow.llm.ann import approximate_nearest
 from marketflow.llm.chat import format_paths, parsed_turns, threads
 from marketflow.llm.mixing import mix
+from marketflow.llm.quality import quality
 from marketflow.llm.simhash import near_duplicates
 from marketflow.llm.topk import exact_top_k
+from marketflow.llm.toxicity import toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +23,10 @@ def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
+def op2_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations formatted as trees of one path each; everything is read back from the output."""
     said = F.lit("\\### Assistant: </turn> ok")
@@ -59,10 +65,16 @@ def op7_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_zstd_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_exact_topk": op1_exact_topk,
+    "op2_subword_quality": op2_subword_quality,
     "op3_chat_trees": op3_chat_trees,
     "op4_hash_mix": op4_hash_mix,
     "op6_graph_ann": op6_graph_ann,
     "op7_pivot_simhash": op7_pivot_simhash,
+    "op8_zstd_toxicity": op8_zstd_toxicity,
 }
