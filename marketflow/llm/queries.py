@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.llm.ann import approximate_nearest
+from marketflow.llm.bpe import encode_and_decode
 from marketflow.llm.chat import format_paths, parsed_turns, threads
 from marketflow.llm.mixing import mix
 from marketflow.llm.quality import quality
@@ -69,6 +71,10 @@ def op8_zstd_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_and_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_exact_topk": op1_exact_topk,
     "op2_subword_quality": op2_subword_quality,
@@ -77,4 +83,5 @@ QUERIES = {
     "op6_graph_ann": op6_graph_ann,
     "op7_pivot_simhash": op7_pivot_simhash,
     "op8_zstd_toxicity": op8_zstd_toxicity,
+    "op9_word_bpe": op9_word_bpe,
 }
