@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marketflow.llm.ann import approximate_nearest
 from marketflow.llm.bpe import encode_and_decode
 from marketflow.llm.chat import format_paths, parsed_turns, threads
+from marketflow.llm.lm import language_model_scores
 from marketflow.llm.mixing import mix
 from marketflow.llm.quality import quality
 from marketflow.llm.simhash import near_duplicates
@@ -58,6 +59,10 @@ def op4_hash_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
 
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(_table(spark, sf_dir, "documents"))
+
+
 def op6_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return approximate_nearest(vectors, F.col("vec_id") % 20 == 0, 20)
@@ -80,6 +85,7 @@ QUERIES = {
     "op2_subword_quality": op2_subword_quality,
     "op3_chat_trees": op3_chat_trees,
     "op4_hash_mix": op4_hash_mix,
+    "op5_kneser_ney": op5_kneser_ney,
     "op6_graph_ann": op6_graph_ann,
     "op7_pivot_simhash": op7_pivot_simhash,
     "op8_zstd_toxicity": op8_zstd_toxicity,
