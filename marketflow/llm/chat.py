@@ -57,23 +57,24 @@ def _jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
             F.lit(1).cast("long").alias("steps"), F.col("score").alias("total"),
         )
     )
-    levels, waiting = [level], level.filter("up IS NOT NULL").count()
-    while waiting:
-        above = level.select(
+    rooted, levels = level.filter("up IS NULL"), []
+    waiting, left = level.filter("up IS NOT NULL"), None
+    while (now := waiting.count()) and now != left:
+        levels.append(waiting.select("tree", "id", "up"))
+        # Only what has not reached its root is joined; all others are where paths may lead.
+        above = rooted.unionByName(waiting).select(
             "tree", F.col("id").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"),
             F.col("total").alias("added"),
         )
         level = materialize(
-            level.join(above, ["tree", "up"], "left").select(
-                "tree", "id", F.col("next").alias("up"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
-                (F.col("total") + F.coalesce("added", F.lit(0.0))).alias("total"),
+            waiting.join(above, ["tree", "up"]).select(
+                "tree", "id", F.col("next").alias("up"), (F.col("steps") + F.col("more")).alias("steps"),
+                (F.col("total") + F.col("added")).alias("total"),
             )
         )
-        still = level.filter("up IS NOT NULL").count()
-        if still == waiting:
-            break
-        levels, waiting = [*levels, level], still
-    return levels, level.filter("up IS NULL")
+        rooted = rooted.unionByName(level.filter("up IS NULL"))
+        waiting, left = level.filter("up IS NOT NULL"), now
+    return levels, rooted
 
 
 def chosen_paths(messages: DataFrame, paths_per_tree: int = 1) -> DataFrame:
@@ -84,8 +85,10 @@ def chosen_paths(messages: DataFrame, paths_per_tree: int = 1) -> DataFrame:
     message whose parent is missing is a root. Ties go to the smaller leaf id.
     """
     levels, scored = _jumps(messages.select("tree", "id", "up", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")))
-    answered = levels[0].filter("up IS NOT NULL").select("tree", F.col("up").alias("id")).distinct()
-    leaves = scored.join(answered, ["tree", "id"], "left_anti").withColumn("branch_score", F.col("total") / F.col("steps"))
+    leaves = scored
+    if levels:
+        leaves = scored.join(levels[0].select("tree", F.col("up").alias("id")).distinct(), ["tree", "id"], "left_anti")
+    leaves = leaves.withColumn("branch_score", F.col("total") / F.col("steps"))
     best = Window.partitionBy("tree").orderBy(F.desc("branch_score"), "id")
     members = (
         leaves.withColumn("rank", F.row_number().over(best))
@@ -93,8 +96,7 @@ def chosen_paths(messages: DataFrame, paths_per_tree: int = 1) -> DataFrame:
         .select("tree", F.col("id").alias("leaf"), "rank", "branch_score", "id", F.lit(0).cast("long").alias("before"))
     )
     for n, level in enumerate(levels):
-        jump = level.filter("up IS NOT NULL").select("tree", "id", "up")
-        further = members.join(jump, ["tree", "id"]).select(
+        further = members.join(level, ["tree", "id"]).select(
             "tree", "leaf", "rank", "branch_score", F.col("up").alias("id"), (F.col("before") + (1 << n)).alias("before")
         )
         members = materialize(members.unionByName(further))
