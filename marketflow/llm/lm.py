@@ -13,8 +13,6 @@ words that w follows, discounted likewise and mixed with a uniform share for unk
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketflow.llm.arrays import found, rows_by_bucket, runs, shared_folder, stored
 from marketflow.llm.common import id_remainder, materialize
 from marketflow.sources.work import new_work_dir
 
@@ -109,8 +108,7 @@ def _row(bucket: int, kind: str, *arrays: np.ndarray) -> pa.RecordBatch:
 
 def _split(buckets: np.ndarray, kind: str, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows of arrays, one per bucket; buckets are in order."""
-    starts = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])) if len(buckets) else np.empty(0, int)
-    for a, b in zip(starts, np.append(starts[1:], len(buckets))):
+    for a, b in runs(buckets):
         yield _row(int(buckets[a]), kind, *(x[a:b] for x in arrays))
 
 
@@ -145,30 +143,6 @@ def _arrays(data: list[bytes], *types) -> list[np.ndarray]:
     return [np.frombuffer(d, dtype=t) for d, t in zip(data, types)]
 
 
-def _stored(folder: str, name: str, *arrays: np.ndarray) -> None:
-    """Write arrays so that a file is there whole or not at all, whichever attempt ends first."""
-    for part, array in enumerate(arrays):
-        path = f"{folder}/{name}.{part}.npy"
-        draft = f"{path}.{uuid.uuid4().hex}"
-        with open(draft, "wb") as file:
-            np.save(file, array)
-        os.replace(draft, path)
-
-
-def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[list[bytes]]]]:
-    """Sorted rows as buckets with all their data."""
-    bucket, held = None, []
-    for batch in batches:
-        for b, data in zip(batch.column(0).to_pylist(), batch.column(2)):
-            if b != bucket and held:
-                yield bucket, held
-                held = []
-            bucket = b
-            held.append(data.as_py())
-    if held:
-        yield bucket, held
-
-
 def _merge_pairs(folder: str, bits: int):
     """Write each bucket's pairs; pass on what they say of their words and contexts."""
 
@@ -182,7 +156,7 @@ def _merge_pairs(folder: str, bits: int):
             contexts, *stats = summed(*(np.concatenate(c) for c in zip(*leads)))
             yield from _split(word_buckets(contexts, bits), "leads", contexts, *stats)
 
-        for bucket, rows in _by_bucket(batches):
+        for bucket, rows in rows_by_bucket(batches, 0, 2):
             parts = [_arrays(r, np.uint64, np.uint32, np.uint64, np.uint32) for r in rows]
             contexts = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
             tokens, counts = (np.concatenate([p[n] for p in parts]) for n in (2, 3))
@@ -192,7 +166,7 @@ def _merge_pairs(folder: str, bits: int):
             first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
             keys, contexts, tokens = keys[first], contexts[first], tokens[first]
             counts = np.add.reduceat(counts.astype(np.uint64), first)
-            _stored(folder, f"pairs-{bucket}", keys, counts.astype(np.uint32))
+            stored(folder, f"pairs-{bucket}", keys, counts.astype(np.uint32))
             of_counts += np.bincount(np.minimum(counts, 5).astype(np.int64), minlength=6)[1:]
             follows.append(summed(tokens, np.ones(len(tokens), dtype=np.uint64)))
             ones = [(counts == c).astype(np.uint64) for c in (1, 2)] + [(counts > 2).astype(np.uint64)]
@@ -213,7 +187,7 @@ def _merge_words(folder: str):
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, of_counts = np.zeros(3, dtype=np.int64), np.zeros(5, dtype=np.int64)
-        for bucket, rows in _by_bucket(batches):
+        for bucket, rows in rows_by_bucket(batches, 0, 2):
             keys, values = [], []
             for data in rows:
                 known = len(data)
@@ -229,7 +203,7 @@ def _merge_words(folder: str):
                 values.append(table)
             words, *columns = summed(np.concatenate(keys), *np.concatenate(values, axis=1))
             counts, heads = columns[0].astype(np.int64), columns[1].astype(np.int64)
-            _stored(folder, f"words-{bucket}", words, np.stack(columns, axis=1))
+            stored(folder, f"words-{bucket}", words, np.stack(columns, axis=1))
             sums += [counts.sum(), (counts > 0).sum(), heads.sum()]
             of_counts += np.bincount(np.minimum(heads[heads > 0], 5), minlength=6)[1:]
         yield _row(-1, "sums", sums)
@@ -265,19 +239,9 @@ class Model:
     def _looked_up(self, kind: str, buckets: np.ndarray, keys: np.ndarray, width: int) -> np.ndarray:
         """Values of keys, zeros where there are none, read from memory-mapped arrays."""
         out = np.zeros((len(keys), width), dtype=np.uint64)
-        order = np.lexsort((keys, buckets))
-        ranked = buckets[order]
-        starts = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(keys) else np.empty(0, int)
-        for a, b in zip(starts, np.append(starts[1:], len(order))):
-            path = f"{self.folder}/{kind}-{ranked[a]}"
-            if not os.path.exists(f"{path}.0.npy"):
-                continue
-            stored = np.load(f"{path}.0.npy", mmap_mode="r")
-            values = np.load(f"{path}.1.npy", mmap_mode="r").reshape(len(stored), -1)
-            asked = order[a:b]
-            at = np.minimum(np.searchsorted(stored, keys[asked]), len(stored) - 1)
-            hit = stored[at] == keys[asked]
-            out[asked[hit]] = values[at[hit]]
+        for asked, at, path in found(self.folder, kind, buckets, keys):
+            values = np.load(f"{path}.1.npy", mmap_mode="r")
+            out[asked] = values.reshape(len(values), -1)[at]
         return out
 
     def log_probabilities(self, block: TokenBlock) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -299,18 +263,8 @@ class Model:
         buckets = pair_buckets(block.contexts[first], block.tokens[first], self.bits)
         pairs = self._looked_up("pairs", buckets, distinct, 1)[back, 0].astype(np.float64)
         above = pairs - self.pair_discounts[np.minimum(pairs, 3).astype(np.int64)]
-        found = above / np.maximum(totals[before], 1) + free[before] * lower[token]
-        return np.log10(found), base[token], counts[token] > 0
-
-
-def shared_folder(path: str) -> str:
-    """A folder as tasks open it; memory maps need one that is mounted on every executor."""
-    if path.startswith("file:"):
-        path = "/" + path[5:].lstrip("/")
-    if "://" in path or not path.startswith("/"):
-        raise ValueError(f"{path} is not a mounted folder; give model_dir one that all executors mount")
-    os.makedirs(path, exist_ok=True)
-    return path
+        likely = above / np.maximum(totals[before], 1) + free[before] * lower[token]
+        return np.log10(likely), base[token], counts[token] > 0
 
 
 def fit(texts: DataFrame, model_dir: str | None = None, tokens_per_block: int = TOKENS_PER_BLOCK) -> Model:

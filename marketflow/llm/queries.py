@@ -12,6 +12,7 @@ from marketflow.llm.chat import format_paths, parsed_turns, threads
 from marketflow.llm.lm import language_model_scores
 from marketflow.llm.mixing import mix
 from marketflow.llm.quality import quality
+from marketflow.llm.repeats import removal_digests
 from marketflow.llm.simhash import near_duplicates
 from marketflow.llm.topk import exact_top_k
 from marketflow.llm.toxicity import toxicity
@@ -80,6 +81,10 @@ def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_topk": op1_exact_topk,
     "op2_subword_quality": op2_subword_quality,
@@ -90,4 +95,5 @@ QUERIES = {
     "op7_pivot_simhash": op7_pivot_simhash,
     "op8_zstd_toxicity": op8_zstd_toxicity,
     "op9_word_bpe": op9_word_bpe,
+    "op10_suffix_repeats": op10_suffix_repeats,
 }
