@@ -35,16 +35,17 @@ WHITE = r"\x09-\x0D \x85\xA0  -     　"
 WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE}\p{{L}}\p{{N}}]+")
 
 WORDS_PER_BLOCK = 4_000_000
-BUCKETS = 1024
+BUCKETS = 256
+LEVEL = 9
 WORDS_AT_ONCE = 20_000
 
 POSITIONS_DDL = "docs array<long>, sizes array<int>, positions binary"
-SHARED = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("numbers", pa.binary()), ("words", pa.binary())])
-IDS = pa.schema([("block", pa.int64()), ("numbers", pa.binary()), ("counts", pa.binary()), ("ids", pa.binary())])
+SHARED = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("steps", pa.binary()), ("words", pa.binary())])
+IDS = pa.schema([("block", pa.int64()), ("steps", pa.binary()), ("counts", pa.binary()), ("ids", pa.binary())])
 BLOCKS = pa.schema(
     [*SHARED, ("docs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("positions", pa.binary())]
 )
-BLOCKS_DDL = f"bucket int, block long, numbers binary, words binary, {POSITIONS_DDL}"
+BLOCKS_DDL = f"bucket int, block long, steps binary, words binary, {POSITIONS_DDL}"
 RESULT = pa.schema(
     [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
 )
@@ -64,10 +65,14 @@ def split_words(text: str) -> list[str]:
     return out
 
 
+def _squeezed(data: bytes) -> bytes:
+    return zstandard.compress(data, LEVEL)
+
+
 def packed(numbers: np.ndarray) -> bytes:
     """Numbers below 2**32 by byte planes, compressed."""
     planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.compress(planes.tobytes(), 3)
+    return _squeezed(planes.tobytes())
 
 
 def unpacked(data: bytes) -> np.ndarray:
@@ -95,16 +100,25 @@ class _Block:
         self.total += len(found)
 
     def rows(self, buckets: int) -> Iterator[pa.RecordBatch]:
-        positions = packed(np.concatenate(self.positions))
-        yield _row(BLOCKS, block=self.number, docs=self.docs, sizes=self.sizes, positions=positions)
+        """The block's positions and, by bucket, its words: numbered anew by count, then by name."""
+        words = sorted(self.index)
+        first = np.fromiter((self.index[w] for w in words), dtype=np.int64, count=len(words))
+        seen = np.concatenate(self.positions)
+        counts = np.bincount(seen, minlength=len(words))[first]
+        order = np.argsort(-counts, kind="stable")
+        number = np.empty(len(words), dtype=np.uint32)
+        number[first[order]] = np.arange(len(words))
+        yield _row(BLOCKS, block=self.number, docs=self.docs, sizes=self.sizes, positions=packed(number[seen]))
         by: list[list[str]] = [[] for _ in range(buckets)]
-        for word in sorted(self.index):
-            by[xxhash.xxh64_intdigest(word.encode()) % buckets].append(word)
-        for bucket, words in enumerate(by):
-            if words:
-                numbers = packed(np.array([self.index[w] for w in words]))
-                text = zstandard.compress("\n".join(words).encode(), 3)
-                yield _row(BLOCKS, bucket=bucket, block=self.number, numbers=numbers, words=text)
+        numbers: list[list[int]] = [[] for _ in range(buckets)]
+        for n, at in enumerate(order.tolist()):
+            bucket = xxhash.xxh64_intdigest(words[at].encode()) % buckets
+            by[bucket].append(words[at])
+            numbers[bucket].append(n)
+        for bucket, some in enumerate(by):
+            if some:
+                steps = packed(np.diff(numbers[bucket], prepend=0))
+                yield _row(BLOCKS, bucket=bucket, block=self.number, steps=steps, words=_squeezed("\n".join(some).encode()))
 
 
 def _row(schema: pa.Schema, **values) -> pa.RecordBatch:
@@ -145,7 +159,7 @@ def _encoded(path: str):
                     known.update((w, np.array(c.ids, dtype=np.uint32)) for w, c in zip(some, codes))
                 found = [known[w] for w in words]
                 counts, ids = np.array([len(f) for f in found]), np.concatenate(found)
-                yield _row(IDS, block=row["block"], numbers=row["numbers"], counts=packed(counts), ids=packed(ids))
+                yield _row(IDS, block=row["block"], steps=row["steps"], counts=packed(counts), ids=packed(ids))
 
     return encoded
 
@@ -163,7 +177,7 @@ def _digests(path: str):
             ids = unpacked(row["ids"])
             ends = np.cumsum(unpacked(row["counts"])).tolist()
             listed, raw, at = ids.tolist(), ids.tobytes(), 0
-            for number, end in zip(unpacked(row["numbers"]).tolist(), ends):
+            for number, end in zip(np.cumsum(unpacked(row["steps"])).tolist(), ends):
                 codes[number] = raw[4 * at : 4 * end]
                 texts[number] = b" ".join([pieces[i] for i in listed[at:end]])
                 at = end
@@ -193,11 +207,11 @@ def encode_and_decode(
     """
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     blocks = materialize(texts.mapInArrow(_blocks(words_per_block, buckets), BLOCKS_DDL))
-    asked = blocks.filter("bucket IS NOT NULL").select("bucket", "block", "numbers", "words")
+    asked = blocks.filter("bucket IS NOT NULL").select("bucket", "block", "steps", "words")
     ids = (
         asked.repartition("bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_encoded(tokenizer_path), "block long, numbers binary, counts binary, ids binary")
+        .mapInArrow(_encoded(tokenizer_path), "block long, steps binary, counts binary, ids binary")
     )
     positions = blocks.filter("bucket IS NULL").select("block", "docs", "sizes", "positions")
     both = positions.unionByName(ids, allowMissingColumns=True)
