@@ -1,16 +1,77 @@
-"""Raw documents to a deduplicated, mixed and encoded corpus, stage by stage."""
+"""Raw documents to a deduplicated, mixed and encoded corpus, stage by stage.
+
+Every stage takes the documents its predecessor kept. All but the last return the columns of
+``documents``; the last returns one row of digests per document.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marketflow.llm.bpe import encode_and_decode
+from marketflow.llm.common import materialize
+from marketflow.llm.labels import append_scores
+from marketflow.llm.mixing import mixing_plan, with_copies, with_hash
+from marketflow.llm.quality import THRESHOLD, fit_quality
+from marketflow.llm.repeats import without_repeats
+from marketflow.llm.simhash import near_duplicates
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier predicts as label 1 (op 2); others go."""
+    model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return append_scores(docs, model.scores, "_score").filter(F.col("_score") >= THRESHOLD).drop("_score")
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of each group of near duplicates (op 7); of rows that share an id, one.
+
+    Documents without an id all stay, as no id tells them from one another.
+    """
+    groups = near_duplicates(docs)
+    chosen = materialize(groups.filter("doc_id = component_id").select("doc_id").distinct())
+    kept = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter("doc_id IS NULL")).select(docs.columns)
+
+
+def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 100 bytes that also start earlier are cut out of texts (op 10); all documents stay."""
+    cut = without_repeats(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources brought to their targets (op 4): documents left out go, repeated ones come again."""
+    sized = with_hash(docs.withColumn("_row", F.struct(*docs.columns)).select("_row", "doc_id", "source", "text"))
+    numbers = materialize(sized.select("source", "size", "hash"))
+    taken = with_copies(sized, mixing_plan(numbers)).filter("times > 0")
+    return taken.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("_row.*")
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document that the mix holds, by digest (op 9)."""
+    return encode_and_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
+
 
-STAGES = []
+STAGES = [
+    ("quality", quality_stage),
+    ("near duplicates", near_duplicate_stage),
+    ("repeats", repeats_stage),
+    ("mixing", mixing_stage),
+    ("encoding", encoding_stage),
+]
 
+# SQL can express neither the classifier nor the tokenizer; tests compare with plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written before the next one reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = materialize(docs)
     return docs
