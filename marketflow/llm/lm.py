@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.llm.arrays import found, rows_by_bucket, runs, shared_folder, stored
-from marketflow.llm.common import id_remainder, materialize
+from marketflow.llm.common import id_remainder
 from marketflow.sources.work import new_work_dir
 
 TOKENS_PER_BLOCK = 4_000_000
@@ -35,8 +35,11 @@ END = np.uint64(xxhash.xxh64_intdigest(b"\n"))
 BEGIN = np.uint64(xxhash.xxh64_intdigest(b"\n\n"))
 HELD_OUT = 1
 
-PACKED = pa.schema([("bucket", pa.int64()), ("kind", pa.string()), ("data", pa.list_(pa.binary()))])
-PACKED_DDL = "bucket long, kind string, data array<binary>"
+#: Rows of a bucket: the kind of what follows, and arrays of it.
+PACKED = pa.schema([("bucket", pa.int64()), ("data", pa.list_(pa.binary()))])
+PACKED_DDL = "bucket long, data array<binary>"
+WORDS, PAIRS, FOLLOWS, LEADS = b"words", b"pairs", b"follows", b"leads"
+PAIR_COUNTS, SUMS, HEAD_COUNTS = b"pair counts", b"sums", b"head counts"
 
 
 def pair_keys(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -101,23 +104,30 @@ def summed(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     return [keys[first], *(np.add.reduceat(v[order], first) for v in values)]
 
 
-def _row(bucket: int, kind: str, *arrays: np.ndarray) -> pa.RecordBatch:
-    data = [np.ascontiguousarray(a).tobytes() for a in arrays]
-    return pa.record_batch([pa.array([bucket]), pa.array([kind]), pa.array([data], pa.list_(pa.binary()))], schema=PACKED)
+def _row(bucket: int, kind: bytes, *arrays: np.ndarray) -> pa.RecordBatch:
+    data = [kind, *(np.ascontiguousarray(a).tobytes() for a in arrays)]
+    return pa.record_batch([pa.array([bucket]), pa.array([data], pa.list_(pa.binary()))], schema=PACKED)
 
 
-def _split(buckets: np.ndarray, kind: str, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _split(buckets: np.ndarray, kind: bytes, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows of arrays, one per bucket; buckets are in order."""
     for a, b in runs(buckets):
         yield _row(int(buckets[a]), kind, *(x[a:b] for x in arrays))
 
 
+def _below(bucket: int) -> int:
+    """Buckets of words among those of pairs: numbers below zero, and back."""
+    return -1 - bucket
+
+
 def _count(bits: int, most: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = (t or b"" for batch in batches for t in batch.column(0).cast(pa.binary()).to_pylist())
         for block in token_blocks(texts, most):
             words, counts = np.unique(block.tokens, return_counts=True)
-            yield from _split(word_buckets(words, bits), "words", words, counts.astype(np.uint32))
+            counts, buckets = counts.astype(np.uint32), word_buckets(words, bits).astype(np.int64)
+            for a, b in runs(buckets):
+                yield _row(_below(int(buckets[a])), WORDS, words[a:b], counts[a:b])
             order = np.argsort(pair_keys(block.contexts, block.tokens))
             contexts, tokens = block.contexts[order], block.tokens[order]
             first = np.flatnonzero(np.append(True, (contexts[1:] != contexts[:-1]) | (tokens[1:] != tokens[:-1])))
@@ -125,26 +135,27 @@ def _count(bits: int, most: int):
             contexts, tokens = contexts[first], tokens[first]
             buckets = pair_buckets(contexts, tokens, bits)
             order = np.lexsort((tokens, contexts, buckets))
-            for batch in _split(buckets[order], "pairs", contexts[order], tokens[order], counts[order]):
-                yield _runs(batch)
+            buckets, contexts, tokens, counts = (x[order] for x in (buckets, contexts, tokens, counts))
+            for a, b in runs(buckets):
+                # Each context once, and how often it comes.
+                first = a + np.flatnonzero(np.append(True, contexts[a + 1 : b] != contexts[a : b - 1]))
+                lengths = np.diff(np.append(first, b)).astype(np.uint32)
+                yield _row(int(buckets[a]), PAIRS, contexts[first], lengths, tokens[a:b], counts[a:b])
 
     return count
 
 
-def _runs(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """A row of pairs with each context once, and how often it comes."""
-    contexts, tokens, counts = _arrays(batch.column(2)[0].as_py(), np.uint64, np.uint64, np.uint32)
-    first = np.flatnonzero(np.append(True, contexts[1:] != contexts[:-1]))
-    lengths = np.diff(np.append(first, len(contexts))).astype(np.uint32)
-    return _row(batch.column(0)[0].as_py(), "pairs", contexts[first], lengths, tokens, counts)
+def _arrays(data: list[bytes], *types) -> list[np.ndarray]:
+    """A row's arrays, after its kind."""
+    return [np.frombuffer(d, dtype=t) for d, t in zip(data[1:], types)]
 
 
-def _arrays(data: list[bytes], *types) -> list[np.ndarray]:
-    return [np.frombuffer(d, dtype=t) for d, t in zip(data, types)]
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    return counts.astype(np.min_scalar_type(int(counts.max()))) if counts.size else counts
 
 
 def _merge_pairs(folder: str, bits: int):
-    """Write each bucket's pairs; pass on what they say of their words and contexts."""
+    """Write each bucket's pairs; pass on what they say of their words and contexts, and words' counts."""
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         follows, leads, waiting = [], [], 0
@@ -152,11 +163,15 @@ def _merge_pairs(folder: str, bits: int):
 
         def passed() -> Iterator[pa.RecordBatch]:
             words, heads = summed(*(np.concatenate(c) for c in zip(*follows)))
-            yield from _split(word_buckets(words, bits), "follows", words, heads)
+            yield from _split(word_buckets(words, bits), FOLLOWS, words, heads)
             contexts, *stats = summed(*(np.concatenate(c) for c in zip(*leads)))
-            yield from _split(word_buckets(contexts, bits), "leads", contexts, *stats)
+            yield from _split(word_buckets(contexts, bits), LEADS, contexts, *stats)
 
-        for bucket, rows in rows_by_bucket(batches, 0, 2):
+        for bucket, rows in rows_by_bucket(batches):
+            if bucket < 0:
+                words, counts = (np.concatenate(c) for c in zip(*(_arrays(r, np.uint64, np.uint32) for r in rows)))
+                yield _row(_below(bucket), WORDS, *summed(words, counts.astype(np.uint64)))
+                continue
             parts = [_arrays(r, np.uint64, np.uint32, np.uint64, np.uint32) for r in rows]
             contexts = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
             tokens, counts = (np.concatenate([p[n] for p in parts]) for n in (2, 3))
@@ -166,7 +181,7 @@ def _merge_pairs(folder: str, bits: int):
             first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
             keys, contexts, tokens = keys[first], contexts[first], tokens[first]
             counts = np.add.reduceat(counts.astype(np.uint64), first)
-            stored(folder, f"pairs-{bucket}", keys, counts.astype(np.uint32))
+            stored(folder, f"pairs-{bucket}", keys, _narrow(counts))
             of_counts += np.bincount(np.minimum(counts, 5).astype(np.int64), minlength=6)[1:]
             follows.append(summed(tokens, np.ones(len(tokens), dtype=np.uint64)))
             ones = [(counts == c).astype(np.uint64) for c in (1, 2)] + [(counts > 2).astype(np.uint64)]
@@ -177,7 +192,7 @@ def _merge_pairs(folder: str, bits: int):
                 follows, leads, waiting = [], [], 0
         if follows:
             yield from passed()
-        yield _row(-1, "pair counts", of_counts)
+        yield _row(-1, PAIR_COUNTS, of_counts)
 
     return merged
 
@@ -187,27 +202,25 @@ def _merge_words(folder: str):
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, of_counts = np.zeros(3, dtype=np.int64), np.zeros(5, dtype=np.int64)
-        for bucket, rows in rows_by_bucket(batches, 0, 2):
+        for bucket, rows in rows_by_bucket(batches):
+            if bucket < 0:
+                for data in rows:
+                    yield _row(-1, data[0], *_arrays(data, np.int64))
+                continue
             keys, values = [], []
             for data in rows:
-                known = len(data)
-                words = np.frombuffer(data[0], dtype=np.uint64)
+                words, *numbers = _arrays(data, *[np.uint64] * (len(data) - 1))
                 table = np.zeros((6, len(words)), dtype=np.uint64)
-                if known == 2 and len(data[1]) == 4 * len(words):
-                    table[0] = np.frombuffer(data[1], dtype=np.uint32)
-                elif known == 2:
-                    table[1] = np.frombuffer(data[1], dtype=np.uint64)
-                else:
-                    table[2:] = [np.frombuffer(d, dtype=np.uint64) for d in data[1:]]
+                table[{WORDS: slice(0, 1), FOLLOWS: slice(1, 2), LEADS: slice(2, 6)}[data[0]]] = numbers
                 keys.append(words)
                 values.append(table)
             words, *columns = summed(np.concatenate(keys), *np.concatenate(values, axis=1))
             counts, heads = columns[0].astype(np.int64), columns[1].astype(np.int64)
-            stored(folder, f"words-{bucket}", words, np.stack(columns, axis=1))
+            stored(folder, f"words-{bucket}", words, _narrow(np.stack(columns, axis=1)))
             sums += [counts.sum(), (counts > 0).sum(), heads.sum()]
             of_counts += np.bincount(np.minimum(heads[heads > 0], 5), minlength=6)[1:]
-        yield _row(-1, "sums", sums)
-        yield _row(-1, "head counts", of_counts)
+        yield _row(-1, SUMS, sums)
+        yield _row(-1, HEAD_COUNTS, of_counts)
 
     return merged
 
@@ -276,26 +289,23 @@ def fit(texts: DataFrame, model_dir: str | None = None, tokens_per_block: int =
     spark = texts.sparkSession
     folder = shared_folder(model_dir or new_work_dir(spark))
     bits = max(1, (BUCKETS_PER_PARTITION * texts.rdd.getNumPartitions() - 1).bit_length())
-    counted = materialize(texts.mapInArrow(_count(bits, tokens_per_block), PACKED_DDL))
 
     def in_buckets(rows: DataFrame) -> DataFrame:
         return rows.repartition("bucket").sortWithinPartitions("bucket")
 
-    pairs = in_buckets(counted.filter("kind = 'pairs'")).mapInArrow(_merge_pairs(folder, bits), PACKED_DDL)
-    told = materialize(pairs)
-    words = counted.filter("kind = 'words'").unionByName(told.filter("bucket >= 0"))
-    sums = materialize(in_buckets(words).mapInArrow(_merge_words(folder), PACKED_DDL))
-    totals = {"pair counts": np.zeros(5, np.int64), "sums": np.zeros(3, np.int64), "head counts": np.zeros(5, np.int64)}
-    # Each number of every list is added up in Spark; three short rows come back.
-    said = told.filter("bucket = -1").unionByName(sums).select("kind", F.posexplode("data").alias("n", "bytes"))
-    for row in said.groupBy("kind", "bytes").count().collect():
-        totals[row["kind"]] += np.frombuffer(row["bytes"], dtype=np.int64) * row["count"]
-    tokens, distinct, heads = totals["sums"].tolist()
-    head_discounts = discounts(totals["head counts"])
-    of_heads = totals["head counts"].astype(np.float64)
+    counted = in_buckets(texts.mapInArrow(_count(bits, tokens_per_block), PACKED_DDL))
+    told = in_buckets(counted.mapInArrow(_merge_pairs(folder, bits), PACKED_DDL))
+    sums = told.mapInArrow(_merge_words(folder), PACKED_DDL)
+    totals = {PAIR_COUNTS: np.zeros(5, np.int64), SUMS: np.zeros(3, np.int64), HEAD_COUNTS: np.zeros(5, np.int64)}
+    # A few numbers per task come back.
+    for row in sums.collect():
+        totals[bytes(row["data"][0])] += np.frombuffer(row["data"][1], dtype=np.int64)
+    tokens, distinct, heads = totals[SUMS].tolist()
+    head_discounts = discounts(totals[HEAD_COUNTS])
+    of_heads = totals[HEAD_COUNTS].astype(np.float64)
     taken = (head_discounts[1:] * [of_heads[0], of_heads[1], of_heads[2:].sum()]).sum()
     free_heads = taken / heads if heads else 1.0
-    return Model(folder, bits, tokens, distinct, heads, discounts(totals["pair counts"]), head_discounts, free_heads)
+    return Model(folder, bits, tokens, distinct, heads, discounts(totals[PAIR_COUNTS]), head_discounts, free_heads)
 
 
 SCORES = pa.schema(
