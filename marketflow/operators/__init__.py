@@ -7,6 +7,7 @@ from marketflow.operators.route import rejected_messages, route_raw, routed_mess
 from marketflow.operators.subscribe import (
     Subscriptions,
     filter_subscribed,
+    is_subscribed,
     subscription_pairs,
 )
 from marketflow.operators.validate import quarantined_rows, split_valid, valid_rows, validate
@@ -16,6 +17,7 @@ __all__ = [
     "decode_processed",
     "encode_processed",
     "filter_subscribed",
+    "is_subscribed",
     "latest_klines",
     "normalize",
     "quarantined_rows",

@@ -8,29 +8,29 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Longer market lists are joined instead of being written into the plan.
-MAX_INLINE_MARKETS = 10_000
-
-
 @dataclass(frozen=True)
 class Subscriptions:
-    """Every combination of the listed markets and endpoints.
+    """Every combination of the listed markets and endpoints; ``markets`` null takes all markets.
 
     Markets go by lower case, blanks are skipped and an empty list is an error.
     """
 
-    markets: tuple[str, ...]
+    markets: tuple[str, ...] | None
     endpoints: tuple[str, ...]
 
     @classmethod
     def of(cls, markets: Iterable[str], endpoints: Iterable[str]) -> Subscriptions:
         listed = tuple(m.lower() for m in markets or () if m)
-        wanted = tuple(e for e in endpoints or () if e)
         if not listed:
             raise ValueError("no markets are given")
+        return cls(listed, cls.of_endpoints(endpoints).endpoints)
+
+    @classmethod
+    def of_endpoints(cls, endpoints: Iterable[str]) -> Subscriptions:
+        wanted = tuple(e for e in endpoints or () if e)
         if not wanted:
             raise ValueError("no endpoints are given")
-        return cls(listed, wanted)
+        return cls(None, wanted)
 
 
 def subscription_pairs(markets: DataFrame, endpoints: Iterable[str]) -> DataFrame:
@@ -48,18 +48,20 @@ def stream_name(endpoint: Column, interval: Column) -> Column:
     return F.concat_ws("_", endpoint, interval)
 
 
-def filter_subscribed(messages: DataFrame, subscriptions: Subscriptions) -> DataFrame:
-    """Keep messages whose market and endpoint are both subscribed.
+def is_subscribed(subscriptions: Subscriptions) -> Column:
+    """Whether a routed message's market and endpoint are both subscribed (never null).
 
     The subscribed pairs are all combinations of two lists, so membership of a pair is
-    membership in each list: two hash-set lookups per row and no join. Only a market list
-    too long for the plan is joined, by whichever strategy its size calls for.
+    membership in each list: two hash-set lookups per row and no join, however long the
+    lists are. An endpoint without an interval takes candlesticks of every interval.
     """
-    wanted = messages.filter(
-        stream_name(F.col("endpoint"), F.col("interval")).isin(*set(subscriptions.endpoints))
-    )
-    markets = set(subscriptions.markets)
-    if len(markets) <= MAX_INLINE_MARKETS:
-        return wanted.filter(F.lower("symbol").isin(*markets))
-    listed = messages.sparkSession.createDataFrame([(m,) for m in sorted(markets)], "market string")
-    return wanted.join(listed, F.lower(wanted["symbol"]) == listed["market"], "left_semi")
+    endpoints = sorted(set(subscriptions.endpoints))
+    wanted = stream_name(F.col("endpoint"), F.col("interval")).isin(*endpoints) | F.col("endpoint").isin(*endpoints)
+    if subscriptions.markets is not None:
+        wanted = wanted & F.lower("symbol").isin(*sorted(set(subscriptions.markets)))
+    return F.coalesce(wanted, F.lit(False))
+
+
+def filter_subscribed(messages: DataFrame, subscriptions: Subscriptions) -> DataFrame:
+    """Keep messages whose market and endpoint are both subscribed."""
+    return messages.filter(is_subscribed(subscriptions))

@@ -27,22 +27,16 @@ SCHEMAS = {
 HOUR_MS = 3_600_000
 
 
-def _dealt_out(spark: SparkSession, rows: DataFrame, splits: int) -> DataFrame:
-    """Deal a table too small to be split out to all cores; a large one is not shuffled."""
-    cores = spark.sparkContext.defaultParallelism
-    return rows if splits >= cores else rows.repartition(cores)
-
-
 def read_rows(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    rows = spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
-    return _dealt_out(spark, rows, rows.rdd.getNumPartitions())
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def stream_rows(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+def stream_rows(spark: SparkSession, sf_dir: str, table: str, files_per_trigger: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(SCHEMAS[table])
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     # A file source takes folders and globs; the glob also fits a table that is one file.
-    path = f"{sf_dir}/{table}.parquet*"
-    splits = spark.read.schema(SCHEMAS[table]).parquet(path).rdd.getNumPartitions()
-    return _dealt_out(spark, spark.readStream.schema(SCHEMAS[table]).parquet(path), splits)
+    return reader.parquet(f"{sf_dir}/{table}.parquet*")
 
 
 def amount(value: Column | str | int | float, scale: int = 8) -> Column:

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketflow.operators import normalize, valid_rows, validate
-from marketflow.schemas import kind_of
+from marketflow.operators import decode_processed, normalize, valid_rows, validate
+from marketflow.schemas import EVENT_MS, kind_of
 from marketflow.sources.tables import append_rows
 from marketflow.sources.topics import FileTopics, KafkaTopics
 
+# What a table folder keeps besides the table's columns.
+STORED = ("partition", "offset", "value", EVENT_MS)
+
 
 def raw_to_rows(raw: DataFrame, endpoint: str, *extra: str) -> DataFrame:
     """Table rows of one kind's raw messages, in table column order, then ``extra`` columns."""
@@ -16,7 +19,22 @@ def raw_to_rows(raw: DataFrame, endpoint: str, *extra: str) -> DataFrame:
     return valid_rows(validate(rows, endpoint), endpoint, *extra)
 
 
-def backfill(spark: SparkSession, endpoint: str, source: FileTopics | KafkaTopics, path: str) -> None:
-    """Append everything on a kind's raw topic to its table, laid out for reading."""
-    raw = source.read(spark, kind_of(endpoint).raw_topic)
-    append_rows(normalize(raw, endpoint, carry=("partition", "offset", "value")), endpoint, path)
+def backfill(
+    spark: SparkSession,
+    endpoint: str,
+    source: FileTopics | KafkaTopics,
+    path: str,
+    *,
+    start: int | None = None,
+    end: int | None = None,
+    processed: bool = False,
+) -> None:
+    """Append a kind's raw or processed topic, or a range of its offsets, to its table.
+
+    ``start`` is read and ``end`` is not. What the table holds already is skipped by topic
+    partition and offset, so a backfill may be run again, or again over a longer range.
+    """
+    kind = kind_of(endpoint)
+    records = source.read(spark, kind.processed_topic if processed else kind.raw_topic, start, end)
+    read = decode_processed if processed else normalize
+    append_rows(read(records, endpoint, carry=STORED), endpoint, path, skip_stored=True)

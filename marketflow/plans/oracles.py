@@ -71,7 +71,7 @@ SELECT {TABLE_KLINES}
 FROM events
 QUALIFY row_number() OVER (
     PARTITION BY event_type, epoch_us(ts) // 3600000000
-    ORDER BY {seconds("ts")} DESC, event_id DESC
+    ORDER BY {millis("ts")} DESC, event_id DESC
 ) = 1
 """
 
@@ -146,6 +146,7 @@ ORACLES = {
     """,
     "klines_normalized": f"SELECT {RAW_KLINES}, {partition('ts')} AS partition FROM events",
     "klines_latest": LATEST_KLINES,
+    "klines_latest_partitioned": LATEST_KLINES,
     "mini_tickers_normalized": f"""
         SELECT
             {seconds("o_orderdate")} AS timestamp_utc,
@@ -243,6 +244,19 @@ ORACLES = {
         FROM events WHERE ({QUARANTINE_REASON}) IS NOT NULL AND event_id % 71 <> 0
     """,
     "stream_compacted": f"SELECT {AVG_PRICE_COLUMNS} FROM part",
+    "stream_subscribed": f"SELECT {TRADE_COLUMNS} FROM events WHERE event_type = 'click'",
+    "stream_dead_letters": f"""
+        SELECT event_id AS "offset", {ROUTE_REASON} AS reject_reason,
+            CASE WHEN event_id % 83 = 0 THEN '{{"e":"tr' WHEN event_id % 79 = 0 THEN 'not json'
+                WHEN event_id % 73 = 0 THEN '{{"e":"tr' WHEN event_id % 71 = 0 THEN '[{{"e":"t' ELSE '{{"e":"tr' END AS begins
+        FROM events WHERE ({ROUTE_REASON}) NOT IN ('acknowledgement', 'unknown event')
+    """,
+    "stream_resumed": f"SELECT {TRADE_COLUMNS} FROM events",
+    "stream_rate_limited": """
+        SELECT upper(event_type) AS symbol, event_id AS id, kind FROM events, (VALUES ('trade'), ('depth')) kinds(kind)
+    """,
+    "backfilled_twice": f"SELECT {TRADE_COLUMNS} FROM events",
+    "backfilled_processed": LATEST_KLINES,
     "backfilled_depths": f"""
         SELECT
             {seconds("ts")} AS timestamp_utc,

@@ -6,6 +6,8 @@ as epoch seconds, order books as one row per level.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +30,8 @@ from marketflow.operators import (
 )
 from marketflow.operators.validate import REASON
 from marketflow.plans import adapters
-from marketflow.plans.batch import backfill, raw_to_rows
+from marketflow.operators.latest import VERSION
+from marketflow.plans.batch import STORED, backfill, raw_to_rows
 from marketflow.sources.tables import (
     append_rows,
     compact_table,
@@ -41,6 +44,7 @@ from marketflow.sources.tables import (
 from marketflow.sources.topics import FileTopics
 from marketflow.sources.work import new_work_dir
 from marketflow.streaming import Pipeline
+from marketflow.streaming.jobs import DEAD_LETTERS
 
 MARKETS = ["CLICK", "Purchase", ""]
 ENDPOINTS = ["trade", "kline_3m", "kline_1h", "depth", ""]
@@ -75,8 +79,15 @@ def klines_normalized(spark, sf_dir):
 
 
 def klines_latest(spark, sf_dir):
-    updates = raw_to_rows(adapters.klines(_rows(spark, sf_dir, "events")), "kline", "offset")
-    return comparable(latest_klines(updates).drop("offset"))
+    updates = raw_to_rows(adapters.klines(_rows(spark, sf_dir, "events")), "kline", *VERSION)
+    return comparable(latest_klines(updates).drop(*VERSION))
+
+
+def klines_latest_partitioned(spark, sf_dir):
+    """As ``klines_latest``; offsets rise within a topic partition and fall from one to the next."""
+    raw = adapters.klines(_rows(spark, sf_dir, "events"))
+    raw = raw.withColumn("offset", F.col("offset") + (9 - F.col("partition")) * 1_000_000_000_000)
+    return comparable(latest_klines(raw_to_rows(raw, "kline", *VERSION)).drop(*VERSION))
 
 
 def mini_tickers_normalized(spark, sf_dir):
@@ -168,15 +179,15 @@ def trades_table(spark, sf_dir):
     """Trades appended to a table folder and read back."""
     path = f"{new_work_dir(spark)}/trades"
     raw = adapters.trades(_rows(spark, sf_dir, "events"))
-    append_rows(normalize(raw, "trade", carry=("partition", "offset", "value")), "trade", path)
+    append_rows(normalize(raw, "trade", carry=STORED), "trade", path)
     return comparable(read_table(spark, "trade", path))
 
 
 def catalog_table(spark, sf_dir):
     """Average prices inserted into a catalog table that is created twice."""
-    root = new_work_dir(spark)
-    database = "marketflow_" + root[-8:].replace("-", "_").lower()
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root}'")
+    database = "marketflow_query"
+    spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{new_work_dir(spark)}'")
     (name,) = create_tables(spark, ["avgPrice"], database)
     create_tables(spark, ["avgPrice"], database)
     rows = raw_to_rows(adapters.avg_prices(_rows(spark, sf_dir, "part")), "avgPrice")
@@ -184,29 +195,26 @@ def catalog_table(spark, sf_dir):
     return comparable(spark.table(name).drop("event_date"))
 
 
-def klines_compacted(spark, sf_dir):
-    """Candlestick updates appended to a log in two batches, compacted in between."""
+def _compacted_klines(spark, sf_dir) -> tuple[str, str, str]:
+    """A log of updates that is compacted before the last of them come, all on even days."""
     root = new_work_dir(spark)
     log, target = f"{root}/klines", f"{root}/klines_latest"
-    updates = normalize(
-        adapters.klines(_rows(spark, sf_dir, "events")), "kline", carry=("partition", "offset", "value")
-    )
-    append_rows(updates.filter(F.col("partition") < 4), "kline", log)
-    since = compact_table(spark, "kline", log, target)
-    append_rows(updates.filter(F.col("partition") >= 4), "kline", log)
-    return comparable(read_compacted(spark, "kline", log, target, since))
+    updates = normalize(adapters.klines(_rows(spark, sf_dir, "events")), "kline", carry=STORED)
+    late = (F.col("partition") >= 4) & (F.dayofmonth("open_timestamp_utc") % 2 == 0)
+    append_rows(updates.filter(~late), "kline", log)
+    since = compact_table(spark, "kline", log, target, overlap=dt.timedelta(0))
+    append_rows(updates.filter(late), "kline", log)
+    return log, target, since
+
+
+def klines_compacted(spark, sf_dir):
+    """Candlestick updates appended to a log in two batches, compacted in between."""
+    return comparable(read_compacted(spark, "kline", *_compacted_klines(spark, sf_dir)))
 
 
 def klines_recompacted(spark, sf_dir):
     """As ``klines_compacted``, read from the copy after a second, partial compaction."""
-    root = new_work_dir(spark)
-    log, target = f"{root}/klines", f"{root}/klines_latest"
-    updates = normalize(
-        adapters.klines(_rows(spark, sf_dir, "events")), "kline", carry=("partition", "offset", "value")
-    )
-    append_rows(updates.filter(F.col("offset") % 3 > 0), "kline", log)
-    since = compact_table(spark, "kline", log, target)
-    append_rows(updates.filter(F.col("offset") % 3 == 0), "kline", log)
+    log, target, since = _compacted_klines(spark, sf_dir)
     compact_table(spark, "kline", log, target, since)
     return comparable(spark.read.parquet(target).drop("open_date"))
 
@@ -278,11 +286,85 @@ def backfilled_depths(spark, sf_dir):
     )
 
 
+def stream_subscribed(spark, sf_dir):
+    """Of several kinds and markets, one kind and market through the streaming stages."""
+    root = new_work_dir(spark)
+    topics = FileTopics(f"{root}/raw")
+    pipeline = Pipeline(spark, ["trade"], root, topics, topics, markets=["CLICK"])
+    pipeline.route(adapters.mixed(adapters.stream_rows(spark, sf_dir, "events"))).awaitTermination()
+    return comparable(raw_to_rows(spark.read.schema(topics.SCHEMA).parquet(topics.path), "trade"))
+
+
+def stream_dead_letters(spark, sf_dir):
+    """Disturbed trades routed for one market: what should have had a topic, and why it has none."""
+    root = new_work_dir(spark)
+    topics = FileTopics(f"{root}/raw")
+    pipeline = Pipeline(spark, ["trade"], root, topics, topics, markets=["CLICK"])
+    pipeline.route(adapters.disturbed_trades(adapters.stream_rows(spark, sf_dir, "events"))).awaitTermination()
+    lost = topics.read(spark, DEAD_LETTERS)
+    return lost.select("offset", F.substring("value", 1, 8).alias("begins"), F.col("key").alias(REASON))
+
+
+def stream_resumed(spark, sf_dir):
+    """Trades drained, more of them arriving, and drained again from the same checkpoints."""
+    root = new_work_dir(spark)
+    events = _rows(spark, sf_dir, "events")
+    pipeline = Pipeline(
+        spark, ["trade"], root, FileTopics(f"{root}/raw"), FileTopics(f"{root}/processed", per_topic=True)
+    )
+    for half in (0, 1):
+        events.filter(F.col("event_id") % 2 == half).write.mode("append").parquet(f"{root}/events.parquet")
+        pipeline.drain(adapters.trades(adapters.stream_rows(spark, root, "events")))
+    return comparable(read_table(spark, "trade", pipeline.table_path("trade")))
+
+
+def stream_rate_limited(spark, sf_dir):
+    """Two kinds at once, a file per micro-batch at every stage."""
+    root = new_work_dir(spark)
+    _rows(spark, sf_dir, "events").repartition(4).write.parquet(f"{root}/events.parquet")
+    topics = FileTopics(f"{root}/raw", files_per_trigger=1)
+    pipeline = Pipeline(spark, ["trade", "depth"], root, topics, topics)
+    pipeline.route(adapters.mixed(adapters.stream_rows(spark, root, "events", 1))).awaitTermination()
+    for query in pipeline.direct():
+        query.awaitTermination()
+    books = read_table(spark, "depth", pipeline.table_path("depth"))
+    trades = read_table(spark, "trade", pipeline.table_path("trade"))
+    return trades.select("symbol", F.col("trade_id").alias("id"), F.lit("trade").alias("kind")).unionByName(
+        books.select("symbol", F.col("first_update_id").alias("id"), F.lit("depth").alias("kind"))
+    )
+
+
+def backfilled_twice(spark, sf_dir):
+    """Half of a raw topic backfilled, then all of it, twice."""
+    root = new_work_dir(spark)
+    topics = FileTopics(f"{root}/raw")
+    pipeline = Pipeline(spark, ["trade"], root, topics, topics)
+    pipeline.route(adapters.trades(adapters.stream_rows(spark, sf_dir, "events"))).awaitTermination()
+    path = pipeline.table_path("trade")
+    backfill(spark, "trade", topics, path, start=100, end=5000)
+    for _ in range(2):
+        backfill(spark, "trade", topics, path)
+    return comparable(read_table(spark, "trade", path))
+
+
+def backfilled_processed(spark, sf_dir):
+    """Candlesticks backfilled from the processed topic, reduced to the last update."""
+    root = new_work_dir(spark)
+    processed = FileTopics(f"{root}/processed", per_topic=True)
+    pipeline = Pipeline(spark, ["kline_1h"], root, FileTopics(f"{root}/raw"), processed)
+    pipeline.route(adapters.klines(adapters.stream_rows(spark, sf_dir, "events"))).awaitTermination()
+    for query in pipeline.transform():
+        query.awaitTermination()
+    backfill(spark, "kline", processed, pipeline.table_path("kline"), processed=True)
+    return comparable(read_table(spark, "kline", pipeline.table_path("kline")))
+
+
 QUERIES = {
     "trades_normalized": trades_normalized,
     "agg_trades_normalized": agg_trades_normalized,
     "klines_normalized": klines_normalized,
     "klines_latest": klines_latest,
+    "klines_latest_partitioned": klines_latest_partitioned,
     "mini_tickers_normalized": mini_tickers_normalized,
     "tickers_normalized": tickers_normalized,
     "avg_prices_normalized": avg_prices_normalized,
@@ -304,5 +386,11 @@ QUERIES = {
     "stream_klines_latest": stream_klines_latest,
     "stream_quarantine": stream_quarantine,
     "stream_compacted": stream_compacted,
+    "stream_subscribed": stream_subscribed,
+    "stream_dead_letters": stream_dead_letters,
+    "stream_resumed": stream_resumed,
+    "stream_rate_limited": stream_rate_limited,
     "backfilled_depths": backfilled_depths,
+    "backfilled_twice": backfilled_twice,
+    "backfilled_processed": backfilled_processed,
 }

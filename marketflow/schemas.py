@@ -33,6 +33,10 @@ WIRE_TYPES = {
     "book": "array<array<decimal(18,8)>>",
 }
 
+# Extra column of stored updates: the event time in milliseconds, which the table's own
+# whole-second timestamp has lost. It orders the updates of a candlestick.
+EVENT_MS = "event_ms"
+
 # Event type on the wire -> message kind.
 EVENT_KINDS = {
     "aggTrade": "aggTrade",

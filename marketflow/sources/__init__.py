@@ -11,7 +11,7 @@ from marketflow.sources.tables import (
     register_views,
     table_rows,
 )
-from marketflow.sources.topics import FileTopics, KafkaTopics, Rate, default_rate
+from marketflow.sources.topics import FileTopics, KafkaTopics, Rate, published_rate
 from marketflow.sources.work import new_work_dir
 
 __all__ = [
@@ -21,7 +21,7 @@ __all__ = [
     "append_rows",
     "compact_table",
     "create_tables",
-    "default_rate",
+    "published_rate",
     "insert_rows",
     "new_work_dir",
     "read_compacted",

@@ -13,15 +13,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketflow.functions import utc_date
 from marketflow.operators.latest import latest_klines
 from marketflow.operators.validate import REASON, validate
-from marketflow.schemas import Kind, distinct_kinds, kind_of
-from marketflow.sources.work import check_batch_folder
+from marketflow.schemas import EVENT_MS, Kind, distinct_kinds, kind_of
+from marketflow.sources.work import claim_batch_folder, new_work_dir, owner_of
 
 REJECTED = "rejected"
 VALUE = "rejected_value"
@@ -33,7 +33,7 @@ def partition_columns(endpoint: str) -> tuple[str, str]:
 
 def _stored_schema(kind: Kind) -> T.StructType:
     ddl = (
-        f"{kind.table_ddl}, `partition` int, `offset` bigint, {REASON} string, {VALUE} string, "
+        f"{kind.table_ddl}, {EVENT_MS} bigint, `partition` int, `offset` bigint, {REASON} string, {VALUE} string, "
         f"{REJECTED} boolean, {kind.date_column} date"
     )
     return T.StructType.fromDDL(ddl)
@@ -42,12 +42,15 @@ def _stored_schema(kind: Kind) -> T.StructType:
 def table_rows(rows: DataFrame, endpoint: str) -> DataFrame:
     """Rows as a table folder stores them, fit and quarantined ones alike.
 
-    ``rows`` has the table's columns, ``partition``, ``offset`` and ``value``; the message
-    text is only kept with quarantined rows.
+    ``rows`` has the table's columns, ``partition``, ``offset`` and ``value``, and may have
+    ``event_ms`` (else the whole seconds stand in); the message text is only kept with
+    quarantined rows.
     """
     kind = kind_of(endpoint)
+    millis = EVENT_MS if EVENT_MS in rows.columns else "unix_seconds(timestamp_utc) * 1000"
     return validate(rows, endpoint).selectExpr(
         *(f"`{c}`" for c in kind.columns),
+        f"cast({millis} as bigint) as {EVENT_MS}",
         "cast(partition as int) as partition",
         "cast(offset as bigint) as offset",
         REASON,
@@ -57,15 +60,22 @@ def table_rows(rows: DataFrame, endpoint: str) -> DataFrame:
     )
 
 
-def append_rows(rows: DataFrame, endpoint: str, path: str) -> None:
+def append_rows(rows: DataFrame, endpoint: str, path: str, *, skip_stored: bool = False) -> None:
     """Append a batch, laid out by date and sorted by the table's sort key within files.
 
     ``rebalance`` by date lets adaptive execution split large dates by size and merge
     small ones: files come out even, a task writes few dates, and no task takes a whole
     symbol or date. The sort lets readers skip row groups and pages by symbol and time.
+    ``skip_stored`` leaves out what the table holds already, by topic partition and offset,
+    so that a batch may be run again; rows without a position are appended all the same.
     """
     kind = kind_of(endpoint)
-    check_batch_folder(rows.sparkSession, path)
+    spark = rows.sparkSession
+    stored_before = owner_of(spark, path) is not None
+    claim_batch_folder(spark, path)
+    if skip_stored and stored_before:
+        there = _stored(spark, endpoint, path).select("partition", "offset").distinct()
+        rows = rows.join(there, ["partition", "offset"], "left_anti")
     stored = table_rows(rows, endpoint)
     partitions = partition_columns(endpoint)
     (
@@ -112,13 +122,30 @@ def read_quarantine(spark: SparkSession, endpoint: str, path: str) -> DataFrame:
     return rows.select("partition", "offset", F.col(VALUE).alias("value"), REASON)
 
 
-def _touched_dates(spark: SparkSession, kind: Kind, path: str, since: str) -> DataFrame:
-    """Dates of a table that got files after ``since``; older files are not opened.
+def _touched_dates(spark: SparkSession, kind: Kind, path: str, since: str) -> tuple[DataFrame, Column] | None:
+    """Dates of a table that got files after ``since``, and their range; null if there is none.
 
-    At most one row per calendar day (3.7 million in years 1 to 9999), so it can be broadcast.
+    Older files are not opened. The dates are worked out once and kept in a work folder. The
+    range goes to the log as a static partition filter; with it the join on dates prunes
+    partitions at run time as well. At most one row per calendar day of the range is
+    broadcast (3.7 million in years 1 to 9999).
     """
     recent = spark.read.schema(_stored_schema(kind)).option("modifiedAfter", since).option("timeZone", "UTC")
-    return F.broadcast(recent.parquet(path).filter(~F.col(REJECTED)).select(kind.date_column).distinct())
+    dates, folder = kind.date_column, f"{new_work_dir(spark)}/touched"
+    recent.parquet(path).filter(~F.col(REJECTED)).select(dates).distinct().write.parquet(folder)
+    touched = spark.read.schema(f"`{dates}` date").parquet(folder)
+    first, last = touched.agg(F.min(dates), F.max(dates)).first()
+    if first is None:
+        return None
+    within = F.col(dates).between(F.lit(first), F.lit(last))
+    return F.broadcast(touched.filter(within)), within
+
+
+def _updates_of(spark: SparkSession, kind: Kind, path: str, touched: tuple[DataFrame, Column]) -> DataFrame:
+    """Fit rows of the touched dates; the files of other dates are not opened."""
+    dates, within = touched
+    rows = _stored(spark, kind.name, path).filter(~F.col(REJECTED) & within)
+    return rows.join(dates, kind.date_column, "left_semi")
 
 
 def compact_table(
@@ -132,8 +159,9 @@ def compact_table(
     """Rewrite a table's fit rows to ``target_path``: few files per date, sorted by the sort key.
 
     Of a candlestick only the last update is written. Dates are rebuilt whole and replace
-    the target's, so a job that failed is simply run again. ``since`` (a UTC timestamp,
-    ``YYYY-MM-DDTHH:MM:SS``) limits the job to dates that got files after it.
+    the target's, so a job that failed is simply run again; whoever reads the target has to
+    wait until the job is done. ``since`` (a UTC timestamp, ``YYYY-MM-DDTHH:MM:SS.ffffff``)
+    limits the job to dates that got files after it.
 
     Returns the ``since`` of the next run: the start of this one less ``overlap``. A file
     carries the time it was written but shows up when its batch commits, so the overlap
@@ -143,19 +171,38 @@ def compact_table(
     next_since = dt.datetime.now(dt.timezone.utc) - overlap
     rows = _stored(spark, endpoint, path).filter(~F.col(REJECTED))
     if since:
-        rows = rows.join(_touched_dates(spark, kind, path, since), kind.date_column, "left_semi")
+        touched = _touched_dates(spark, kind, path, since)
+        rows = _updates_of(spark, kind, path, touched) if touched else None
+    if rows is not None:
+        if kind.name == "kline":
+            rows = latest_klines(rows)
+        (
+            rows.select(*kind.columns, kind.date_column)
+            .hint("rebalance", kind.date_column)
+            .sortWithinPartitions(kind.date_column, *kind.sort_key)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(kind.date_column)
+            .parquet(target_path)
+        )
+    return next_since.strftime("%Y-%m-%dT%H:%M:%S.%f")
+
+
+def settled_and_added(
+    spark: SparkSession, endpoint: str, path: str, target_path: str, since: str
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of a compacted copy that still hold, and rows to be worked out anew from the log."""
+    kind = kind_of(endpoint)
+    compacted_schema = T.StructType.fromDDL(f"{kind.table_ddl}, `{kind.date_column}` date")
+    compacted = spark.read.schema(compacted_schema).parquet(target_path)
+    touched = _touched_dates(spark, kind, path, since)
+    if touched is None:
+        return compacted.select(*kind.columns), None
+    settled = compacted.join(touched[0], kind.date_column, "left_anti")
+    added = _updates_of(spark, kind, path, touched)
     if kind.name == "kline":
-        rows = latest_klines(rows)
-    (
-        rows.select(*kind.columns, kind.date_column)
-        .hint("rebalance", kind.date_column)
-        .sortWithinPartitions(kind.date_column, *kind.sort_key)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(kind.date_column)
-        .parquet(target_path)
-    )
-    return next_since.strftime("%Y-%m-%dT%H:%M:%S")
+        added = latest_klines(added)
+    return settled.select(*kind.columns), added.select(*kind.columns)
 
 
 def read_compacted(spark: SparkSession, endpoint: str, path: str, target_path: str, since: str) -> DataFrame:
@@ -164,15 +211,8 @@ def read_compacted(spark: SparkSession, endpoint: str, path: str, target_path: s
     Dates without new files come from the compacted copy as they are; only the others are
     read from the table itself, so keep-latest is worked out anew for those alone.
     """
-    kind = kind_of(endpoint)
-    touched = _touched_dates(spark, kind, path, since)
-    compacted_schema = T.StructType.fromDDL(f"{kind.table_ddl}, `{kind.date_column}` date")
-    compacted = spark.read.schema(compacted_schema).parquet(target_path)
-    settled = compacted.join(touched, kind.date_column, "left_anti")
-    added = _stored(spark, endpoint, path).filter(~F.col(REJECTED)).join(touched, kind.date_column, "left_semi")
-    if kind.name == "kline":
-        added = latest_klines(added)
-    return settled.select(*kind.columns).unionByName(added.select(*kind.columns))
+    settled, added = settled_and_added(spark, endpoint, path, target_path, since)
+    return settled if added is None else settled.unionByName(added)
 
 
 def create_tables(spark: SparkSession, endpoints: Iterable[str], database: str) -> list[str]:

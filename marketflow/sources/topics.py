@@ -7,6 +7,7 @@ Records have the columns ``topic``, ``partition``, ``offset`` and ``value``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -17,23 +18,24 @@ from pyspark.sql.streaming import DataStreamWriter
 from marketflow.operators.route import DEFAULT_PARTITIONS
 from marketflow.schemas import kind_of
 
-RECORD_COLUMNS = ("partition", "offset", "value")
+RECORD_COLUMNS = ("key", "partition", "offset", "value")
 
 
 @dataclass(frozen=True)
 class Rate:
-    """Most records per micro-batch and how often one starts."""
+    """Most records per micro-batch (null: all there are) and how often a live one starts."""
 
-    records: int
-    interval: str
+    records: int | None
+    interval: str = "0 seconds"
 
 
-# Live micro-batch limits of busy and of quiet kinds.
+# Published micro-batch limits of busy and of quiet kinds. Nothing is limited
+# unless a rate is given, as a live job falls behind for good once more than that arrives.
 BUSY = Rate(1000, "500 milliseconds")
 QUIET = Rate(10, "1 second")
 
 
-def default_rate(endpoint: str) -> Rate:
+def published_rate(endpoint: str) -> Rate:
     return BUSY if kind_of(endpoint).name in ("trade", "aggTrade") else QUIET
 
 
@@ -44,6 +46,7 @@ class KafkaTopics:
     bootstrap_servers: str
     partitions: int = DEFAULT_PARTITIONS
     options: Mapping[str, str] = field(default_factory=dict)
+    allow_data_loss: bool = False
 
     def source_options(self, topic: str, max_records: int | None = None) -> dict[str, str]:
         options = {
@@ -51,7 +54,7 @@ class KafkaTopics:
             "subscribe": topic,
             "startingOffsets": "earliest",
             "minPartitions": str(self.partitions),
-            "failOnDataLoss": "false",
+            "failOnDataLoss": str(not self.allow_data_loss).lower(),
         }
         if max_records:
             options["maxOffsetsPerTrigger"] = str(max_records)
@@ -61,9 +64,19 @@ class KafkaTopics:
         options = self.source_options(topic, max_records)
         return spark.readStream.format("kafka").options(**options).load().select("topic", *RECORD_COLUMNS)
 
-    def read(self, spark: SparkSession, topic: str) -> DataFrame:
-        """Everything on the topic so far, for backfills."""
-        options = {**self.source_options(topic), "endingOffsets": "latest"}
+    def range_options(self, topic: str, start: int | None = None, end: int | None = None) -> dict[str, str]:
+        """The same offsets in every partition; ``start`` is read, ``end`` is not."""
+
+        def offsets(offset: int | None, otherwise: str) -> str:
+            every = {str(p): offset for p in range(self.partitions)}
+            return otherwise if offset is None else json.dumps({topic: every})
+
+        ends = {"startingOffsets": offsets(start, "earliest"), "endingOffsets": offsets(end, "latest")}
+        return {**self.source_options(topic), **ends}
+
+    def read(self, spark: SparkSession, topic: str, start: int | None = None, end: int | None = None) -> DataFrame:
+        """What is on the topic so far, or a range of offsets, for backfills."""
+        options = self.range_options(topic, start, end)
         return spark.read.format("kafka").options(**options).load().select("topic", *RECORD_COLUMNS)
 
     def sink_folder(self, topic: str | None = None) -> None:
@@ -73,7 +86,7 @@ class KafkaTopics:
     def writer(self, records: DataFrame, topic: str | None = None) -> DataStreamWriter:
         """Sink for ``topic``, ``partition``, ``value``; Kafka assigns the offsets."""
         return (
-            records.select("topic", "partition", "value")
+            records.select("topic", "partition", *(c for c in records.columns if c == "key"), "value")
             .writeStream.outputMode("append")
             .format("kafka")
             .option("kafka.bootstrap.servers", self.bootstrap_servers)
@@ -94,29 +107,36 @@ class FileTopics:
     per_topic: bool = False
     files_per_trigger: int | None = None
 
-    SCHEMA = "partition int, offset bigint, value string, topic string"
+    SCHEMA = "key string, partition int, offset bigint, value string, topic string"
 
     def sink_folder(self, topic: str | None = None) -> str:
         return f"{self.path}/{topic}" if self.per_topic else self.path
 
     def read_stream(self, spark: SparkSession, topic: str, max_records: int | None = None) -> DataFrame:
-        """``max_records`` does not apply: files are limited by count (``files_per_trigger``)."""
+        """Files are limited by count (``files_per_trigger``); records cannot be."""
+        if max_records:
+            raise ValueError("file topics are limited by files_per_trigger, not by records")
         reader = spark.readStream.schema(self.SCHEMA)
         if self.files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.files_per_trigger)
         files = reader.parquet(self.sink_folder(topic))
         return files.filter(F.col("topic") == topic).select("topic", *RECORD_COLUMNS)
 
-    def read(self, spark: SparkSession, topic: str) -> DataFrame:
+    def read(self, spark: SparkSession, topic: str, start: int | None = None, end: int | None = None) -> DataFrame:
         files = spark.read.schema(self.SCHEMA).parquet(self.sink_folder(topic))
+        if start is not None:
+            files = files.filter(F.col("offset") >= start)
+        if end is not None:
+            files = files.filter(F.col("offset") < end)
         return files.filter(F.col("topic") == topic).select("topic", *RECORD_COLUMNS)
 
     def writer(self, records: DataFrame, topic: str | None = None) -> DataStreamWriter:
         """Sink for records of ``topic``, or of all topics; offsets are kept, as no broker assigns them."""
         if self.per_topic != (topic is not None):
             raise ValueError("a folder per topic takes one topic's records, a shared folder one query for all topics")
+        key = (F.col("key") if "key" in records.columns else F.lit(None)).cast("string").alias("key")
         return (
-            records.select("topic", "partition", F.col("offset").cast("bigint"), "value")
+            records.select("topic", key, "partition", F.col("offset").cast("bigint"), "value")
             .writeStream.outputMode("append")
             .format("parquet")
             .option("path", self.sink_folder(topic))

@@ -6,6 +6,10 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+# Readers pass over names that begin so.
+_OWNER = "_owner"
 
 
 def new_work_dir(spark: SparkSession) -> str:
@@ -18,32 +22,30 @@ def new_work_dir(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/marketflow-{uuid.uuid4().hex}"
 
 
-def files_below(spark: SparkSession, path: str) -> list[str] | None:
-    """Visible files below a folder; null if there is no such folder or file."""
+def owner_of(spark: SparkSession, path: str) -> str | None:
+    """Who writes to a folder, from a marker file in it; null if nobody has yet."""
     try:
-        return spark.read.format("text").option("recursiveFileLookup", "true").load(path).inputFiles()
+        return spark.read.text(f"{path}/{_OWNER}").first()[0]
     except AnalysisException:
         return None
 
 
-def has_sink_log(spark: SparkSession, path: str) -> bool:
-    return files_below(spark, f"{path}/_spark_metadata") is not None
+def claim_folder(spark: SparkSession, path: str, owner: str) -> None:
+    """Mark a folder as ``owner``'s, or fail if it is another's.
 
+    Readers of a stream's folder see only what its log lists, so batches would not be seen
+    there; over a batch's files, or another query's log, a stream would lose rows.
+    """
+    known = owner_of(spark, path)
+    if known is None:
+        spark.range(1).select(F.lit(owner).alias("value")).coalesce(1).write.text(f"{path}/{_OWNER}")
+    elif known != owner:
+        raise ValueError(f"{path} belongs to {known}; give {owner} a folder of its own")
 
-def check_batch_folder(spark: SparkSession, path: str) -> None:
-    """Refuse to append a batch where readers would not see it."""
-    if has_sink_log(spark, path):
-        raise ValueError(f"{path} belongs to a stream; append batches to a folder of their own")
 
+def claim_batch_folder(spark: SparkSession, path: str) -> None:
+    claim_folder(spark, path, "batches")
 
-def check_stream_folder(spark: SparkSession, path: str, checkpoint: str) -> None:
-    """Refuse to start a stream into a folder that is another writer's.
 
-    Over a batch's files its log would hide them; over another query's log its first
-    batches would be passed over as already written.
-    """
-    if has_sink_log(spark, path):
-        if files_below(spark, f"{checkpoint}/metadata") is None:
-            raise ValueError(f"{path} belongs to a stream with another checkpoint")
-    elif files_below(spark, path):
-        raise ValueError(f"{path} holds batches; give the stream a folder of its own")
+def claim_stream_folder(spark: SparkSession, path: str, checkpoint: str) -> None:
+    claim_folder(spark, path, f"the stream with checkpoint {checkpoint}")

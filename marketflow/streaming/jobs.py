@@ -1,7 +1,7 @@
 """Streaming jobs: route, transform and load, each with its own checkpoint.
 
-``live=True`` runs until stopped, at the kind's micro-batch limits. The default drains
-what is there and ends; a checkpoint makes stopping and starting again safe either way.
+``live=True`` runs until stopped; the default drains what is there and ends. A checkpoint makes
+stopping and starting again safe either way. A ``Rate`` limits micro-batches in both modes.
 All jobs are map-only: no shuffle and no state.
 """
 
@@ -18,20 +18,24 @@ from marketflow.operators import (
     Subscriptions,
     decode_processed,
     encode_processed,
-    filter_subscribed,
+    is_subscribed,
     normalize,
     route_raw,
     routed_messages,
 )
 from marketflow.operators.route import DEFAULT_PARTITIONS
 from marketflow.operators.validate import REASON
-from marketflow.schemas import distinct_kinds, kind_of
+from marketflow.schemas import EVENT_MS, distinct_kinds, kind_of
 from marketflow.sources.tables import partition_columns, table_rows
-from marketflow.sources.topics import FileTopics, KafkaTopics, Rate, default_rate
-from marketflow.sources.work import check_stream_folder
+from marketflow.sources.topics import FileTopics, KafkaTopics, Rate
+from marketflow.sources.work import claim_stream_folder
 
 Topics = FileTopics | KafkaTopics
 
+DEAD_LETTERS = "dead_letters"
+# Rejected messages that lose nothing.
+NO_LOSS = ("acknowledgement", "unknown event")
+
 
 def _start(
     spark: SparkSession,
@@ -43,15 +47,16 @@ def _start(
     rate: Rate | None = None,
 ) -> StreamingQuery:
     if folder:
-        check_stream_folder(spark, folder, checkpoint)
-    writer = writer.option("checkpointLocation", checkpoint).queryName(name)
+        claim_stream_folder(spark, folder, checkpoint)
+    # Names of running queries differ within a session; so do checkpoints.
+    writer = writer.option("checkpointLocation", checkpoint).queryName(f"{name} {checkpoint}")
     if not live:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=rate.interval if rate else "0 seconds").start()
 
 
-def _limit(rate: Rate, live: bool) -> int | None:
-    return rate.records if live else None
+def _limit(rate: Rate | None) -> int | None:
+    return rate.records if rate else None
 
 
 def start_routing(
@@ -61,29 +66,29 @@ def start_routing(
     *,
     partitions: int = DEFAULT_PARTITIONS,
     subscriptions: Subscriptions | None = None,
-    dead_letter_topic: str | None = None,
+    dead_letter_topic: str | None = DEAD_LETTERS,
     live: bool = False,
+    rate: Rate | None = None,
 ) -> StreamingQuery:
     """Exchange messages (``value``, ``offset``) to the raw topics, all in one query.
 
-    Rejected messages are dropped, or go to ``dead_letter_topic`` in the same pass.
+    Messages that should have had a topic go to ``dead_letter_topic`` in the same pass, as
+    they came and with the reason as their key; null drops them. Acknowledgements and
+    unknown events are no loss and are dropped, as is what nobody subscribed to.
     """
     routed = route_raw(messages, partitions, carry=("offset",))
-    accepted = routed
+    accepted = F.col(REASON).isNull()
     if subscriptions:
-        accepted = filter_subscribed(routed.filter(F.col(REASON).isNull()), subscriptions)
-    if not dead_letter_topic:
-        records = routed_messages(accepted, carry=("offset",))
-    else:
-        if subscriptions:
-            raise ValueError("a dead-letter topic needs the unfiltered stream")
-        records = routed.select(
-            F.coalesce("topic", F.lit(dead_letter_topic)).alias("topic"),
-            F.coalesce("partition", F.lit(0)).alias("partition"),
-            "value",
-            "offset",
-        )
-    return _start(messages.sparkSession, sink.writer(records), sink.sink_folder(), checkpoint, "route", live)
+        accepted = accepted & is_subscribed(subscriptions)
+    lost = F.coalesce(~F.col(REASON).isin(*NO_LOSS), F.lit(False)) if dead_letter_topic else F.lit(False)
+    records = routed.filter(accepted | lost).select(
+        F.coalesce("topic", F.lit(dead_letter_topic)).alias("topic"),
+        F.col(REASON).alias("key"),
+        F.coalesce("partition", F.lit(0)).alias("partition"),
+        "value",
+        "offset",
+    )
+    return _start(messages.sparkSession, sink.writer(records), sink.sink_folder(), checkpoint, "route", live, rate)
 
 
 def start_transform(
@@ -98,9 +103,8 @@ def start_transform(
 ) -> StreamingQuery:
     """A kind's raw topic to its processed topic; the source partition is kept."""
     kind = kind_of(endpoint)
-    rate = rate or default_rate(kind.name)
-    raw = source.read_stream(spark, kind.raw_topic, _limit(rate, live))
-    rows = normalize(raw, kind.name, carry=("partition", "offset"))
+    raw = source.read_stream(spark, kind.raw_topic, _limit(rate))
+    rows = normalize(raw, kind.name, carry=("partition", "offset", EVENT_MS))
     records = encode_processed(rows, kind.name, carry=("offset",))
     records = records.withColumn("topic", F.lit(kind.processed_topic))
     writer = sink.writer(records, kind.processed_topic)
@@ -134,9 +138,8 @@ def start_load(
     given up.
     """
     kind = kind_of(endpoint)
-    rate = rate or default_rate(kind.name)
-    records = source.read_stream(spark, kind.processed_topic, _limit(rate, live))
-    rows = decode_processed(records, kind.name, carry=("partition", "offset", "value"))
+    records = source.read_stream(spark, kind.processed_topic, _limit(rate))
+    rows = decode_processed(records, kind.name, carry=("partition", "offset", "value", EVENT_MS))
     writer = _table_writer(rows, kind.name, path)
     return _start(spark, writer, path, checkpoint, f"load-{kind.name}", live, rate)
 
@@ -153,9 +156,8 @@ def start_direct(
 ) -> StreamingQuery:
     """A kind's raw topic straight to its table, without the JSON of the processed topic."""
     kind = kind_of(endpoint)
-    rate = rate or default_rate(kind.name)
-    raw = source.read_stream(spark, kind.raw_topic, _limit(rate, live))
-    rows = normalize(raw, kind.name, carry=("partition", "offset", "value"))
+    raw = source.read_stream(spark, kind.raw_topic, _limit(rate))
+    rows = normalize(raw, kind.name, carry=("partition", "offset", "value", EVENT_MS))
     writer = _table_writer(rows, kind.name, path)
     return _start(spark, writer, path, checkpoint, f"direct-{kind.name}", live, rate)
 
@@ -176,6 +178,7 @@ class Pipeline:
     processed: Topics
     live: bool = False
     rates: dict[str, Rate] = field(default_factory=dict)
+    markets: Sequence[str] | None = None
 
     def table_path(self, endpoint: str) -> str:
         return f"{self.root}/tables/{kind_of(endpoint).table}"
@@ -184,7 +187,12 @@ class Pipeline:
         return f"{self.root}/checkpoints/{stage}/{name}"
 
     def route(self, messages: DataFrame, **options) -> StreamingQuery:
-        return start_routing(messages, self.raw, self._checkpoint("route"), live=self.live, **options)
+        """Only the pipeline's own endpoints, and markets if it has any, are routed."""
+        own = Subscriptions.of_endpoints(self.endpoints)
+        if self.markets is not None:
+            own = Subscriptions.of(self.markets, self.endpoints)
+        options = {"subscriptions": own, "live": self.live, **options}
+        return start_routing(messages, self.raw, self._checkpoint("route"), **options)
 
     def transform(self) -> list[StreamingQuery]:
         return [

@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from marketflow import Subscriptions, latest_klines, normalize
+from marketflow.operators.latest import VERSION
 from marketflow.plans.batch import backfill, raw_to_rows
-from marketflow.sources import FileTopics, KafkaTopics, Rate, default_rate, read_quarantine, read_table
+from marketflow.sources import FileTopics, KafkaTopics, Rate, published_rate, read_quarantine, read_table
 from marketflow.streaming import Pipeline, await_any, start_direct, start_routing
 from test_messages import ALL, DEPTH, KLINE, T0, TRADE
 
@@ -88,7 +90,7 @@ def test_direct_batch_and_staged_paths_agree(spark, tmp_path, feed):
     finish(direct.direct())
     backfill(spark, "kline", staged.raw, str(tmp_path / "batch"))
     raw = staged.raw.read(spark, "kline_raw")
-    expected = latest_klines(raw_to_rows(raw, "kline", "offset")).drop("offset").collect()
+    expected = latest_klines(raw_to_rows(raw, "kline", *VERSION)).drop(*VERSION).collect()
     assert len(expected) == 4
     for path in (staged.table_path("kline"), direct.table_path("kline"), str(tmp_path / "batch")):
         assert sorted(read_table(spark, "kline", path).collect()) == sorted(expected)
@@ -114,26 +116,81 @@ def test_dead_letters_and_subscriptions(spark, tmp_path, feed):
     feed.send(TRADE, DEPTH, {**TRADE, "s": "OTHER"}, "junk")
     topics = FileTopics(str(tmp_path / "all"))
     start_routing(feed.stream(), topics, str(tmp_path / "c1"), dead_letter_topic="rejected").awaitTermination()
-    assert [r.value for r in topics.read(spark, "rejected").collect()] == ["junk"]
+    assert [(r.value, r.key) for r in topics.read(spark, "rejected").collect()] == [("junk", "malformed")]
     assert topics.read(spark, "trade_raw").count() == 2
     some = FileTopics(str(tmp_path / "some"))
     wanted = Subscriptions.of(["btcusdt"], ["trade"])
     start_routing(feed.stream(), some, str(tmp_path / "c2"), subscriptions=wanted).awaitTermination()
     assert some.read(spark, "trade_raw").count() == 1
     assert some.read(spark, "depth_raw").count() == 0
-    with pytest.raises(ValueError):
-        start_routing(
-            feed.stream(), some, str(tmp_path / "c3"), subscriptions=wanted, dead_letter_topic="rejected"
-        )
+    assert [r.value for r in some.read(spark, "dead_letters").collect()] == ["junk"]
+    none = FileTopics(str(tmp_path / "none"))
+    start_routing(feed.stream(), none, str(tmp_path / "c3"), dead_letter_topic=None).awaitTermination()
+    assert {r.topic for r in spark.read.parquet(none.path).collect()} == {"trade_raw", "depth_raw"}
+
+
+def test_a_message_with_a_repeated_key_is_kept_as_a_dead_letter(spark, tmp_path, feed):
+    feed.send('{"e":"trade","e":"trade","E":1}', {"result": None, "id": 1}, {"e": "bookTicker", "E": 1}, {"e": "trade"})
+    pipeline = pipeline_of(spark, tmp_path, ["trade"])
+    pipeline.route(feed.stream()).awaitTermination()
+    lost = {r.offset: r.key for r in pipeline.raw.read(spark, "dead_letters").collect()}
+    assert lost == {0: "malformed", 3: "no event time"}
+
+
+def test_a_pipeline_routes_its_own_kinds_and_markets(spark, tmp_path, feed):
+    feed.send(TRADE, DEPTH, KLINE, {**KLINE, "k": {**KLINE["k"], "i": "5m"}}, {**KLINE, "s": "OTHER"})
+    pipeline = pipeline_of(spark, tmp_path, ["kline_3m"], markets=["btcusdt"])
+    pipeline.route(feed.stream()).awaitTermination()
+    assert [(r.topic, r.offset) for r in spark.read.parquet(pipeline.raw.path).collect()] == [("kline_raw", 2)]
+
+
+def test_two_pipelines_run_in_one_session(spark, tmp_path, feed):
+    feed.send(TRADE)
+    queries = []
+    for name in ("a", "b"):
+        root = tmp_path / name
+        start_routing(feed.stream(), FileTopics(str(root / "raw")), str(root / "c")).awaitTermination()
+        queries += pipeline_of(spark, root, ["trade"], live=True).direct()
+    for query in queries:
+        query.processAllAvailable()
+        query.stop()
+    assert len({q.name for q in queries}) == 2
+
+
+def test_a_failed_write_loses_no_row(spark, tmp_path, feed):
+    feed.send(*({**TRADE, "t": i} for i in range(20)))
+    pipeline = pipeline_of(spark, tmp_path, ["trade"])
+    pipeline.route(feed.stream()).awaitTermination()
+    block = tmp_path / "tables" / "trades" / "rejected=false"
+    block.parent.mkdir(parents=True)
+    block.write_text("in the way")
+    with pytest.raises(StreamingQueryException):
+        finish(pipeline.direct())
+    spark.streams.resetTerminated()
+    block.unlink()
+    finish(pipeline.direct())
+    ids = [r.trade_id for r in read_table(spark, "trade", pipeline.table_path("trade")).collect()]
+    assert sorted(ids) == list(range(20))
+
+
+def test_backfills_may_run_again(spark, tmp_path, feed):
+    feed.send(*({**TRADE, "t": i} for i in range(30)))
+    topics, path = FileTopics(str(tmp_path / "raw")), str(tmp_path / "trades")
+    start_routing(feed.stream(), topics, str(tmp_path / "c")).awaitTermination()
+    backfill(spark, "trade", topics, path, start=5, end=10)
+    assert sorted(r.trade_id for r in read_table(spark, "trade", path).collect()) == list(range(5, 10))
+    for _ in range(2):
+        backfill(spark, "trade", topics, path)
+    assert sorted(r.trade_id for r in read_table(spark, "trade", path).collect()) == list(range(30))
 
 
 def test_live_jobs_run_until_stopped(spark, tmp_path, feed):
     feed.send({**TRADE, "t": 1})
     start_routing(feed.stream(), FileTopics(str(tmp_path / "raw")), str(tmp_path / "c")).awaitTermination()
-    pipeline = pipeline_of(spark, tmp_path, ["trade"], live=True, rates={"trade": Rate(5, "100 milliseconds")})
+    pipeline = pipeline_of(spark, tmp_path, ["trade"], live=True, rates={"trade": Rate(None, "100 milliseconds")})
     (query,) = pipeline.direct()
     query.processAllAvailable()
-    assert query.isActive and query.name == "direct-trade"
+    assert query.isActive and query.name.startswith("direct-trade ")
     query.stop()
     await_any(spark)
     assert read_table(spark, "trade", pipeline.table_path("trade")).count() == 1
@@ -176,10 +233,12 @@ def test_batches_and_streams_do_not_share_a_folder(spark, tmp_path, feed):
         start_routing(feed.stream(), topics, str(tmp_path / "other"))
 
 
-def test_default_rates():
-    assert default_rate("trade") == default_rate("aggTrade") == Rate(1000, "500 milliseconds")
+def test_rates(spark, tmp_path):
+    with pytest.raises(ValueError):
+        pipeline_of(spark, tmp_path, ["trade"], rates={"trade": Rate(5)}).direct()
+    assert published_rate("trade") == published_rate("aggTrade") == Rate(1000, "500 milliseconds")
     for name in ("kline_3m", "avgPrice", "miniTicker", "ticker", "depth"):
-        assert default_rate(name) == Rate(10, "1 second")
+        assert published_rate(name) == Rate(10, "1 second")
 
 
 def test_kafka_options():
@@ -189,11 +248,15 @@ def test_kafka_options():
         "subscribe": "trade_raw",
         "startingOffsets": "earliest",
         "minPartitions": "9",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
         "maxOffsetsPerTrigger": "1000",
         "kafka.security.protocol": "SSL",
     }
     assert "maxOffsetsPerTrigger" not in topics.source_options("trade_raw")
+    assert KafkaTopics("b", allow_data_loss=True).source_options("t")["failOnDataLoss"] == "false"
+    some = KafkaTopics("b", partitions=2).range_options("t", 5, 9)
+    assert some["startingOffsets"] == '{"t": {"0": 5, "1": 5}}' and some["endingOffsets"] == '{"t": {"0": 9, "1": 9}}'
+    assert KafkaTopics("b").range_options("t")["startingOffsets"] == "earliest"
 
 
 def test_kafka_sink_takes_topic_partition_and_value(spark, feed):

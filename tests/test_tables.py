@@ -15,6 +15,7 @@ from marketflow import (
     KINDS,
     Subscriptions,
     decode_processed,
+    encode_processed,
     filter_subscribed,
     latest_klines,
     normalize,
@@ -22,8 +23,10 @@ from marketflow import (
     subscription_pairs,
     validate,
 )
-from marketflow.operators import subscribe
-from marketflow.plans.batch import raw_to_rows
+from marketflow.operators.latest import VERSION
+from marketflow.plans import queries
+from marketflow.plans.batch import STORED, raw_to_rows
+from marketflow.sources.tables import settled_and_added
 from marketflow.sources import (
     append_rows,
     compact_table,
@@ -52,33 +55,33 @@ def kline(symbol, opened, version, mark):
 
 
 def stored_klines(spark, messages):
-    return normalize(raw(spark, *messages), "kline", carry=("partition", "offset", "value"))
+    return normalize(raw(spark, *messages), "kline", carry=STORED)
 
 
 def test_latest_against_brute_force(spark):
-    """Most updates are of one symbol, and versions tie within a second."""
+    """Most updates are of one symbol, and versions tie within a millisecond."""
     chance = random.Random(7)
     messages, best = [], {}
     for offset in range(3000):
         symbol = "HOT" if chance.random() < 0.7 else f"S{chance.randrange(20)}"
         opened = T0 - T0 % 60_000 + 60_000 * chance.randrange(5)
-        version = opened + chance.randrange(3000)
+        version = opened + chance.randrange(300)
         messages.append(kline(symbol, opened, version, offset))
         key = (symbol, opened // 1000)
-        best[key] = max(best.get(key, (0, 0)), (version // 1000, offset))
-    rows = latest_klines(raw_to_rows(raw(spark, *messages).repartition(7), "kline", "offset"))
+        best[key] = max(best.get(key, (0, 0)), (version, offset))
+    rows = latest_klines(raw_to_rows(raw(spark, *messages).repartition(7), "kline", *VERSION))
     got = {
-        (r.symbol, r.opened): (r.version, r.first_trade_id)
+        (r.symbol, r.opened): (r.event_ms, r.first_trade_id)
         for r in rows.select(
             "symbol", "first_trade_id", F.unix_seconds("open_timestamp_utc").alias("opened"),
-            F.unix_seconds("timestamp_utc").alias("version"),
+            "event_ms",
         ).collect()
     }
     assert got == best
 
 
 def test_latest_reduces_before_the_exchange(spark):
-    text = plan(latest_klines(raw_to_rows(raw(spark, KLINE), "kline", "offset")))
+    text = plan(latest_klines(raw_to_rows(raw(spark, KLINE), "kline", *VERSION)))
     tree = text[: text.index("(1)")] if "(1)" in text else text
     assert text.count("Arguments: hashpartitioning") == 1
     assert tree.count("WindowGroupLimit") == 2
@@ -141,29 +144,66 @@ def test_kline_table_gives_the_last_update(spark, tmp_path):
     assert read_table(spark, "kline", path, all_updates=True).count() == 3
 
 
+def test_later_updates_win_across_topic_partitions(spark, tmp_path):
+    """Offsets of two partitions do not compare: the closing update has the smaller one."""
+    opened = T0 - T0 % 60_000
+    closing = kline("A", opened, opened + 900, 1)
+    closing["k"]["x"] = True
+    earlier = kline("A", opened, opened + 100, 2)
+    messages = spark.createDataFrame(
+        [(json.dumps(closing), 2, 10), (json.dumps(earlier), 1, 900)], "value string, partition int, offset bigint"
+    )
+    rows = latest_klines(raw_to_rows(messages, "kline", *VERSION))
+    assert [r.first_trade_id for r in rows.collect()] == [1]
+    direct, staged, copy = (str(tmp_path / n) for n in ("direct", "staged", "copy"))
+    append_rows(normalize(messages, "kline", carry=STORED), "kline", direct)
+    processed = encode_processed(normalize(messages, "kline", carry=("partition", "offset", "event_ms")), "kline", ("offset",))
+    append_rows(decode_processed(processed, "kline", carry=STORED), "kline", staged)
+    compact_table(spark, "kline", staged, copy)
+    for table in (read_table(spark, "kline", direct), read_table(spark, "kline", staged), spark.read.parquet(copy)):
+        assert [r.first_trade_id for r in table.collect()] == [1]
+
+
 def test_compaction_rebuilds_only_touched_dates(spark, tmp_path):
     log, target = str(tmp_path / "log"), str(tmp_path / "latest")
-    day1 = T0 - T0 % DAY
-    day2 = day1 + DAY
-    append_rows(stored_klines(spark, [kline("A", day1, day1, 1), kline("A", day2, day2, 2)]), "kline", log)
+    days = [T0 - T0 % DAY + n * DAY for n in range(4)]
+    append_rows(stored_klines(spark, [kline("A", d, d, n) for n, d in enumerate(days)]), "kline", log)
     now = dt.datetime.now(dt.timezone.utc)
     assert compact_table(spark, "kline", log, target) < (now - dt.timedelta(hours=23)).isoformat()
-    untouched = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "latest").glob("open_date=2023-11-14/*.parquet")}
-    time.sleep(2.1)
-    since = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="seconds")
-    append_rows(stored_klines(spark, [kline("A", day2, day2 + 1000, 3), kline("B", day2, day2, 4)]), "kline", log)
-    # Both are whole seconds, so they may be the same one.
-    assert compact_table(spark, "kline", log, str(tmp_path / "x"), overlap=dt.timedelta(0)) >= since
-    both = read_compacted(spark, "kline", log, target, since)
-    assert sorted(r.first_trade_id for r in both.collect()) == [1, 3, 4]
-    assert both.columns == list(KINDS["kline"].columns)
+    time.sleep(0.1)
+    since = compact_table(spark, "kline", log, target, overlap=dt.timedelta(0))
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "latest").rglob("open_date=*/*.parquet")}
+    time.sleep(0.1)
+    append_rows(stored_klines(spark, [kline("A", days[1], days[1] + 1000, 11), kline("B", days[2], days[2], 12)]), "kline", log)
+    settled, added = settled_and_added(spark, "kline", log, target, since)
+    assert sorted(r.first_trade_id for r in settled.collect()) == [0, 3]
+    assert sorted(r.first_trade_id for r in added.collect()) == [2, 11, 12]
+    # The log's files are pruned by the range of touched dates and, within it, by the dates.
+    scan = plan(added)
+    assert "dynamicpruning" in scan
+    filters = [line for line in scan.splitlines() if "PartitionFilters" in line and "dynamicpruning" in line]
+    assert filters and all("open_date" in f and ">=" in f and "<=" in f for f in filters)
+    assert read_compacted(spark, "kline", log, target, since).columns == list(KINDS["kline"].columns)
     compact_table(spark, "kline", log, target, since=since)
     ids = [r.first_trade_id for r in spark.read.parquet(target).orderBy("first_trade_id").collect()]
-    assert ids == [1, 3, 4]
-    after = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "latest").glob("open_date=2023-11-14/*.parquet")}
-    assert after == untouched
+    assert ids == [0, 2, 3, 11, 12]
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "latest").rglob("open_date=*/*.parquet")}
+    assert {p for p in before if before[p] == after.get(p)} == {p for p in before if "-14" in str(p) or "-17" in str(p)}
     compact_table(spark, "kline", log, target, since=since)
-    assert spark.read.parquet(target).count() == 3
+    assert spark.read.parquet(target).count() == 5
+
+
+def test_compacted_queries_hold_settled_and_rebuilt_rows(spark):
+    log, target, since = queries._compacted_klines(spark, "/root/testdata/sf0.001")
+    settled, added = settled_and_added(spark, "kline", log, target, since)
+    assert settled.count() > 0 and added.count() > 0
+    assert read_compacted(spark, "kline", log, target, "2100-01-01T00:00:00").count() == spark.read.parquet(target).count()
+
+
+def test_no_registered_plan_deals_rows_out(spark):
+    for name, query in queries.QUERIES.items():
+        if not name.startswith(("stream_", "backfilled_")):
+            assert "RoundRobinPartitioning" not in plan(query(spark, "/root/testdata/sf0.001")), name
 
 
 def test_compaction_opens_only_recent_files(spark, tmp_path):
@@ -220,15 +260,17 @@ def test_subscription_lists():
             Subscriptions.of(markets, endpoints)
 
 
-@pytest.mark.parametrize("inline", [10_000, 1])
-def test_subscription_filter(spark, monkeypatch, inline):
-    monkeypatch.setattr(subscribe, "MAX_INLINE_MARKETS", inline)
+@pytest.mark.parametrize("others", [0, 20_000])
+def test_subscription_filter(spark, others):
     other = {**KLINE, "k": {**KLINE["k"], "i": "5m"}}
     messages = [TRADE, {**TRADE, "s": "XRPUSDT"}, KLINE, other, DEPTH, "junk"]
-    wanted = Subscriptions.of(["BTCUSDT", "ethusdt"], ["trade", "kline_3m"])
+    wanted = Subscriptions.of(["BTCUSDT", "ethusdt", *(f"M{i}" for i in range(others))], ["trade", "kline_3m"])
     kept = filter_subscribed(route_raw(raw(spark, *messages), carry=("offset",)), wanted)
     assert sorted(r.offset for r in kept.collect()) == [0, 2]
     assert kept.columns == route_raw(raw(spark, TRADE), carry=("offset",)).columns
+    assert "Exchange" not in plan(kept) and "Join" not in plan(kept)
+    every = filter_subscribed(route_raw(raw(spark, *messages), carry=("offset",)), Subscriptions.of_endpoints(["kline"]))
+    assert sorted(r.offset for r in every.collect()) == [2, 3]
 
 
 def test_subscription_pairs(spark):
@@ -241,11 +283,10 @@ def test_subscription_pairs(spark):
 
 def test_work_folder_is_below_the_shared_one():
     def session(master, **conf):
-        settings = SimpleNamespace(get=lambda key, default=None: conf.get(key.rsplit(".", 2)[-2], default))
+        settings = SimpleNamespace(get=lambda key, default=None: conf.get(key.split(".")[-2], default))
         return SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(master=master))
 
     assert new_work_dir(session("yarn", checkpoint="s3://shared/")).startswith("s3://shared/marketflow-")
     assert new_work_dir(session("local[8]", checkpoint="/shared")).startswith("/shared/marketflow-")
-    assert new_work_dir(session("local[8]"))
-    with pytest.raises(ValueError):
-        new_work_dir(session("spark://host:7077"))
+    for master in ("local[8]", "spark://host:7077"):
+        assert new_work_dir(session(master, warehouse="/tables")).startswith("/tables/marketflow-")
