@@ -9,9 +9,11 @@ earlier in the same document). Matches never cross documents.
 2. Text around repeated anchors (a fragment: all strings of one anchor, some 130 bytes) is
    sent to the bucket of its anchor. Equal fragments are collapsed before and after the
    shuffle, so a passage that a third of all documents hold costs one fragment per block.
-3. Where fragments of one anchor differ, their suffixes are sorted by external induced
-   sorting (``suffix.py``): strings that share 100 bytes lie next to each other, and all but
-   the earliest of them are marked.
+3. Where fragments of one anchor differ, strings whose hash comes once are cut off, and what
+   is alike then is collapsed again (the edges of a shared passage are alike in all documents
+   that hold it, once what differs around them is gone). The suffixes of what is left are
+   sorted by external induced sorting (``suffix.py``): strings that share 100 bytes lie next
+   to each other, and all but the earliest of them are marked.
 4. Marks meet their document by id and are merged and cut out.
 """
 
@@ -31,32 +33,33 @@ from marketflow.llm.suffix import MEMORY_ROWS, induced
 from marketflow.sources.work import new_work_dir
 
 LENGTH = 100
-ANCHOR_STEPS = 5
-ANCHOR = 1 << ANCHOR_STEPS
+ANCHOR = 32
 #: Text that is hashed at a time; places within it take 20 bits.
 PIECE = 1 << 20
 PLACE = np.uint64(PIECE - 1)
-BLOCK_BYTES = 32 << 20
-SLICE_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
+SLICE_BYTES = 4 << 20
 BUCKETS_PER_PARTITION = 4
+BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Odd multipliers of the rolling hash, one per doubling of its length.
 MULTIPLIERS = (
     0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F,
 )
 
-SPANS_DDL = "key long, text_hash long, start long, stop long"
-SPANS = pa.schema([(n, pa.int64()) for n in ("key", "text_hash", "start", "stop")])
+SPANS_DDL = "key long, text_hash long, _spans array<struct<start: long, stop: long>>"
 PACKED = pa.schema([("bucket", pa.int64()), ("data", pa.list_(pa.binary()))])
 PACKED_DDL = "bucket long, data array<binary>"
 
 
-def anchor_hashes(buffer: np.ndarray) -> np.ndarray:
-    """Hashes of all strings of ``ANCHOR`` bytes."""
-    hashes, size = (buffer.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15), 1
-    for multiplier in MULTIPLIERS:
-        hashes = hashes[:-size] * np.uint64(multiplier) + hashes[size:]
+def string_hashes(buffer: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of all strings of so many bytes: doubled while they fit, then two that overlap."""
+    hashes, size, step = (buffer.astype(np.uint64) + np.uint64(1)) * BASE, 1, 0
+    while size < length:
+        by = min(size, length - size)
+        hashes = hashes[:-by] * np.uint64(MULTIPLIERS[step % len(MULTIPLIERS)]) + hashes[by:]
         hashes ^= hashes >> np.uint64(31)
-        size *= 2
+        size += by
+        step += 1
     return hashes
 
 
@@ -80,7 +83,7 @@ def fragments_of(texts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
         at, number, begin, size = (np.array(c, dtype=np.int64) for c in zip(*segments))
         inside[at] += 1
         inside[at + size - length + 1] -= 1
-        hashes = anchor_hashes(buffer)
+        hashes = string_hashes(buffer, ANCHOR)
         ranked = (hashes & ~PLACE) | np.arange(len(hashes), dtype=np.uint64)
         anchor = (sliding_minima(ranked, length - ANCHOR + 1) & PLACE).astype(np.int64)
         places = np.flatnonzero(np.cumsum(inside[:-1], dtype=np.int8)[: len(anchor)])
@@ -132,7 +135,8 @@ def _packed(bucket: int, *data: bytes | np.ndarray) -> pa.RecordBatch:
 
 
 def _buckets(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    """Even buckets: anchors have small hashes, so those are mixed once more."""
+    return ((hashes ^ (hashes >> np.uint64(32))) * BASE >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _anchors(bits: int, length: int):
@@ -141,9 +145,11 @@ def _anchors(bits: int, length: int):
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, texts in _blocks(batches):
             hashes, counts = np.unique(fragments_of(texts, length)[3], return_counts=True)
-            for a, b in runs(_buckets(hashes, bits)):
-                here, more = hashes[a:b], counts[a:b] > 1
-                yield _packed(int(_buckets(here[:1], bits)[0]), here[~more], here[more])
+            buckets = _buckets(hashes, bits)
+            order = np.argsort(buckets, kind="stable")
+            for a, b in runs(buckets[order]):
+                here, more = hashes[order[a:b]], counts[order[a:b]] > 1
+                yield _packed(int(buckets[order[a]]), here[~more], here[more])
 
     return anchors
 
@@ -210,9 +216,10 @@ def _fragments(folder: str, bits: int, length: int):
             )
             if len(spans[0]):
                 # A bucket of its own below zero: spans only pass through what fragments go to.
-                yield _packed(-1 - int(hashes[0] >> np.uint64(32)), *spans)
-            leaders = leaders[np.argsort(hashes[leaders], kind="stable")]
+                yield _packed(-1 - int(_buckets(hashes[:1], bits)[0]), *spans)
+            leaders = leaders[np.lexsort((hashes[leaders], _buckets(hashes[leaders], bits)))]
             words = list(contents)
+            del contents
             for a, b in runs(_buckets(hashes[leaders], bits)):
                 here = leaders[a:b]
                 text = zstandard.compress(b"".join([words[i] for i in ids[here].tolist()]), 3)
@@ -255,7 +262,60 @@ def marked_places(
     return np.concatenate(out)
 
 
-def _removed(length: int, slice_bytes: int, rows: int):
+def _shared(
+    texts: list[bytes], counts: np.ndarray, keys: np.ndarray, text_hashes: np.ndarray, places: np.ndarray,
+    length: int, rows: int,
+) -> list[list[np.ndarray]]:
+    """Spans of the strings that differing fragments share, but for the earliest of each."""
+    # Byte 255, which is in no UTF-8 text, parts the fragments.
+    raw = b"\xff".join(texts) + b"\xff"
+    ends = np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1)
+    begins = np.append(0, ends[:-1])
+    starts = np.zeros(len(raw) + 1, dtype=np.int8)
+    starts[begins] += 1
+    starts[begins + counts] -= 1
+    starts = np.flatnonzero(np.cumsum(starts[:-1], dtype=np.int8))
+    hashes = string_hashes(np.frombuffer(raw, dtype=np.uint8), length)[starts]
+    order = np.argsort(hashes)
+    ranked = hashes[order]
+    twin = np.zeros(len(order) + 1, dtype=bool)
+    twin[1:-1] = ranked[1:] == ranked[:-1]
+    starts = np.sort(starts[order[twin[1:] | twin[:-1]]])
+    if not len(starts):
+        return []
+    first = np.flatnonzero(np.append(True, starts[1:] != starts[:-1] + 1))
+    counts = np.diff(np.append(first, len(starts)))
+    at = starts[first]
+    of = np.searchsorted(begins, at, side="right") - 1
+    keys, text_hashes, places = keys[of], text_hashes[of], places[of] + at - begins[of]
+    contents: dict[bytes, int] = {}
+    cut = zip(at.tolist(), (at + counts + length - 1).tolist())
+    ids = np.array([contents.setdefault(raw[a:b], len(contents)) for a, b in cut])
+    leaders, later = _leaders(ids, keys, text_hashes, places)
+    spans = [[keys[later], text_hashes[later], places[later], places[later] + counts[later] + length - 1]]
+    words = list(contents)
+    raw = np.frombuffer(b"\xff".join([words[i] for i in ids[leaders].tolist()]) + b"\xff", dtype=np.uint8)
+    keys, text_hashes, places, counts = (x[leaders] for x in (keys, text_hashes, places, counts))
+    begins = np.cumsum(counts + length) - counts - length
+    # Dense symbols from 2; 1 parts what is sorted.
+    symbols = np.zeros(256, dtype=np.uint8)
+    present = np.flatnonzero(np.bincount(raw, minlength=256)[:255])
+    symbols[present] = np.arange(2, len(present) + 2)
+    symbols[255] = 1
+    is_start = np.zeros(len(raw) + 1, dtype=np.int8)
+    is_start[begins] += 1
+    is_start[begins + counts] -= 1
+
+    def coordinates(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        of = np.searchsorted(begins, p, side="right") - 1
+        return keys[of], text_hashes[of], places[of] + p - begins[of]
+
+    marked = marked_places(symbols[raw], np.cumsum(is_start[:-1], dtype=np.int8) > 0, coordinates, length, rows)
+    key, text_hash, start = coordinates(marked)
+    return [*spans, [key, text_hash, start, start + length]]
+
+
+def _removed(bits: int, length: int, slice_bytes: int, rows: int):
     """Buckets of fragments to spans: later copies, and strings that suffix sorting finds again."""
 
     def slices(hashes: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
@@ -276,7 +336,7 @@ def _removed(length: int, slice_bytes: int, rows: int):
         for bucket, packed in rows_by_bucket(batches):
             if bucket < 0:
                 for data in packed:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(d, dtype=np.int64)) for d in data], schema=SPANS)
+                    yield from _by_document([np.frombuffer(d, dtype=np.int64) for d in data], bits)
                 continue
             types = (np.uint64, np.int64, np.int64, np.int64, np.uint16)
             columns = [np.concatenate(c) for c in zip(*([np.frombuffer(d, t) for d, t in zip(r, types)] for r in packed))]
@@ -296,45 +356,55 @@ def _removed(length: int, slice_bytes: int, rows: int):
             found_spans = [[keys[later], text_hashes[later], places[later], places[later] + sizes[later]]]
             for some in slices(hashes[leaders], sizes[leaders]):
                 chosen = leaders[some]
-                ends = np.cumsum(sizes[chosen] + 1)
-                begins = ends - sizes[chosen] - 1
-                raw = np.frombuffer(b"\xff".join([words[i] for i in ids[chosen].tolist()]) + b"\xff", dtype=np.uint8)
-                # Dense symbols from 2; 1 parts the fragments (byte 255 is in no UTF-8 text).
-                symbols = np.zeros(256, dtype=np.uint8)
-                present = np.flatnonzero(np.bincount(raw, minlength=256)[:255])
-                symbols[present] = np.arange(2, len(present) + 2)
-                symbols[255] = 1
-                is_start = np.zeros(len(raw) + 1, dtype=np.int8)
-                is_start[begins] += 1
-                is_start[begins + counts[chosen]] -= 1
-                is_start = np.cumsum(is_start[:-1], dtype=np.int8) > 0
-
-                def coordinates(p: np.ndarray, chosen=chosen, begins=begins) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-                    of = np.searchsorted(begins, p, side="right") - 1
-                    return keys[chosen[of]], text_hashes[chosen[of]], places[chosen[of]] + p - begins[of]
-
-                marked = marked_places(symbols[raw], is_start, coordinates, length, rows)
-                key, text_hash, start = coordinates(marked)
-                found_spans.append([key, text_hash, start, start + length])
-            spans = _spans(*(np.concatenate(c) for c in zip(*found_spans)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in spans], schema=SPANS)
+                texts = [words[i] for i in ids[chosen].tolist()]
+                found_spans += _shared(texts, counts[chosen], keys[chosen], text_hashes[chosen], places[chosen], length, rows)
+            yield from _by_document(_spans(*(np.concatenate(c) for c in zip(*found_spans))), bits)
 
     return removed
 
 
+def _by_document(spans: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
+    """Spans packed by buckets of documents."""
+    mixed = (spans[0].view(np.uint64) * BASE ^ spans[1].view(np.uint64)) * BASE
+    buckets = _buckets(mixed, bits)
+    order = np.argsort(buckets, kind="stable")
+    for a, b in runs(buckets[order]):
+        yield _packed(int(buckets[order[a]]), *(s[order[a:b]] for s in spans))
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for every document of a bucket: its spans, merged and in order."""
+    for _, packed in rows_by_bucket(batches):
+        key, text_hash, start, stop = _spans(*(np.concatenate([np.frombuffer(d[n], np.int64) for d in packed]) for n in range(4)))
+        new = np.append(True, (key[1:] != key[:-1]) | (text_hash[1:] != text_hash[:-1]))
+        first = np.flatnonzero(new)
+        offsets = pa.array(np.append(first, len(key)).astype(np.int32))
+        pairs = pa.StructArray.from_arrays([pa.array(start), pa.array(stop)], names=["start", "stop"])
+        lists = pa.ListArray.from_arrays(offsets, pairs)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key[first]), pa.array(text_hash[first]), lists], names=["key", "text_hash", "_spans"]
+        )
+
+
 def repeated_spans(
     rows: DataFrame, length: int = LENGTH, slice_bytes: int = SLICE_BYTES, memory_rows: int = MEMORY_ROWS,
     work_dir: str | None = None,
 ) -> DataFrame:
-    """Spans ``key, text_hash, start, stop`` (bytes) to remove from rows ``key, text_hash, text``."""
+    """Per document ``key, text_hash`` the ``_spans`` of bytes to remove from rows ``key, text_hash, text``."""
     if length < ANCHOR:
         raise ValueError(f"strings must have {ANCHOR} bytes at least")
     folder = shared_folder(work_dir or new_work_dir(rows.sparkSession))
     bits = max(1, (BUCKETS_PER_PARTITION * rows.rdd.getNumPartitions() - 1).bit_length())
-    anchors = rows.mapInArrow(_anchors(bits, length), PACKED_DDL).repartition("bucket").sortWithinPartitions("bucket")
+
+    def in_buckets(packed: DataFrame) -> DataFrame:
+        # A number of its own, as tasks of a few packed rows still have much to do.
+        return packed.repartition(1 << bits, "bucket").sortWithinPartitions("bucket")
+
+    anchors = in_buckets(rows.mapInArrow(_anchors(bits, length), PACKED_DDL))
     anchors.mapInArrow(_repeated(folder), "n long").agg(F.sum("n")).first()
-    sent = rows.mapInArrow(_fragments(folder, bits, length), PACKED_DDL).repartition("bucket")
-    return sent.sortWithinPartitions("bucket").mapInArrow(_removed(length, slice_bytes, memory_rows), SPANS_DDL)
+    sent = in_buckets(rows.mapInArrow(_fragments(folder, bits, length), PACKED_DDL))
+    spans = in_buckets(sent.mapInArrow(_removed(bits, length, slice_bytes, memory_rows), PACKED_DDL))
+    return spans.mapInArrow(_gathered, SPANS_DDL)
 
 
 def with_spans(docs: DataFrame, **options) -> DataFrame:
@@ -342,23 +412,14 @@ def with_spans(docs: DataFrame, **options) -> DataFrame:
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(key.alias("key"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    spans = repeated_spans(rows, **options).groupBy("key", "text_hash")
-    spans = spans.agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("_spans"))
+    spans = repeated_spans(rows, **options)
     keyed = docs.withColumn("_key", key).withColumn("_text_hash", F.xxhash64(text))
     same = (keyed["_key"] == spans["key"]) & (keyed["_text_hash"] == spans["text_hash"])
     return keyed.join(spans, same, "left").drop("_key", "_text_hash", "key", "text_hash")
 
 
-def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
-    """Maximal runs of removed bytes."""
-    out: list[tuple[int, int]] = []
-    for span in spans or ():
-        start, stop = span["start"], span["stop"]
-        if out and start <= out[-1][1]:
-            out[-1] = out[-1][0], max(out[-1][1], stop)
-        else:
-            out.append((start, stop))
-    return out
+def runs_of(spans: list[dict] | None) -> list[tuple[int, int]]:
+    return [(span["start"], span["stop"]) for span in spans or ()]
 
 
 def kept(text: bytes, removed: list[tuple[int, int]]) -> bytes:
@@ -388,7 +449,7 @@ def removal_digests(docs: DataFrame, **options) -> DataFrame:
             for doc, text, spans in zip(
                 batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), batch.column(2)
             ):
-                raw, removed = text.as_py() or b"", merged(spans.as_py())
+                raw, removed = text.as_py() or b"", runs_of(spans.as_py())
                 rest = kept(raw, removed)
                 rows.append((doc, len(raw), len(raw) - len(rest), len(removed), hashlib.sha256(rest).hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), DIGESTS)] if rows else
@@ -409,7 +470,7 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
             place = batch.schema.get_field_index("text")
             texts = batch.column(place).cast(pa.binary())
             out = [
-                None if t.as_py() is None else kept(t.as_py(), merged(s.as_py())).decode("utf-8", "ignore")
+                None if t.as_py() is None else kept(t.as_py(), runs_of(s.as_py())).decode("utf-8", "ignore")
                 for t, s in zip(texts, batch.column(batch.num_columns - 1))
             ]
             columns = [*batch.columns[:-1]]

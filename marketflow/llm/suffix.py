@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-MEMORY_ROWS = 4_000_000
+MEMORY_ROWS = 1_000_000
 
 
 class ChunkStore:
