@@ -59,11 +59,25 @@ class ChunkStore:
         self.held = 0
 
     def take(self, key: int, last: bool = False) -> tuple[np.ndarray, ...] | None:
-        """Remove and return a key's first chunk, or its last one."""
+        """Remove and return a key's first rows, or its last ones: as many chunks as fit a piece."""
         parts = self.chunks.get(key)
         if not parts:
             return None
-        part = parts.pop(-1 if last else 0)
+        count = self._fitting(parts[::-1] if last else parts)
+        some = parts[-count:] if last else parts[:count]
+        self.chunks[key] = parts[:-count] if last else parts[count:]
+        taken = [self._read(part) for part in some]
+        return taken[0] if len(taken) == 1 else tuple(np.concatenate(c) for c in zip(*taken))
+
+    def _fitting(self, parts: list) -> int:
+        total = 0
+        for n, part in enumerate(parts):
+            total += len(part[0]) if isinstance(part, tuple) else part[0][1]
+            if total >= self.rows // 4:
+                return n + 1
+        return len(parts)
+
+    def _read(self, part) -> tuple[np.ndarray, ...]:
         if isinstance(part, tuple):
             self.held -= len(part[0])
             return part
