@@ -34,8 +34,8 @@ from marketflow.sources.work import new_work_dir
 
 LENGTH = 100
 ANCHOR = 32
-#: Text that is hashed at a time; places within it take 20 bits.
-PIECE = 1 << 20
+#: Text that is hashed at a time; places within it take as many low bits of a hash.
+PIECE = 1 << 18
 PLACE = np.uint64(PIECE - 1)
 BLOCK_BYTES = 12 << 20
 SLICE_BYTES = 4 << 20
@@ -413,9 +413,10 @@ def with_spans(docs: DataFrame, **options) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(key.alias("key"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     spans = repeated_spans(rows, **options)
-    keyed = docs.withColumn("_key", key).withColumn("_text_hash", F.xxhash64(text))
-    same = (keyed["_key"] == spans["key"]) & (keyed["_text_hash"] == spans["text_hash"])
-    return keyed.join(spans, same, "left").drop("_key", "_text_hash", "key", "text_hash")
+    # In a struct, columns of the same names as those joined by stay apart from them.
+    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), key.alias("_key"), F.xxhash64(text).alias("_hash"))
+    same = (held["_key"] == spans["key"]) & (held["_hash"] == spans["text_hash"])
+    return held.join(spans, same, "left").select("_row.*", "_spans")
 
 
 def runs_of(spans: list[dict] | None) -> list[tuple[int, int]]:

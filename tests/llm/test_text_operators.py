@@ -171,7 +171,10 @@ def test_repeated_rows_lose_the_same_and_texts_of_one_id_differ(spark):
     got = rows_of(removal_digests(table(spark, [(1, text, "s"), (1, text, "s"), (2, text + " more", "s"), (2, "x", "s")])))
     assert [r[2] for r in got[:2]] == [0, 0]
     assert sorted(r[2] for r in got[2:]) == [0, len(text)]
-    cut = without_repeats(table(spark, [(1, "é" * 120, "s"), (2, "é" * 120 + "b", "s"), (3, None, "s")])).orderBy("doc_id").collect()
+    rows = table(spark, [(1, "é" * 120, "s"), (2, "é" * 120 + "b", "s"), (3, None, "s")])
+    rows = rows.selectExpr("*", "'k' AS key", "'h' AS text_hash", "1 AS _key", "2 AS start")
+    cut = without_repeats(rows).orderBy("doc_id").collect()
+    assert {(r["key"], r["text_hash"], r["_key"], r["start"]) for r in cut} == {("k", "h", 1, 2)}
     # In a run of one letter every string but the first two repeats one before: their first bytes stay.
     assert [r["text"] for r in cut] == ["é", "b", None]
     assert cut[0]["score"] == 0.5
