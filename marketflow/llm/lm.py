@@ -26,7 +26,7 @@ from marketflow.llm.arrays import found, rows_by_bucket, runs, shared_folder, st
 from marketflow.llm.common import id_remainder
 from marketflow.sources.work import new_work_dir
 
-TOKENS_PER_BLOCK = 4_000_000
+TOKENS_PER_BLOCK = 2_500_000
 #: Buckets of contexts per input partition, and how many ways each is split by the next word.
 BUCKETS_PER_PARTITION = 4
 WAYS_BITS = 3
