@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from marketflow.llm.common import materialize
+from marketflow.llm.common import give_back, materialize, tidy
 
 #: The vocabulary's special tokens and its word pattern (white space spelled out).
 SPECIAL = regex.compile(r"(<\|startoftext\|>|<\|endoftext\|>)")
@@ -70,14 +70,25 @@ def _squeezed(data: bytes) -> bytes:
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    """Numbers below 2**32 by byte planes, compressed."""
-    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return _squeezed(planes.tobytes())
+    """Numbers below 2**32 by byte planes, compressed; those below 255 in one plane, the rest apart."""
+    numbers = np.asarray(numbers).astype("<u4")
+    large = numbers[numbers >= 255] - np.uint32(255)
+    planes = np.ascontiguousarray(large.view(np.uint8).reshape(-1, 4).T)
+    return _squeezed(np.minimum(numbers, 255).astype(np.uint8).tobytes()) + b"".join(
+        _squeezed(plane.tobytes()) for plane in planes
+    )
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), dtype=np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    planes = []
+    while data:
+        reader = zstandard.ZstdDecompressor().decompressobj()
+        planes.append(np.frombuffer(reader.decompress(data), dtype=np.uint8))
+        data = reader.unused_data
+    numbers = planes[0].astype("<u4")
+    large = np.ascontiguousarray(np.stack(planes[1:]).T).view("<u4").ravel()
+    numbers[numbers == 255] += large
+    return numbers
 
 
 class _Block:
@@ -104,6 +115,7 @@ class _Block:
         words = sorted(self.index)
         first = np.fromiter((self.index[w] for w in words), dtype=np.int64, count=len(words))
         seen = np.concatenate(self.positions)
+        self.positions.clear()
         counts = np.bincount(seen, minlength=len(words))[first]
         order = np.argsort(-counts, kind="stable")
         number = np.empty(len(words), dtype=np.uint32)
@@ -138,7 +150,7 @@ def _blocks(words_per_block: int, buckets: int):
         if block.docs:
             yield from block.rows(buckets)
 
-    return blocks
+    return tidy(blocks)
 
 
 def _encoded(path: str):
@@ -161,7 +173,7 @@ def _encoded(path: str):
                 counts, ids = np.array([len(f) for f in found]), np.concatenate(found)
                 yield _row(IDS, block=row["block"], steps=row["steps"], counts=packed(counts), ids=packed(ids))
 
-    return encoded
+    return tidy(encoded)
 
 
 def _digests(path: str):
@@ -169,15 +181,14 @@ def _digests(path: str):
         tokenizer = Tokenizer.from_file(path)
         pieces = [(tokenizer.id_to_token(i) or "").encode() for i in range(tokenizer.get_vocab_size())]
         rows = table.to_pylist()
-        codes: dict[int, bytes] = {}
-        texts: dict[int, bytes] = {}
-        for row in rows:
-            if row["ids"] is None:
-                continue
-            ids = unpacked(row["ids"])
-            ends = np.cumsum(unpacked(row["counts"])).tolist()
+        del tokenizer
+        # Words of a block are numbered from 0 without gaps.
+        parts = [(np.cumsum(unpacked(r["steps"])), unpacked(r["counts"]), unpacked(r["ids"])) for r in rows if r["ids"]]
+        total = sum(len(p[0]) for p in parts)
+        codes, texts = [b""] * total, [b""] * total
+        for numbers, counts, ids in parts:
             listed, raw, at = ids.tolist(), ids.tobytes(), 0
-            for number, end in zip(np.cumsum(unpacked(row["steps"])).tolist(), ends):
+            for number, end in zip(numbers.tolist(), np.cumsum(counts).tolist()):
                 codes[number] = raw[4 * at : 4 * end]
                 texts[number] = b" ".join([pieces[i] for i in listed[at:end]])
                 at = end
@@ -192,6 +203,8 @@ def _digests(path: str):
                 ids = b"".join([codes[n] for n in numbers])
                 text = b" ".join([texts[n] for n in numbers])
                 out.append((doc, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()))
+        del codes, texts, parts, rows
+        give_back()
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), RESULT)], schema=RESULT)
 
     return digests
