@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +28,25 @@ def materialize(rows: DataFrame) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return memory that a task has freed to the system: workers go on to other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(mapped: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A function over a task's batches that gives back its memory at the end."""
+
+    @wraps(mapped)
+    def run(batches):
+        yield from mapped(batches)
+        give_back()
+
+    return run
+
+
 def parts_for(rows: int, per_part: int) -> int:
     return max(1, math.ceil(rows / per_part))
 

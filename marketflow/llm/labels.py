@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketflow.llm.common import id_remainder, materialize
+from marketflow.llm.common import id_remainder, materialize, tidy
+
+#: Texts of a batch that are copied into Python objects at a time.
+ROWS_AT_ONCE = 1000
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> tuple[DataFrame, dict[int, int]]:
@@ -50,9 +53,12 @@ def append_scores(
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or b"" for t in batch.column(place).cast(pa.binary()).to_pylist()]
-            found = pa.array(np.asarray(score(texts), dtype=np.float64))
+            column, found = batch.column(place).cast(pa.binary()), []
+            for a in range(0, len(column), ROWS_AT_ONCE):
+                texts = [t or b"" for t in column.slice(a, ROWS_AT_ONCE).to_pylist()]
+                found.append(np.asarray(score(texts), dtype=np.float64))
+            found = pa.array(np.concatenate(found) if found else np.empty(0))
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, name])
 
     schema = T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())])
-    return kept.mapInArrow(scored, schema)
+    return kept.mapInArrow(tidy(scored), schema)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.llm.arrays import found, rows_by_bucket, runs, shared_folder, stored
-from marketflow.llm.common import id_remainder
+from marketflow.llm.common import id_remainder, tidy
 from marketflow.sources.work import new_work_dir
 
 TOKENS_PER_BLOCK = 2_500_000
@@ -142,7 +142,7 @@ def _count(bits: int, most: int):
                 lengths = np.diff(np.append(first, b)).astype(np.uint32)
                 yield _row(int(buckets[a]), PAIRS, contexts[first], lengths, tokens[a:b], counts[a:b])
 
-    return count
+    return tidy(count)
 
 
 def _arrays(data: list[bytes], *types) -> list[np.ndarray]:
@@ -194,7 +194,7 @@ def _merge_pairs(folder: str, bits: int):
             yield from passed()
         yield _row(-1, PAIR_COUNTS, of_counts)
 
-    return merged
+    return tidy(merged)
 
 
 def _merge_words(folder: str):
@@ -222,7 +222,7 @@ def _merge_words(folder: str):
         yield _row(-1, SUMS, sums)
         yield _row(-1, HEAD_COUNTS, of_counts)
 
-    return merged
+    return tidy(merged)
 
 
 def discounts(of_counts: np.ndarray) -> np.ndarray:
@@ -333,7 +333,7 @@ def score(docs: DataFrame, model: Model, tokens_per_block: int = TOKENS_PER_BLOC
                     [docs_here, *(pa.array(x, f.type) for x, f in zip(numbers, list(SCORES)[1:]))], schema=SCORES
                 )
 
-    return docs.mapInArrow(scored, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return docs.mapInArrow(tidy(scored), "doc_id long, n_tokens long, n_known long, base_score double, score double")
 
 
 def language_model_scores(docs: DataFrame, model_dir: str | None = None) -> DataFrame:

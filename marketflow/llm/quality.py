@@ -32,7 +32,7 @@ EPOCHS = 10
 RATE = 0.5
 #: Vectors move by their share of the average times this, and never faster than the layer.
 VECTOR_BOOST = 50
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))

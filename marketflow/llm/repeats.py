@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.llm.arrays import found, rows_by_bucket, runs, shared_folder, stored
+from marketflow.llm.common import tidy
 from marketflow.llm.suffix import MEMORY_ROWS, induced
 from marketflow.sources.work import new_work_dir
 
@@ -151,7 +152,7 @@ def _anchors(bits: int, length: int):
                 here, more = hashes[order[a:b]], counts[order[a:b]] > 1
                 yield _packed(int(buckets[order[a]]), here[~more], here[more])
 
-    return anchors
+    return tidy(anchors)
 
 
 def _repeated(folder: str):
@@ -165,7 +166,7 @@ def _repeated(folder: str):
             stored(folder, f"anchors-{bucket}", hashes[counts > 1])
             yield pa.record_batch([pa.array([int((counts > 1).sum())])], names=["n"])
 
-    return repeated
+    return tidy(repeated)
 
 
 def _spans(key: np.ndarray, text_hash: np.ndarray, start: np.ndarray, stop: np.ndarray) -> list[np.ndarray]:
@@ -229,7 +230,7 @@ def _fragments(folder: str, bits: int, length: int):
                     hashes[here], keys[of], text_hashes[of], place[here], count[here].astype(np.uint16), text,
                 )
 
-    return fragments
+    return tidy(fragments)
 
 
 def marked_places(
@@ -360,7 +361,7 @@ def _removed(bits: int, length: int, slice_bytes: int, rows: int):
                 found_spans += _shared(texts, counts[chosen], keys[chosen], text_hashes[chosen], places[chosen], length, rows)
             yield from _by_document(_spans(*(np.concatenate(c) for c in zip(*found_spans))), bits)
 
-    return removed
+    return tidy(removed)
 
 
 def _by_document(spans: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
@@ -404,7 +405,7 @@ def repeated_spans(
     anchors.mapInArrow(_repeated(folder), "n long").agg(F.sum("n")).first()
     sent = in_buckets(rows.mapInArrow(_fragments(folder, bits, length), PACKED_DDL))
     spans = in_buckets(sent.mapInArrow(_removed(bits, length, slice_bytes, memory_rows), PACKED_DDL))
-    return spans.mapInArrow(_gathered, SPANS_DDL)
+    return spans.mapInArrow(tidy(_gathered), SPANS_DDL)
 
 
 def with_spans(docs: DataFrame, **options) -> DataFrame:
@@ -457,7 +458,7 @@ def removal_digests(docs: DataFrame, **options) -> DataFrame:
                                              [pa.array([], f.type) for f in DIGESTS], schema=DIGESTS)
 
     rows = with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), **options)
-    return rows.mapInArrow(digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return rows.mapInArrow(tidy(digests), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
@@ -479,4 +480,4 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
     rows = with_spans(docs, **options)
-    return rows.mapInArrow(cut, docs.schema)
+    return rows.mapInArrow(tidy(cut), docs.schema)

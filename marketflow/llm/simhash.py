@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import materialize
+from marketflow.llm.common import materialize, tidy
 from marketflow.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             yield pa.record_batch([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(of, "doc_id long, fp long")
+    return rows.mapInArrow(tidy(of), "doc_id long, fp long")
 
 
 def range_masks(ranges: int = RANGES, shared: int = RANGES - MOST_BITS) -> list[int]:
@@ -172,7 +172,7 @@ def similar_fingerprints(distinct: DataFrame, chunk: int = CHUNK) -> DataFrame:
         "pair", "key", "fp", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")
     ).select("pair", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
     place = ["pair", "key", "i", "j"]
-    return met.repartition(*place).sortWithinPartitions(*place).mapInArrow(_links, "a long, b long")
+    return met.repartition(*place).sortWithinPartitions(*place).mapInArrow(tidy(_links), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
