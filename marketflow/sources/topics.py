@@ -100,7 +100,8 @@ class FileTopics:
 
     A sink's folder belongs to one query: another query's batches would be taken for
     batches already written. With ``per_topic`` every topic has a folder and a writing
-    query of its own; without, one query writes all topics.
+    query of its own; without, one query writes all topics, and every reader follows the one
+    log of all of them: meant for drains, backfills and tests, not for live jobs.
     """
 
     path: str
