@@ -14,7 +14,11 @@ earlier in the same document). Matches never cross documents.
    that hold it, once what differs around them is gone). The suffixes of what is left are
    sorted by external induced sorting (``suffix.py``): strings that share 100 bytes lie next
    to each other, and all but the earliest of them are marked.
-4. Marks meet their document by id and are merged and cut out.
+4. An anchor that comes more often than a slice holds fragments is split, so that no task takes
+   all of its text: its strings are counted by their own hash, those that come once are cut off
+   before anything is sent, and the others go one by one to the bucket of their own hash, where
+   equal strings still meet.
+5. Marks meet their document by id and are merged and cut out.
 """
 
 from __future__ import annotations
@@ -145,30 +149,81 @@ def _anchors(bits: int, length: int):
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, texts in _blocks(batches):
-            hashes, counts = np.unique(fragments_of(texts, length)[3], return_counts=True)
-            buckets = _buckets(hashes, bits)
-            order = np.argsort(buckets, kind="stable")
-            for a, b in runs(buckets[order]):
-                here, more = hashes[order[a:b]], counts[order[a:b]] > 1
-                yield _packed(int(buckets[order[a]]), here[~more], here[more])
+            yield from _counted(*np.unique(fragments_of(texts, length)[3], return_counts=True), bits)
 
     return tidy(anchors)
 
 
-def _repeated(folder: str):
-    """Write each bucket's anchors that come more than once."""
+def _counted(hashes: np.ndarray, counts: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """Distinct hashes by bucket: those that come once, those that repeat, and how often these do."""
+    buckets = _buckets(hashes, bits)
+    order = np.argsort(buckets, kind="stable")
+    for a, b in runs(buckets[order]):
+        here, times = hashes[order[a:b]], counts[order[a:b]]
+        more = times > 1
+        yield _packed(int(buckets[order[a]]), here[~more], here[more], times[more].astype(np.uint32))
+
+
+def _repeated(folder: str, kind: str, most: int | None = None):
+    """Write each bucket's hashes that come more than once, and those that come more than ``most`` times."""
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in rows_by_bucket(batches):
-            once = [np.frombuffer(r[0], dtype=np.uint64) for r in rows]
-            more = [np.frombuffer(r[1], dtype=np.uint64) for r in rows]
-            hashes, counts = np.unique(np.concatenate([*once, *more, *more]), return_counts=True)
-            stored(folder, f"anchors-{bucket}", hashes[counts > 1])
-            yield pa.record_batch([pa.array([int((counts > 1).sum())])], names=["n"])
+            once, more = (np.concatenate([np.frombuffer(r[n], dtype=np.uint64) for r in rows]) for n in (0, 1))
+            times = np.concatenate([np.frombuffer(r[2], dtype=np.uint32) for r in rows])
+            hashes, of = np.unique(np.concatenate([once, more]), return_inverse=True)
+            # Sums in doubles are exact here.
+            counts = np.bincount(of, weights=np.append(np.ones(len(once)), times), minlength=len(hashes))
+            stored(folder, f"{kind}-{bucket}", hashes[counts > 1])
+            hot = hashes[counts > most] if most else hashes[:0]
+            if len(hot):
+                stored(folder, f"hot-{bucket}", hot)
+            yield pa.record_batch([pa.array([len(hot)])], names=["n"])
 
     return tidy(repeated)
 
 
+def _known(folder: str, kind: str, hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Which hashes are among those stored."""
+    known = np.zeros(len(hashes), dtype=bool)
+    for hit, _, _ in found(folder, kind, _buckets(hashes, bits), hashes):
+        known[hit] = True
+    return known
+
+
+def _strings_of(words: list[bytes], length: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Strings of fragments, so many bytes at a time: joined text, fragment, place within it and in the text, hash."""
+    first = 0
+    while first < len(words):
+        last, total = first, 0
+        while last < len(words) and total < PIECE:
+            total += len(words[last])
+            last += 1
+        raw = b"".join(words[first:last])
+        sizes = np.fromiter(map(len, words[first:last]), dtype=np.int64, count=last - first)
+        of = np.repeat(np.arange(last - first), sizes - length + 1)
+        at = np.arange(len(of)) + (length - 1) * of
+        within = at - (np.cumsum(sizes) - sizes)[of]
+        yield raw, first + of, within, at, string_hashes(np.frombuffer(raw, dtype=np.uint8), length)[at]
+        first = last
+
+
+def _strings(folder: str, bits: int, length: int):
+    """Distinct strings of each block's fragments of hot anchors, by bucket of their own hash."""
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, texts in _blocks(batches):
+            number, place, count, hashes = fragments_of(texts, length)
+            hot = _known(folder, "hot", hashes, bits)
+            cut = zip(number[hot].tolist(), place[hot].tolist(), (place + count + length - 1)[hot].tolist())
+            words = list({texts[n][a:b] for n, a, b in cut})
+            if words:
+                found_hashes = np.concatenate([h for *_, h in _strings_of(words, length)])
+                yield from _counted(*np.unique(found_hashes, return_counts=True), bits)
+
+    return tidy(strings)
+
+
 def _spans(key: np.ndarray, text_hash: np.ndarray, start: np.ndarray, stop: np.ndarray) -> list[np.ndarray]:
     """Spans in order, with those that touch or overlap made one."""
     order = np.lexsort((start, text_hash, key))
@@ -196,15 +251,41 @@ def _leaders(ids: np.ndarray, key: np.ndarray, text_hash: np.ndarray, place: np.
     return order[new], order[later]
 
 
+def _passed(
+    hashes: np.ndarray, keys: np.ndarray, text_hashes: np.ndarray, places: np.ndarray, sizes: np.ndarray, bits: int
+) -> Iterator[pa.RecordBatch]:
+    """Spans in a bucket of their own below zero: they only pass through what fragments go to."""
+    spans = _spans(keys, text_hashes, places, places + sizes)
+    if len(spans[0]):
+        yield _packed(-1 - int(_buckets(hashes[:1], bits)[0]), *spans)
+
+
+def _sent(
+    words: list[bytes], hashes: np.ndarray, keys: np.ndarray, text_hashes: np.ndarray, places: np.ndarray,
+    counts: np.ndarray, bits: int,
+) -> Iterator[pa.RecordBatch]:
+    """Fragments packed by bucket of the hashes that they meet by."""
+    buckets = _buckets(hashes, bits)
+    order = np.lexsort((hashes, buckets))
+    for a, b in runs(buckets[order]):
+        here = order[a:b]
+        text = zstandard.compress(b"".join([words[i] for i in here.tolist()]), 3)
+        yield _packed(
+            int(buckets[here[0]]),
+            hashes[here], keys[here], text_hashes[here], places[here], counts[here].astype(np.uint16), text,
+        )
+
+
 def _fragments(folder: str, bits: int, length: int):
-    """Fragments of repeated anchors to their buckets, each once per block; later copies as spans."""
+    """Fragments of repeated anchors to their buckets, each once per block; later copies as spans.
+
+    Of hot anchors single strings go, of those that come again, each once per piece of a block.
+    """
 
     def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, text_hashes, texts in _blocks(batches):
             number, place, count, hashes = fragments_of(texts, length)
-            known = np.zeros(len(hashes), dtype=bool)
-            for hit, _, _ in found(folder, "anchors", _buckets(hashes, bits), hashes):
-                known[hit] = True
+            known = _known(folder, "anchors", hashes, bits)
             number, place, count, hashes = (x[known] for x in (number, place, count, hashes))
             if not len(number):
                 continue
@@ -212,23 +293,26 @@ def _fragments(folder: str, bits: int, length: int):
             cut = zip(number.tolist(), place.tolist(), (place + count + length - 1).tolist())
             ids = np.array([contents.setdefault(texts[n][a:b], len(contents)) for n, a, b in cut])
             leaders, later = _leaders(ids, keys[number], text_hashes[number], place)
-            spans = _spans(
-                keys[number[later]], text_hashes[number[later]], place[later], place[later] + count[later] + length - 1
-            )
-            if len(spans[0]):
-                # A bucket of its own below zero: spans only pass through what fragments go to.
-                yield _packed(-1 - int(_buckets(hashes[:1], bits)[0]), *spans)
-            leaders = leaders[np.lexsort((hashes[leaders], _buckets(hashes[leaders], bits)))]
+            coordinates = keys[number], text_hashes[number], place
+            yield from _passed(hashes, *(c[later] for c in coordinates), count[later] + length - 1, bits)
             words = list(contents)
             del contents
-            for a, b in runs(_buckets(hashes[leaders], bits)):
-                here = leaders[a:b]
-                text = zstandard.compress(b"".join([words[i] for i in ids[here].tolist()]), 3)
-                of = number[here]
-                yield _packed(
-                    int(_buckets(hashes[here[:1]], bits)[0]),
-                    hashes[here], keys[of], text_hashes[of], place[here], count[here].astype(np.uint16), text,
-                )
+            hot = _known(folder, "hot", hashes[leaders], bits)
+            alone = leaders[~hot]
+            yield from _sent([words[i] for i in ids[alone].tolist()], hashes[alone], *(c[alone] for c in coordinates), count[alone], bits)
+            split = leaders[hot]
+            split = split[np.argsort(hashes[split], kind="stable")]
+            for raw, of, within, at, own in _strings_of([words[i] for i in ids[split].tolist()], length):
+                again = _known(folder, "strings", own, bits)
+                of, at, own, starts = split[of[again]], at[again], own[again], within[again] + place[split[of[again]]]
+                contents = {}
+                same = np.array([contents.setdefault(raw[a : a + length], len(contents)) for a in at.tolist()], dtype=np.int64)
+                coordinates = keys[number[of]], text_hashes[number[of]], starts
+                first, later = _leaders(same, *coordinates)
+                yield from _passed(own, *(c[later] for c in coordinates), np.full(len(later), length), bits)
+                strings = list(contents)
+                one = np.ones(len(first), dtype=np.int64)
+                yield from _sent([strings[i] for i in same[first].tolist()], own[first], *(c[first] for c in coordinates), one, bits)
 
     return tidy(fragments)
 
@@ -387,6 +471,21 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _in_buckets(packed: DataFrame, bits: int) -> DataFrame:
+    # A number of its own, as tasks of a few packed rows still have much to do.
+    return packed.repartition(1 << bits, "bucket").sortWithinPartitions("bucket")
+
+
+def sent_fragments(rows: DataFrame, folder: str, bits: int, length: int, slice_bytes: int) -> DataFrame:
+    """Packed fragments of what may repeat; of no hash more than fill a slice, but for equal strings."""
+    anchors = _in_buckets(rows.mapInArrow(_anchors(bits, length), PACKED_DDL), bits)
+    most = max(2, slice_bytes // (2 * length - ANCHOR))
+    if anchors.mapInArrow(_repeated(folder, "anchors", most), "n long").agg(F.sum("n")).first()[0]:
+        strings = _in_buckets(rows.mapInArrow(_strings(folder, bits, length), PACKED_DDL), bits)
+        strings.mapInArrow(_repeated(folder, "strings"), "n long").agg(F.sum("n")).first()
+    return rows.mapInArrow(_fragments(folder, bits, length), PACKED_DDL)
+
+
 def repeated_spans(
     rows: DataFrame, length: int = LENGTH, slice_bytes: int = SLICE_BYTES, memory_rows: int = MEMORY_ROWS,
     work_dir: str | None = None,
@@ -398,12 +497,9 @@ def repeated_spans(
     bits = max(1, (BUCKETS_PER_PARTITION * rows.rdd.getNumPartitions() - 1).bit_length())
 
     def in_buckets(packed: DataFrame) -> DataFrame:
-        # A number of its own, as tasks of a few packed rows still have much to do.
-        return packed.repartition(1 << bits, "bucket").sortWithinPartitions("bucket")
+        return _in_buckets(packed, bits)
 
-    anchors = in_buckets(rows.mapInArrow(_anchors(bits, length), PACKED_DDL))
-    anchors.mapInArrow(_repeated(folder), "n long").agg(F.sum("n")).first()
-    sent = in_buckets(rows.mapInArrow(_fragments(folder, bits, length), PACKED_DDL))
+    sent = in_buckets(sent_fragments(rows, folder, bits, length, slice_bytes))
     spans = in_buckets(sent.mapInArrow(_removed(bits, length, slice_bytes, memory_rows), PACKED_DDL))
     return spans.mapInArrow(tidy(_gathered), SPANS_DDL)
 

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -16,7 +17,7 @@ from marketflow.llm.components import connected_components
 from marketflow.llm.lm import language_model_scores
 from marketflow.llm.mixing import mix
 from marketflow.llm.quality import quality
-from marketflow.llm.repeats import removal_digests, without_repeats
+from marketflow.llm.repeats import removal_digests, sent_fragments, without_repeats
 from marketflow.llm.simhash import fingerprint, link_runs, near_duplicates, similar_fingerprints
 from marketflow.llm.suffix import induced
 from marketflow.llm.toxicity import toxicity
@@ -180,6 +181,26 @@ def test_repeated_rows_lose_the_same_and_texts_of_one_id_differ(spark):
     assert cut[0]["score"] == 0.5
 
 
+def test_no_frequent_line_is_one_task(spark, tmp_path):
+    line = "-- this line of fifty-three bytes is in all documents --"
+    rows = [(i, prose(i, 30) + " " + prose(900 + i % 100, 20) + line + prose(i, 30), "s") for i in range(240)]
+    rows += [(900 + i, t, "s") for i, (_, t, _) in enumerate(rows[:9])]
+    docs = table(spark, rows)
+    want = sorted(brute.removals([(d, t) for d, t, _ in rows]))
+    assert sum(r[2] > 0 for r in want) >= 140
+    for slice_bytes in (4 << 20, 2000):
+        assert rows_of(removal_digests(docs, slice_bytes=slice_bytes)) == want
+    packed = sent_fragments(docs.selectExpr("doc_id AS key", "xxhash64(text) AS text_hash", "text"), str(tmp_path), 4, 100, 2000)
+    sent: dict[int, set] = {}
+    for data in (r["data"] for r in packed.filter("bucket >= 0").collect()):
+        text, at = zstandard.decompress(data[5]), 0
+        for h, n in zip(np.frombuffer(data[0], np.uint64).tolist(), np.frombuffer(data[4], np.uint16).tolist()):
+            sent.setdefault(h, set()).add(text[at : at + n + 99])
+            at += n + 99
+    # 2,000 bytes hold 11 fragments of 168 bytes at most; the line's anchors have 240 and more.
+    assert max(map(len, sent.values())) <= 11
+
+
 @pytest.mark.parametrize("rows", [3, 40, 10_000])
 def test_suffix_order_and_common_prefixes(rows):
     rng = np.random.default_rng(5)
