@@ -1,32 +1,34 @@
 """Toxicity by compression distance with zstandard dictionaries.
 
-Two dictionaries share a base that zstandard trains on windows of ordinary text. The toxic
-one ends in segments of words that toxic documents hold significantly more often than
-ordinary ones; the ordinary one ends in as many bytes of ordinary text. A window that shrinks
-more with the toxic dictionary than with the ordinary one holds such segments. How far and
-how often that happens in a document is turned into a probability by thresholds and a
-logistic curve calibrated on labelled documents that the dictionaries were not made from.
+A dictionary that zstandard trains on toxic windows is set against one that it trains on
+ordinary windows; both follow a base that is trained on ordinary text. A second pair follows the
+same base with segments of words: those that toxic documents hold significantly more often than
+ordinary ones, and those of the reverse. What windows shrink more with the toxic dictionary of
+a pair than with the ordinary one, and how often, is turned into a probability by thresholds and
+a logistic curve calibrated on labelled documents that the dictionaries were not made from.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import id_remainder
+from marketflow.llm.common import id_remainder, materialize
 from marketflow.llm.labels import append_scores, class_weights, labelled_sample
 
 #: Labelled rows per class that are looked at, at most: half for dictionaries, half for calibration.
 SAMPLE_PER_CLASS = 2048
 WINDOW, STRIDE = 48, 24
 BASE_BYTES = 60_000
-#: Windows of ordinary text that the base is trained on, at most; chosen by hash.
+#: Bytes of the dictionary of either class that follows the base.
+CLASS_BYTES = 4_000
+#: Windows of a class that dictionaries are trained on, at most; chosen by hash.
 BASE_WINDOWS = 30_000
 LEVEL = 6
 #: Segments are beginnings of words of 4 to 12 bytes with the space before, or whole words.
@@ -68,32 +70,33 @@ def segments(text: bytes) -> set[bytes]:
 
 @dataclass(frozen=True)
 class Model:
-    """Two dictionaries and a logistic curve over what windows gain."""
+    """Pairs of an ordinary and a toxic dictionary, and a logistic curve over what windows gain."""
 
-    toxic: bytes
-    ordinary: bytes
+    pairs: tuple[tuple[bytes, bytes], ...]
     curve: np.ndarray
 
     def gains(self, texts: list[bytes]) -> np.ndarray:
-        """Per text: what windows gain beyond each threshold by the square root of their number, the most, its size."""
-        compressors = [_compressor(d) for d in (self.ordinary, self.toxic)]
-        out = np.zeros((len(texts), len(GAINS) + 2))
+        """Per text and pair: what windows gain beyond each threshold by the square root of their number, the most; size."""
+        compressors = [[_compressor(d) for d in pair] for pair in self.pairs]
+        each = len(GAINS) + 1
+        out = np.zeros((len(texts), n_features(len(self.pairs))))
         counts = np.zeros(len(texts))
-        out[:, -2] = -1
+        out[:, len(GAINS) : -1 : each] = -1
         held: list[bytes] = []
         of: list[int] = []
 
         def flush() -> None:
             if not held:
                 return
-            ordinary, toxic = (
-                np.fromiter(map(len, c.multi_compress_to_buffer(held)), dtype=np.int64, count=len(held))
-                for c in compressors
-            )
-            gain, numbers = ordinary - toxic, np.array(of)
-            for n, least in enumerate(GAINS):
-                out[:, n] += np.bincount(numbers, weights=np.maximum(gain - least, 0), minlength=len(texts))
-            np.maximum.at(out[:, -2], numbers, gain)
+            numbers = np.array(of)
+            for p, pair in enumerate(compressors):
+                ordinary, toxic = (
+                    np.fromiter(map(len, c.multi_compress_to_buffer(held)), dtype=np.int64, count=len(held)) for c in pair
+                )
+                gain = ordinary - toxic
+                for n, least in enumerate(GAINS):
+                    out[:, p * each + n] += np.bincount(numbers, weights=np.maximum(gain - least, 0), minlength=len(texts))
+                np.maximum.at(out[:, p * each + len(GAINS)], numbers, gain)
             counts[:] += np.bincount(numbers, minlength=len(texts))
             held.clear()
             of.clear()
@@ -105,7 +108,8 @@ class Model:
                 if len(held) >= WINDOWS_AT_ONCE:
                     flush()
         flush()
-        out[:, : len(GAINS)] /= np.sqrt(np.maximum(counts, 1))[:, None]
+        for n in range(len(GAINS)):
+            out[:, n : -1 : each] /= np.sqrt(np.maximum(counts, 1))[:, None]
         out[:, -1] = np.log1p(counts)
         return out
 
@@ -114,6 +118,10 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
 
 
+def n_features(pairs: int) -> int:
+    return pairs * (len(GAINS) + 1) + 1
+
+
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     settings = zstandard.ZstdCompressionParameters.from_level(
         LEVEL, write_content_size=0, write_checksum=0, write_dict_id=0
@@ -122,17 +130,25 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=content if dictionary else None, compression_params=settings)
 
 
-def trained_base(samples: list[bytes], size: int = BASE_BYTES) -> bytes:
+def trained(samples: list[bytes], size: int) -> bytes:
     """Content of a dictionary trained on windows; of few windows, the windows themselves."""
     if sum(map(len, samples)) > 4 * size:
         return zstandard.train_dictionary(size, samples).as_bytes()
     return b"".join(samples)[-size:]
 
 
-def chosen_segments(ranked: list[bytes]) -> list[bytes]:
-    """Segments in order of significance, without those that hold, or lie in, one before."""
+def level(one: bytes, other: bytes) -> tuple[bytes, bytes]:
+    """Ends of two dictionaries made equally long, so that the base before lies equally far back."""
+    size = max(len(one), len(other))
+    return one.rjust(size), other.rjust(size)
+
+
+def chosen_segments(ranked: Iterable[bytes], most: int = MOST_SEGMENTS) -> list[bytes]:
+    """The first ``most`` in order of significance of those that neither hold, nor lie in, one before."""
     out: list[bytes] = []
     for segment in ranked:
+        if len(out) == most:
+            break
         if not any(s in segment or segment in s for s in out):
             out.append(segment)
     return out
@@ -185,7 +201,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
         found = sorted(segments(cleaned(text)))
         return pa.record_batch([pa.array(found, pa.binary()), pa.array([answer] * len(found), pa.int32())], names=["segment", "label"])
 
-    def found_windows(text: bytes, _: int) -> pa.RecordBatch:
+    def found_windows(text: bytes, _: int | None) -> pa.RecordBatch:
         return pa.record_batch([pa.array(list(windows(cleaned(text))), pa.binary())], names=["window"])
 
     all_of = {r["label"]: r["count"] for r in learn.groupBy("label").count().collect()}
@@ -193,7 +209,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
         _mapped(learn, found_segments, "segment binary, label int")
         .groupBy("segment")
         .agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("ordinary"))
-        .filter(F.col("toxic") >= LEAST_DOCUMENTS)
+        .filter(F.greatest("toxic", "ordinary") >= LEAST_DOCUMENTS)
     )
     n_toxic, n_ordinary = F.lit(float(all_of.get(1, 0))), F.lit(float(all_of.get(0, 0)))
     share = (F.col("toxic") + F.col("ordinary")) / (n_toxic + n_ordinary)
@@ -205,26 +221,36 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
         term(F.col("toxic"), n_toxic * share) + term(n_toxic - F.col("toxic"), n_toxic * (1 - share))
         + term(F.col("ordinary"), n_ordinary * share) + term(n_ordinary - F.col("ordinary"), n_ordinary * (1 - share))
     )
-    ranked = (
-        counts.filter(F.col("toxic") * n_ordinary > F.col("ordinary") * n_toxic)
-        .withColumn("ratio", F.round(ratio, 6))
-        .filter(F.col("ratio") >= LEAST_RATIO)
-        .orderBy(F.desc("ratio"), F.desc(F.length("segment")), "segment")
-        .limit(MOST_SEGMENTS)
-        .collect()
-    )
-    markers = chosen_segments([bytes(r["segment"]) for r in ranked])
-    base = (
-        _mapped(learn.filter("label = 0"), found_windows, "window binary")
-        .orderBy(F.xxhash64("window"), "window")
-        .limit(BASE_WINDOWS)
-        .toArrow()["window"]
-        .to_pylist()
-    )
-    shared = trained_base(base)
-    tail = b"".join(reversed(markers))
-    filler = shared[: len(tail)].ljust(len(tail))
-    plain = Model(shared + tail, shared + filler, np.zeros(len(GAINS) + 3))
+    significant = materialize(counts.withColumn("ratio", F.round(ratio, 6)).filter(F.col("ratio") >= LEAST_RATIO))
+    more = F.col("toxic") * n_ordinary - F.col("ordinary") * n_toxic
+
+    def markers(of_class: Column, seen: str) -> list[bytes]:
+        """Segments of a class; they come one partition at a time, as many as it takes."""
+        ranked = (
+            significant.filter(of_class & (F.col(seen) >= LEAST_DOCUMENTS))
+            .orderBy(F.desc("ratio"), F.desc(F.length("segment")), "segment")
+            .select("segment")
+        )
+        return chosen_segments(bytes(r["segment"]) for r in ranked.toLocalIterator())
+
+    toxic_markers, ordinary_markers = markers(more > 0, "toxic"), markers(more < 0, "ordinary")
+
+    def marked_windows(text: bytes, _: int | None) -> pa.RecordBatch:
+        some = [w for w in windows(cleaned(text)) if any(m in w for m in toxic_markers)]
+        return pa.record_batch([pa.array(some, pa.binary())], names=["window"])
+
+    def training(answer: int, of) -> list[bytes]:
+        found = _mapped(learn.filter(F.col("label") == answer), of, "window binary")
+        return found.orderBy(F.xxhash64("window"), "window").limit(BASE_WINDOWS).toArrow()["window"].to_pylist()
+
+    # Most windows of a toxic document are ordinary text: those with its segments are the toxic ones.
+    ordinary_windows = training(0, found_windows)
+    toxic_windows = training(1, marked_windows if toxic_markers else found_windows)
+    shared = trained(ordinary_windows, BASE_BYTES)
+    own = level(trained(ordinary_windows[: max(1, len(toxic_windows))], CLASS_BYTES), trained(toxic_windows, CLASS_BYTES))
+    tails = level(*(b"".join(reversed(m)) for m in (ordinary_markers, toxic_markers)))
+    pairs = tuple(tuple(shared + end for end in ends) for ends in (own, tails))
+    plain = Model(pairs, np.zeros(n_features(len(pairs)) + 1))
 
     def numbers(text: bytes, answer: int) -> pa.RecordBatch:
         row = pa.array(plain.gains([text]).tolist(), pa.list_(pa.float64()))
@@ -232,8 +258,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
 
     table = _mapped(check, numbers, "label int, gains array<double>").toArrow()
     answers = table["label"].to_numpy().astype(np.float64)
-    gains = np.array(table["gains"].to_pylist(), dtype=np.float64).reshape(-1, len(GAINS) + 2)
-    return Model(plain.toxic, plain.ordinary, logistic(gains, answers, class_weights(answers, sizes)))
+    gains = np.array(table["gains"].to_pylist(), dtype=np.float64).reshape(-1, n_features(len(pairs)))
+    return Model(pairs, logistic(gains, answers, class_weights(answers, sizes)))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

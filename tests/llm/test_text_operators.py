@@ -20,7 +20,7 @@ from marketflow.llm.quality import quality
 from marketflow.llm.repeats import removal_digests, sent_fragments, without_repeats
 from marketflow.llm.simhash import fingerprint, link_runs, near_duplicates, similar_fingerprints
 from marketflow.llm.suffix import induced
-from marketflow.llm.toxicity import toxicity
+from marketflow.llm.toxicity import chosen_segments, fit_toxicity, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, bucket string, hash int"
@@ -261,3 +261,21 @@ def test_toxicity_without_labels_or_documents(spark):
     empty = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity(table(spark, [(1, "a", "s"), (2, None, "s")]), empty).collect()} == {0.5}
     assert toxicity(table(spark, []), empty).collect() == []
+
+
+def test_toxic_and_ordinary_dictionaries_are_both_trained(spark):
+    rng = random.Random(8)
+    bad = [prose(i, 100) + " zzvorkel" + prose(2000 + i, 3) for i in range(300)]
+    good = [" ".join(f"mild{rng.randint(0, 20)}" for _ in range(100)) for _ in range(300)]
+    texts = [(i, t, "s") for i, t in enumerate([*bad, *good])]
+    labels = spark.createDataFrame([(i, int(i < 300)) for i in range(600)], "doc_id long, toxic int")
+    (ordinary, toxic), (ordinary_marks, toxic_marks) = fit_toxicity(table(spark, texts), labels).pairs
+    assert b"zzvorkel" in toxic and b"zzvorkel" not in ordinary
+    assert len(toxic) == len(ordinary) and len(toxic_marks) == len(ordinary_marks)
+    assert b"zzvorkel" in toxic_marks and b"mild" not in toxic_marks[-len(b" mild1") :]
+    assert ordinary_marks != toxic_marks and b"mild" in ordinary_marks[-12:]
+
+
+def test_parts_of_one_word_take_one_place():
+    ranked = [b" abcdefgh"[:n] for n in range(9, 4, -1)] + [b" second", b" third"]
+    assert chosen_segments(ranked, 2) == [b" abcdefgh", b" second"]
