@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.llm.ann import approximate_nearest
 from marketflow.llm.bpe import encode_and_decode
 from marketflow.llm.chat import format_paths, parsed_turns, threads
+from marketflow.llm.common import WORD
 from marketflow.llm.lm import language_model_scores
 from marketflow.llm.mixing import mix
+from marketflow.llm.periods import periodic_runs
+from marketflow.llm.pieces import decode_pieces, encode_pieces
 from marketflow.llm.quality import quality
 from marketflow.llm.repeats import removal_digests
 from marketflow.llm.simhash import near_duplicates
 from marketflow.llm.topk import exact_top_k
 from marketflow.llm.toxicity import toxicity
+from marketflow.llm.whitening import Whitening, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +89,84 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digests(_table(spark, sf_dir, "documents"))
 
 
+def _deviation(x: str, fit: Whitening, shift: int) -> Column:
+    """Sum over dimensions of ``(n * x - S) ** 2``, exact; an error where it does not fit a long."""
+    sums = F.array(*map(F.lit, fit.sums)).cast("array<bigint>")
+    fits = len(fit.sums) * (fit.rows * (fit.reach + 1)) ** 2 < 2**63
+    kind = "bigint" if fits else "decimal(38,0)"
+
+    def square(entry: Column, total: Column) -> Column:
+        apart = (F.coalesce(entry, F.lit(shift)) * F.lit(fit.rows).cast("bigint") - total).cast(kind)
+        return (apart * apart).cast(kind)
+
+    total = F.aggregate(F.zip_with(x, sums, square), F.lit(0).cast(kind), lambda a, b: (a + b).cast(kind))
+    if fits:
+        return total
+    small = total <= F.lit(2**63 - 1).cast("decimal(38,0)")
+    return F.when(small, total.cast("bigint")).otherwise(F.raise_error(F.lit("a deviation does not fit a long")))
+
+
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shift = 100_000
+    rows, fit, error = whitening(_table(spark, sf_dir, "embeddings"), 8, scale=1024.0, shift=shift)
+    explained = F.array(*map(F.lit, fit.explained() if fit else [])).cast("array<double>")
+    return rows.select(
+        "vec_id",
+        (_deviation("x", fit, shift) if fit else F.lit(None).cast("long")).alias("deviation"),
+        F.posexplode("whitened").alias("at", "whitened"),
+    ).select(
+        "vec_id", (F.col("at") + 1).cast("int").alias("component"), F.lit(fit.rows if fit else 0).cast("long").alias("n"),
+        "deviation", "whitened", F.get(explained, F.col("at")).alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: of every tenth document, by hash of its id, the tail repeats its first words."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        places = F.sequence(F.lit(0).cast("long"), n - 1)
+        tail = F.transform(places, lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+        return F.when(n > 0, F.array_join(tail, " ")).otherwise(F.lit(""))
+
+    # The words are bound once, as the one element of an array.
+    words = F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(f"({WORD})"), F.lit(1))
+    text = F.when(h % 10 == 0, F.get(F.transform(F.array(words), repeated), F.lit(0))).otherwise(F.col("text").cast("string"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(planted_periods(_table(spark, sf_dir, "documents")))
+    # Largest length first, then smallest start and period.
+    by_length = F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.array_min(by_length)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", F.col("best.start").alias("start"), (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(-F.col("best.less") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256",
+    )
+
+
+def op13_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = decode_pieces(encode_pieces(_table(spark, sf_dir, "documents"), model), model)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_exact_topk": op1_exact_topk,
     "op2_subword_quality": op2_subword_quality,
@@ -96,4 +178,7 @@ QUERIES = {
     "op8_zstd_toxicity": op8_zstd_toxicity,
     "op9_word_bpe": op9_word_bpe,
     "op10_suffix_repeats": op10_suffix_repeats,
+    "op11_whitening": op11_whitening,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_piece_bpe": op13_piece_bpe,
 }

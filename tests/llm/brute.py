@@ -151,3 +151,42 @@ def nearest(rows: list[tuple[int, list[float]]], queries: set[int], k: int, scal
         scored = [(i, float((value[q] * v).sum())) for i, v in value.items() if i != q]
         out[q] = sorted(scored, key=lambda s: (-s[1], s[0]))[:k]
     return out
+
+
+def planted(doc: int | None, found: list[str]) -> list[str]:
+    h = zlib.crc32(("" if doc is None else str(doc)).encode())
+    g, n = h // 10, len(found)
+    if h % 10 or not n:
+        return found
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [found[i] if i < a else found[a + (i - a) % p] for i in range(n)]
+
+
+def periodic(found: list) -> list[tuple[int, int, int]]:
+    """``start, length, period`` of all runs, lag by lag."""
+    out, seen = [], set()
+    for q in range(1, len(found) // 4 + 1):
+        i = 0
+        while i + q < len(found):
+            j = i
+            while j + q < len(found) and found[j] == found[j + q]:
+                j += 1
+            run = i, j - i + q
+            if j > i and run[1] >= max(6, 4 * q) and run not in seen:
+                seen.add(run)
+                out.append((*run, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def run_digests(doc: int | None, text: str | None) -> tuple:
+    """The row of the periodic run query for a document."""
+    found = planted(doc, words(text))
+    runs = periodic(found)
+    kept = [w for i, w in enumerate(found) if not any(s + q <= i < s + m for s, m, q in runs)]
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=(None, None, None))
+    lines = "".join(f"{s},{m},{q}\n" for s, m, q in runs)
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    milli = 1000 * best[1] // best[2] if runs else None
+    return doc, len(runs), *best, milli, digest(lines), digest(" ".join(kept))

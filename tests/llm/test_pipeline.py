@@ -68,7 +68,7 @@ def test_stages_take_awkward_rows(spark, stage):
 def test_everything_is_registered():
     names = set(entry.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op3_chat_trees", "op4_hash_mix"])
