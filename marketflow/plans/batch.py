@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
 from marketflow.operators import decode_processed, normalize, valid_rows, validate
 from marketflow.schemas import EVENT_MS, kind_of
 from marketflow.sources.tables import append_rows
-from marketflow.sources.topics import FileTopics, KafkaTopics
+from marketflow.sources.numbered import NumberedTopics
+from marketflow.sources.topics import FileTopics, KafkaTopics, Offsets
 
 # What a table folder keeps besides the table's columns.
 STORED = ("partition", "offset", "value", EVENT_MS)
@@ -22,19 +25,23 @@ def raw_to_rows(raw: DataFrame, endpoint: str, *extra: str) -> DataFrame:
 def backfill(
     spark: SparkSession,
     endpoint: str,
-    source: FileTopics | KafkaTopics,
+    source: FileTopics | KafkaTopics | NumberedTopics,
     path: str,
     *,
-    start: int | None = None,
-    end: int | None = None,
+    start: Offsets | None = None,
+    end: Offsets | None = None,
+    since: dt.datetime | None = None,
+    until: dt.datetime | None = None,
     processed: bool = False,
 ) -> None:
-    """Append a kind's raw or processed topic, or a range of its offsets, to its table.
+    """Append a kind's raw or processed topic, or a range of it, to its table.
 
-    ``start`` is read and ``end`` is not. What the table holds already is skipped by topic
-    partition and offset, so a backfill may be run again, or again over a longer range.
+    A range goes by offsets (one for all partitions, or one each) or by record time; its start
+    is read and its end is not. What the table holds already is skipped by topic partition
+    and offset, so a backfill may be run again, or again over a longer range.
     """
     kind = kind_of(endpoint)
-    records = source.read(spark, kind.processed_topic if processed else kind.raw_topic, start, end)
+    topic = kind.processed_topic if processed else kind.raw_topic
+    records = source.read(spark, topic, start, end, since=since, until=until)
     read = decode_processed if processed else normalize
     append_rows(read(records, endpoint, carry=STORED), endpoint, path, skip_stored=True)

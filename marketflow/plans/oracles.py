@@ -257,6 +257,19 @@ ORACLES = {
     """,
     "backfilled_twice": f"SELECT {TRADE_COLUMNS} FROM events",
     "backfilled_processed": LATEST_KLINES,
+    "backfilled_gaps": f"SELECT {TRADE_COLUMNS} FROM events",
+    "backfilled_positions": f"""
+        SELECT {partition("ts")} AS partition, CAST(0 AS BIGINT) AS first, count(*) - 1 AS last FROM events GROUP BY 1
+    """,
+    "backfilled_range": f"""
+        SELECT {TRADE_COLUMNS} FROM events WHERE ts >= TIMESTAMP '2024-01-02' AND ts < TIMESTAMP '2024-01-03'
+    """,
+    "topic_offsets": f"""
+        SELECT 'trade_raw' AS topic, {partition("ts")} AS partition, CAST(event_id % 2 AS INTEGER) AS half,
+            row_number() OVER (PARTITION BY {partition("ts")} ORDER BY event_id % 2, event_id) - 1 AS "offset"
+        FROM events
+    """,
+    "stream_klines_state": LATEST_KLINES,
     "backfilled_depths": f"""
         SELECT
             {seconds("ts")} AS timestamp_utc,

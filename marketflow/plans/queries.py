@@ -40,11 +40,14 @@ from marketflow.sources.tables import (
     read_compacted,
     read_quarantine,
     read_table,
+    stored_positions,
 )
+from marketflow.sources.numbered import NumberedTopics
 from marketflow.sources.topics import FileTopics
 from marketflow.sources.work import new_work_dir
 from marketflow.streaming import Pipeline
 from marketflow.streaming.jobs import DEAD_LETTERS
+from marketflow.streaming.latest import read_latest, start_latest
 
 MARKETS = ["CLICK", "Purchase", ""]
 ENDPOINTS = ["trade", "kline_3m", "kline_1h", "depth", ""]
@@ -359,6 +362,77 @@ def backfilled_processed(spark, sf_dir):
     return comparable(read_table(spark, "kline", pipeline.table_path("kline")))
 
 
+def _numbered_trades(spark, sf_dir, root: str) -> NumberedTopics:
+    """Trades routed to numbered topics in two batches, even event ids first, with the event time as theirs."""
+    topics = NumberedTopics(f"{root}/raw")
+    events = _rows(spark, sf_dir, "events")
+    for half in (0, 1):
+        routed = routed_messages(route_raw(adapters.trades(events.filter(F.col("event_id") % 2 == half))))
+        time = F.timestamp_millis(F.get_json_object("value", "$.E").cast("bigint"))
+        topics.append(routed.withColumn("timestamp", time))
+    return topics
+
+
+def topic_offsets(spark, sf_dir):
+    """Offsets that two batches of trades get: consecutive per topic partition, the second after the first."""
+    topics = _numbered_trades(spark, sf_dir, new_work_dir(spark))
+    half = F.get_json_object("value", "$.t").cast("bigint") % 2
+    return topics.read(spark, "trade_raw").select("topic", "partition", "offset", half.cast("int").alias("half"))
+
+
+# Bounds of a backfill by time.
+SINCE = dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc)
+UNTIL = dt.datetime(2024, 1, 3, tzinfo=dt.timezone.utc)
+
+
+def _backfilled_gaps(spark, sf_dir) -> str:
+    """A range of a topic, another one in every partition, then all of it, twice."""
+    root = new_work_dir(spark)
+    topics, path = _numbered_trades(spark, sf_dir, root), f"{root}/trades"
+    backfill(spark, "trade", topics, path, start=10, end=60)
+    ends = {p: 70 + 5 * p for p in range(9)}
+    backfill(spark, "trade", topics, path, start={p: 50 + 5 * p for p in range(9)}, end=ends)
+    for _ in range(2):
+        backfill(spark, "trade", topics, path)
+    return path
+
+
+def backfilled_gaps(spark, sf_dir):
+    """Trades of a topic backfilled range by range, with the gaps filled by what came last."""
+    return comparable(read_table(spark, "trade", _backfilled_gaps(spark, sf_dir)))
+
+
+def backfilled_positions(spark, sf_dir):
+    """What the ledger of such a table lists: one interval of offsets per topic partition."""
+    return stored_positions(spark, _backfilled_gaps(spark, sf_dir))
+
+
+def backfilled_range(spark, sf_dir):
+    """Trades of a file topic from the first one of a day on and before the first one of the next, by record time."""
+    root = new_work_dir(spark)
+    topics, path = NumberedTopics(f"{root}/raw"), f"{root}/trades"
+    routed = routed_messages(route_raw(adapters.trades(_rows(spark, sf_dir, "events"))))
+    time = F.timestamp_millis(F.get_json_object("value", "$.E").cast("bigint"))
+    dated = routed.withColumn("timestamp", time)
+    # Earlier records come in an earlier batch; within a batch they come in any order.
+    part = (time >= F.lit(SINCE)).cast("int") + (time >= F.lit(UNTIL)).cast("int")
+    for n in range(3):
+        topics.append(dated.filter(part == n))
+    backfill(spark, "trade", topics, path, since=SINCE, until=UNTIL)
+    return comparable(read_table(spark, "trade", path))
+
+
+def stream_klines_state(spark, sf_dir):
+    """Candlesticks routed by a stream and kept as state by another, a file per micro-batch."""
+    root = new_work_dir(spark)
+    _rows(spark, sf_dir, "events").repartition(4).write.parquet(f"{root}/events.parquet")
+    topics = FileTopics(f"{root}/raw", files_per_trigger=1)
+    pipeline = Pipeline(spark, ["kline_1h"], root, topics, topics)
+    pipeline.route(adapters.klines(adapters.stream_rows(spark, root, "events"))).awaitTermination()
+    start_latest(spark, topics, f"{root}/latest", f"{root}/checkpoints/latest").awaitTermination()
+    return comparable(read_latest(spark, f"{root}/latest"))
+
+
 QUERIES = {
     "trades_normalized": trades_normalized,
     "agg_trades_normalized": agg_trades_normalized,
@@ -393,4 +467,9 @@ QUERIES = {
     "backfilled_depths": backfilled_depths,
     "backfilled_twice": backfilled_twice,
     "backfilled_processed": backfilled_processed,
+    "backfilled_gaps": backfilled_gaps,
+    "backfilled_positions": backfilled_positions,
+    "backfilled_range": backfilled_range,
+    "topic_offsets": topic_offsets,
+    "stream_klines_state": stream_klines_state,
 }

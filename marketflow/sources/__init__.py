@@ -1,5 +1,6 @@
 """Topics, tables and work folders."""
 
+from marketflow.sources.numbered import NumberedTopics, with_offsets
 from marketflow.sources.tables import (
     append_rows,
     compact_table,
@@ -9,6 +10,7 @@ from marketflow.sources.tables import (
     read_quarantine,
     read_table,
     register_views,
+    stored_positions,
     table_rows,
 )
 from marketflow.sources.topics import FileTopics, KafkaTopics, Rate, published_rate
@@ -17,6 +19,7 @@ from marketflow.sources.work import new_work_dir
 __all__ = [
     "FileTopics",
     "KafkaTopics",
+    "NumberedTopics",
     "Rate",
     "append_rows",
     "compact_table",
@@ -28,5 +31,7 @@ __all__ = [
     "read_quarantine",
     "read_table",
     "register_views",
+    "stored_positions",
     "table_rows",
+    "with_offsets",
 ]

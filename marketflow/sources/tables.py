@@ -21,6 +21,7 @@ from marketflow.functions import utc_date
 from marketflow.operators.latest import latest_klines
 from marketflow.operators.validate import REASON, validate
 from marketflow.schemas import EVENT_MS, Kind, distinct_kinds, kind_of
+from marketflow.sources.positions import Ledger, merged, without_positions
 from marketflow.sources.work import claim_batch_folder, new_work_dir, owner_of
 
 REJECTED = "rejected"
@@ -68,14 +69,22 @@ def append_rows(rows: DataFrame, endpoint: str, path: str, *, skip_stored: bool
     symbol or date. The sort lets readers skip row groups and pages by symbol and time.
     ``skip_stored`` leaves out what the table holds already, by topic partition and offset,
     so that a batch may be run again; rows without a position are appended all the same.
+    What is stored is known from the table's ledger of positions; the table is not read. One
+    job at a time appends to a table.
     """
     kind = kind_of(endpoint)
     spark = rows.sparkSession
     stored_before = owner_of(spark, path) is not None
     claim_batch_folder(spark, path)
+    ledger = Ledger(spark, path)
+    kept = ledger.exists()
     if skip_stored and stored_before:
-        there = _stored(spark, endpoint, path).select("partition", "offset").distinct()
-        rows = rows.join(there, ["partition", "offset"], "left_anti")
+        if not kept:
+            ledger.begin(all_files=True)
+        ledger.settle()
+        rows = without_positions(rows, ledger.intervals())
+    if skip_stored or kept:
+        ledger.begin()
     stored = table_rows(rows, endpoint)
     partitions = partition_columns(endpoint)
     (
@@ -85,6 +94,13 @@ def append_rows(rows: DataFrame, endpoint: str, path: str, *, skip_stored: bool
         .partitionBy(*partitions)
         .parquet(path)
     )
+    if skip_stored:
+        ledger.settle()
+
+
+def stored_positions(spark: SparkSession, path: str) -> DataFrame:
+    """``partition, first, last``: the intervals of offsets that a table's ledger lists, merged."""
+    return merged(Ledger(spark, path).intervals())
 
 
 def _stored(spark: SparkSession, endpoint: str, path: str) -> DataFrame:

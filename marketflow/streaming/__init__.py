@@ -8,5 +8,6 @@ from marketflow.streaming.jobs import (
     start_routing,
     start_transform,
 )
+from marketflow.streaming.latest import read_latest, running_latest, start_latest
 
-__all__ = ["Pipeline", "await_any", "start_direct", "start_load", "start_routing", "start_transform"]
+__all__ = ["Pipeline", "await_any", "read_latest", "running_latest", "start_direct", "start_latest", "start_load", "start_routing", "start_transform"]
