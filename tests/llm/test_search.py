@@ -47,8 +47,31 @@ def test_top_k_leaves_out_what_is_no_vector_and_returns_all_if_fewer(spark):
 
 
 def test_top_k_keeps_other_rows_of_an_id_and_huge_components(spark):
-    got = found(exact_top_k(table(spark, [(0, [1.0]), (0, [2.0]), (1, [1e30])]), F.col("vec_id") == 0, 5))
-    assert sorted(got[0]) == [(0, 2**17), (0, 2**17), (1, 2**34), (1, 2**35)]
+    got = found(exact_top_k(table(spark, [(0, [1.0]), (0, [2.0]), (1, [1e8]), (2, [3e5])]), F.col("vec_id") == 0, 5))
+    near = [(2, 76_800_000 * 256), (2, 76_800_000 * 512)]
+    assert sorted(got[0]) == [(0, 2**17), (0, 2**17), (1, 2**16 * 10**8), (1, 2**17 * 10**8), *near]
+    got = found(exact_top_k(table(spark, [(0, [1.0]), (1, [3e5]), (2, [6e5])]), F.col("vec_id") == 0, 5))
+    assert got == {0: [(2, 39_321_600_000), (1, 19_660_800_000)]}
+    with pytest.raises(Exception, match="does not fit a long"):
+        exact_top_k(table(spark, [(0, [1.0]), (1, [1e30])]), F.col("vec_id") == 0, 5).collect()
+    # Its score is none of the best.
+    assert found(exact_top_k(table(spark, [(0, [1.0]), (1, [-1e30]), (2, [2.0])]), F.col("vec_id") == 0, 1)) == {0: [(2, 2**17)]}
+
+
+@pytest.mark.parametrize("size, wide", [(1e4, 3), (1e7, 3), (1e8, 1)])
+def test_top_k_is_exact_where_doubles_round(spark, size, wide):
+    rng = np.random.default_rng(int(size))
+    base = rng.integers(-size, size, (1, 16))
+    # Neighbours of one vector: scores that differ in the last places only.
+    rows = [(i, (base[0] + rng.integers(-2, 3, 16) * (rng.random(16) < 0.2 * wide)).astype(float).tolist()) for i in range(300)]
+    double = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = found(exact_top_k(double, F.col("vec_id") % 50 == 0, 5, scale=1.0, candidates_per_block=90, queries_per_block=4))
+    whole = {i: [int(c) for c in v] for i, v in rows}
+    for q in range(0, 300, 50):
+        scores = [(i, sum(a * b for a, b in zip(whole[q], v))) for i, v in whole.items() if i != q]
+        want = sorted(scores, key=lambda s: (-s[1], s[0]))[:5]
+        if abs(want[0][1]) < 2**63:
+            assert got[q] == want
 
 
 def test_top_k_of_nothing(spark):
