@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import every_number, finite_vector, materialize, parts_for
-from marketflow.llm.topk import matrix_of, widest
+from marketflow.llm.topk import MOST_PARTITIONS, matrix_of, widest
 
 ROWS_PER_SHARD = 4096
 QUERIES_PER_BLOCK = 2048
@@ -287,6 +287,8 @@ def approximate_nearest(
         F.col(vector_column).cast("array<double>").alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("is_query"),
     ).withColumn("row", F.monotonically_increasing_id())
+    # Written once: a row keeps its number as candidate and as query.
+    rows = materialize(rows)
     n_rows, n_queries = rows.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(F.col("is_query").cast("long")), F.lit(0))
     ).first()
@@ -295,7 +297,7 @@ def approximate_nearest(
     settings = {"degree": degree, "length": build_list, "alpha": alpha}
     index = materialize(
         rows.withColumn("shard", F.pmod(dealt, F.lit(shards)))
-        .repartition(4 * shards, "shard")
+        .repartition(min(4 * shards, MOST_PARTITIONS), "shard")
         .groupBy("shard")
         .applyInArrow(_build(settings), INDEX_DDL)
     )
@@ -304,7 +306,7 @@ def approximate_nearest(
         asked.select("*", every_number(shards).alias("shard")), allowMissingColumns=True
     )
     found = (
-        both.repartition(4 * shards * query_blocks, "shard", "query_block")
+        both.repartition(min(4 * shards * query_blocks, MOST_PARTITIONS), "shard", "query_block")
         .groupBy("shard", "query_block")
         .applyInArrow(
             _search(k, max(search_list, k + 1), degree), "query_row long, query_id long, vec_id long, score double"
