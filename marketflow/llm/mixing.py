@@ -1,6 +1,6 @@
 """Mixing sources to target weights with hash thresholds, in DataFrame operations only.
 
-Every document has a hash of 36 bits. Words are summed by source and by the hash's first 12
+Every document has a hash of 36 bits, of its id, source, text and number among equal rows. Words are summed by source and by the hash's first 12
 bits; the running sum finds the bucket in which a source's budget ends; only documents of
 that boundary bucket are summed again by the next 12 bits, and once more by the last 12. A
 document is taken if its hash lies below the threshold: nothing is sorted, and runs agree.
@@ -27,10 +27,17 @@ def word_count(text: str | Column) -> Column:
     return F.regexp_count(F.coalesce(column.cast("string"), F.lit("")), F.lit(WORD)).cast("long")
 
 
-def id_hash(doc_id: str | Column) -> Column:
-    """First 36 bits of the md5 of the id as text; a null id counts as the empty text."""
-    column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
-    digest = F.md5(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))
+def row_key(id_column: str = "doc_id") -> Column:
+    """md5 of a row's id, source and text; rows that agree in all three share it."""
+    known = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
+    source = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
+    text = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    return F.md5(F.concat_ws("|", known, source, text).cast("binary"))
+
+
+def _hash(key: Column, number: Column) -> Column:
+    """First 36 bits of the md5 of a row's key and its number among the rows that share it."""
+    digest = F.md5(F.concat_ws(":", key, number.cast("string")).cast("binary"))
     return F.conv(F.substring(digest, 1, LEVELS * BITS // 4), 16, 10).cast("long")
 
 
@@ -102,7 +109,27 @@ def mixing_plan(sized: DataFrame, weights: Sequence[int] = WEIGHTS, most: int =
 
 
 def with_hash(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    return docs.withColumn("size", word_count("text")).withColumn("hash", id_hash(id_column))
+    """``docs`` with ``size`` and ``hash``; rows that share id, source and text get hashes of their own.
+
+    Such rows are numbered from 0 so that a source of one row repeated is still taken in part.
+    They are counted per task first, and running sums of the counts say where a task's numbers
+    begin: no task holds all rows of a key, and the numbers do not depend on the layout.
+    """
+    keyed = docs.select(
+        "*", word_count("text").alias("size"), row_key(id_column).alias("_key"),
+        F.spark_partition_id().alias("_task"), F.monotonically_increasing_id().alias("_at"),
+    )
+    repeated = materialize(keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_key"))
+    once = keyed.join(repeated, "_key", "left_anti").withColumn("_number", F.lit(0).cast("long"))
+    many = materialize(keyed.join(repeated, "_key", "left_semi"))
+    counts = many.groupBy("_key", "_task").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("_key").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select("_key", "_task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_begin"))
+    own = F.row_number().over(Window.partitionBy("_key", "_task").orderBy("_at")) - 1
+    numbered = many.withColumn("_own", own).join(begins, ["_key", "_task"])
+    numbered = numbered.withColumn("_number", F.col("_begin") + F.col("_own")).select(*once.columns)
+    both = once.unionByName(numbered)
+    return both.withColumn("hash", _hash(F.col("_key"), F.col("_number"))).drop("_key", "_task", "_at", "_number")
 
 
 def with_copies(sized: DataFrame, plan: DataFrame) -> DataFrame:
@@ -117,7 +144,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPI
     """``doc_id, size, source_size, target, taken`` of every row of ``docs``.
 
     A null text has no words, a null source is a source of its own, the last by name. Rows
-    that repeat an id share its hash and so its fate. An empty table gives no rows; other
+    that repeat an id, or have none, are taken or left each on its own, and so are rows that
+    are repeated whole. A text of any length is one row. An empty table gives no rows; other
     columns are not looked at. All sources empty: every target is 0.
     """
     sized = materialize(with_hash(docs.select("doc_id", F.col("source").cast("string"), "text")).drop("text"))

@@ -39,10 +39,14 @@ FROM g
 """
 
 OP4 = r"""
-WITH d AS (
+WITH k AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 9) AS BIGINT) AS h
+    md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce('s' || source, 'n') || '|' || md5(coalesce(text, ''))) AS key
   FROM documents
+), d AS (
+  SELECT doc_id, source, size,
+    CAST('0x' || substr(md5(key || ':' || (row_number() OVER (PARTITION BY key) - 1)), 1, 9) AS BIGINT) AS h
+  FROM k
 ), totals AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source
 ), weighed AS (

@@ -81,7 +81,13 @@ def mixture(rows: list[tuple[int | None, str | None, str | None]]) -> list[tuple
             target[s] = 3.0 * total[s]
             left -= target[s]
             free.remove(s)
-    place = [int(hashlib.md5(("" if d is None else str(d)).encode()).hexdigest()[:9], 16) for d, _, _ in rows]
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    seen: Counter = Counter()
+    place = []
+    for d, source, text in rows:
+        key = md5(f"{'' if d is None else d}|{'n' if source is None else 's' + source}|{md5(text or '')}")
+        place.append(int(md5(f"{key}:{seen[key]}")[:9], 16))
+        seen[key] += 1
     limit: dict[str | None, tuple[int, int]] = {}
     for s in order:
         copies = math.floor(target[s] / total[s]) if total[s] else 0

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -279,3 +280,15 @@ def test_toxic_and_ordinary_dictionaries_are_both_trained(spark):
 def test_parts_of_one_word_take_one_place():
     ranked = [b" abcdefgh"[:n] for n in range(9, 4, -1)] + [b" second", b" third"]
     assert chosen_segments(ranked, 2) == [b" abcdefgh", b" second"]
+
+
+def test_mix_of_rows_that_share_an_id_or_are_repeated(spark):
+    """Sources of rows without an id, of one id, and of one row repeated come near their targets all the same."""
+    rows = [(None, prose(n, 50), "a") for n in range(300)] + [(7, prose(n, 50), "b") for n in range(300)]
+    rows += [(8, prose(1, 50), "c")] * 600
+    for parts in (1, 5):
+        got = [tuple(r) for r in mix(table(spark, rows, parts)).collect()]
+        assert Counter(got) == Counter(brute.mixture([(d, s, t) for d, t, s in rows]))
+        for size in {r[2:4] for r in got}:
+            taken = sum(r[4] for r in got if r[2:4] == size)
+            assert abs(taken - size[1]) <= 50
