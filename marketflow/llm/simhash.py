@@ -19,7 +19,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import materialize, tidy
@@ -57,17 +57,21 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, fp``: the fingerprint of every whole text, as a signed long."""
+def fingerprints(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", key: Column | None = None
+) -> DataFrame:
+    """``doc_id, fp``: the fingerprint of every whole text, as a signed long; with ``key``, a text, if one is given."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             fps = np.fromiter((fingerprint(t.as_py()) for t in texts), dtype=np.uint64, count=len(texts))
-            yield pa.record_batch([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            others = [batch.column(0), *batch.columns[2:]]
+            yield pa.record_batch([*others, pa.array(fps.view(np.int64))], names=["doc_id", *batch.schema.names[2:], "fp"])
 
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(tidy(of), "doc_id long, fp long")
+    more = [] if key is None else [key.alias("key")]
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"), *more)
+    return rows.mapInArrow(tidy(of), f"doc_id long, {'key string, ' if more else ''}fp long")
 
 
 def range_masks(ranges: int = RANGES, shared: int = RANGES - MOST_BITS) -> list[int]:
@@ -197,3 +201,19 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return rows.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def chosen_keys(docs: DataFrame, key: Column, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``key`` of one row of every group of near duplicates: the one with the smallest id, then key.
+
+    ``key`` tells rows apart that shall be; rows without an id belong to groups as others do and
+    are chosen where no row of their group has one.
+    """
+    rows = materialize(fingerprints(docs, id_column, text_column, key))
+    distinct = materialize(rows.select("fp").distinct())
+    roots = connected_components(similar_fingerprints(distinct))
+    placed = materialize(
+        distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "key")).alias("first")
+    return rows.join(placed, "fp").groupBy("root").agg(first).select(F.col("first.key").alias("key"))
