@@ -16,7 +16,7 @@ from marketflow.llm.labels import append_scores
 from marketflow.llm.mixing import mixing_plan, with_copies, with_hash
 from marketflow.llm.quality import THRESHOLD, fit_quality
 from marketflow.llm.repeats import without_repeats
-from marketflow.llm.simhash import near_duplicates
+from marketflow.llm.simhash import chosen_keys
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,14 +26,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of near duplicates (op 7); of rows that share an id, one.
+    """One row of each group of near duplicates (op 7): the one with the smallest id, if any has one.
 
-    Documents without an id all stay, as no id tells them from one another.
+    Rows are told apart by id and text, so rows that share an id but not their text are judged
+    each on its own, as are rows without an id; of rows that agree in both, one stays. A null
+    text is empty; texts without words are one group; very long texts count whole; an empty
+    table stays empty.
     """
-    groups = near_duplicates(docs)
-    chosen = materialize(groups.filter("doc_id = component_id").select("doc_id").distinct())
-    kept = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id IS NULL")).select(docs.columns)
+    text = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    key = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text)
+    chosen = materialize(chosen_keys(docs, key))
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), key.alias("key"))
+    kept = keyed.join(chosen, "key", "left_semi").dropDuplicates(["key"])
+    return kept.select("_row.*")
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
