@@ -62,7 +62,17 @@ def test_stages_take_awkward_rows(spark, stage):
         assert out.columns == empty.columns == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
     assert out.count() > 0 and empty.count() == 0
     if stage == 1:
-        assert sorted(r["doc_id"] for r in out.collect() if r["doc_id"] is not None) == [1, 2, 4]
+        assert sorted(r["doc_id"] for r in out.collect()) == [1, 2, 4]
+
+
+def test_near_duplicates_lose_no_other_text(spark):
+    """Ids that repeat with other texts, rows without an id, and columns named as inside."""
+    a, b, c = ("one two three four five six seven " * 9, "an unrelated text of its own, said once " * 8, "q w e r t y " * 9)
+    rows = [(1, a), (2, a), (2, b), (None, c), (None, c), (None, a), (3, b), (None, None), (4, "")]
+    docs = spark.createDataFrame([(d, t, "k", 1, "r") for d, t in rows], "doc_id long, text string, key string, fp int, _row string")
+    out = corpus_pipeline.near_duplicate_stage(spark, docs, DATA)
+    assert out.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter([(1, a), (2, b), (None, c), (4, "")])
 
 
 def test_everything_is_registered():
