@@ -110,11 +110,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     shift = 100_000
     rows, fit, error = whitening(_table(spark, sf_dir, "embeddings"), 8, scale=1024.0, shift=shift)
     explained = F.array(*map(F.lit, fit.explained() if fit else [])).cast("array<double>")
-    return rows.select(
-        "vec_id",
-        (_deviation("x", fit, shift) if fit else F.lit(None).cast("long")).alias("deviation"),
-        F.posexplode("whitened").alias("at", "whitened"),
-    ).select(
+    deviation = _deviation("x", fit, shift) if fit else F.lit(None).cast("long")
+    # Worked out below the generator: once per row, not once per component.
+    once = rows.select("vec_id", deviation.alias("deviation"), "whitened")
+    return once.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
         "vec_id", (F.col("at") + 1).cast("int").alias("component"), F.lit(fit.rows if fit else 0).cast("long").alias("n"),
         "deviation", "whitened", F.get(explained, F.col("at")).alias("explained"),
         F.lit(error).cast("double").alias("identity_error"),
