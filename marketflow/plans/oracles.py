@@ -269,6 +269,8 @@ ORACLES = {
             row_number() OVER (PARTITION BY {partition("ts")} ORDER BY event_id % 2, event_id) - 1 AS "offset"
         FROM events
     """,
+    "klines_published": LATEST_KLINES,
+    "klines_bucketed": LATEST_KLINES,
     "stream_klines_state": LATEST_KLINES,
     "backfilled_depths": f"""
         SELECT

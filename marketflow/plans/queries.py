@@ -42,7 +42,9 @@ from marketflow.sources.tables import (
     read_table,
     stored_positions,
 )
+from marketflow.sources.bucketed import create_bucketed_klines, insert_bucketed, read_bucketed
 from marketflow.sources.numbered import NumberedTopics
+from marketflow.sources.published import publish_table, read_published
 from marketflow.sources.topics import FileTopics
 from marketflow.sources.work import new_work_dir
 from marketflow.streaming import Pipeline
@@ -422,6 +424,32 @@ def backfilled_range(spark, sf_dir):
     return comparable(read_table(spark, "trade", path))
 
 
+def klines_published(spark, sf_dir):
+    """As ``klines_recompacted``, published twice: dates of two versions, read through the list of dates."""
+    root = new_work_dir(spark)
+    log, target = f"{root}/klines", f"{root}/published"
+    updates = normalize(adapters.klines(_rows(spark, sf_dir, "events")), "kline", carry=STORED)
+    late = (F.col("partition") >= 4) & (F.dayofmonth("open_timestamp_utc") % 2 == 0)
+    append_rows(updates.filter(~late), "kline", log)
+    since = publish_table(spark, "kline", log, target, overlap=dt.timedelta(0))
+    append_rows(updates.filter(late), "kline", log)
+    publish_table(spark, "kline", log, target, since)
+    return comparable(read_published(spark, "kline", target))
+
+
+def klines_bucketed(spark, sf_dir):
+    """Updates inserted into a bucketed table in two batches and reduced to the last without a shuffle."""
+    database = "marketflow_buckets"
+    spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{new_work_dir(spark)}'")
+    table = f"{database}.klines"
+    create_bucketed_klines(spark, table, 8)
+    updates = raw_to_rows(adapters.klines(_rows(spark, sf_dir, "events")), "kline", *VERSION)
+    for half in (1, 0):
+        insert_bucketed(updates.filter(F.col("offset") % 2 == half), table)
+    return comparable(read_bucketed(spark, table))
+
+
 def stream_klines_state(spark, sf_dir):
     """Candlesticks routed by a stream and kept as state by another, a file per micro-batch."""
     root = new_work_dir(spark)
@@ -471,5 +499,7 @@ QUERIES = {
     "backfilled_positions": backfilled_positions,
     "backfilled_range": backfilled_range,
     "topic_offsets": topic_offsets,
+    "klines_published": klines_published,
+    "klines_bucketed": klines_bucketed,
     "stream_klines_state": stream_klines_state,
 }

@@ -164,6 +164,29 @@ def _updates_of(spark: SparkSession, kind: Kind, path: str, touched: tuple[DataF
     return rows.join(dates, kind.date_column, "left_semi")
 
 
+def rebuilt_rows(spark: SparkSession, endpoint: str, path: str, since: str | None) -> DataFrame | None:
+    """Fit rows of the dates that got files after ``since``, or of all; candlesticks as their last update.
+
+    Null if no date did. Columns are the table's, then its date.
+    """
+    kind = kind_of(endpoint)
+    rows = _stored(spark, endpoint, path).filter(~F.col(REJECTED))
+    if since:
+        touched = _touched_dates(spark, kind, path, since)
+        if touched is None:
+            return None
+        rows = _updates_of(spark, kind, path, touched)
+    if kind.name == "kline":
+        rows = latest_klines(rows)
+    return rows.select(*kind.columns, kind.date_column)
+
+
+def laid_out(rows: DataFrame, endpoint: str) -> DataFrame:
+    """Rows with their date, dealt out by it in even parts and sorted by the table's sort key."""
+    kind = kind_of(endpoint)
+    return rows.hint("rebalance", kind.date_column).sortWithinPartitions(kind.date_column, *kind.sort_key)
+
+
 def compact_table(
     spark: SparkSession,
     endpoint: str,
@@ -185,17 +208,10 @@ def compact_table(
     """
     kind = kind_of(endpoint)
     next_since = dt.datetime.now(dt.timezone.utc) - overlap
-    rows = _stored(spark, endpoint, path).filter(~F.col(REJECTED))
-    if since:
-        touched = _touched_dates(spark, kind, path, since)
-        rows = _updates_of(spark, kind, path, touched) if touched else None
+    rows = rebuilt_rows(spark, endpoint, path, since)
     if rows is not None:
-        if kind.name == "kline":
-            rows = latest_klines(rows)
         (
-            rows.select(*kind.columns, kind.date_column)
-            .hint("rebalance", kind.date_column)
-            .sortWithinPartitions(kind.date_column, *kind.sort_key)
+            laid_out(rows, endpoint)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(kind.date_column)
@@ -252,8 +268,7 @@ def insert_rows(rows: DataFrame, endpoint: str, table: str) -> None:
     """Append rows fit for the table to a catalog table, laid out as in ``append_rows``."""
     kind = kind_of(endpoint)
     dated = rows.select(*kind.columns, F.expr(utc_date(kind.date_source)).alias(kind.date_column))
-    laid_out = dated.hint("rebalance", kind.date_column)
-    laid_out.sortWithinPartitions(kind.date_column, *kind.sort_key).write.insertInto(table)
+    laid_out(dated, endpoint).write.insertInto(table)
 
 
 def register_views(spark: SparkSession, endpoints: Iterable[str], root: str) -> list[str]:

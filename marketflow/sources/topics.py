@@ -28,10 +28,20 @@ Offsets = int | Mapping[int, int]
 
 @dataclass(frozen=True)
 class Rate:
-    """Most records per micro-batch (null: all there are) and how often a live one starts."""
+    """Most records per micro-batch (null: all there are) and how often a live one starts.
 
-    records: int | None
+    With ``least`` a micro-batch waits until so many records are there, but not longer than
+    ``delay``: it is flushed at N records or after T, whichever comes first.
+    """
+
+    records: int | None = None
     interval: str = "0 seconds"
+    least: int | None = None
+    delay: str | None = None
+
+    def __post_init__(self) -> None:
+        if (self.least is None) != (self.delay is None):
+            raise ValueError("a micro-batch that waits for records needs a longest delay, and a delay a number of records")
 
 
 # Published micro-batch limits of busy and of quiet kinds. Nothing is limited
@@ -44,6 +54,12 @@ def published_rate(endpoint: str) -> Rate:
     return BUSY if kind_of(endpoint).name in ("trade", "aggTrade") else QUIET
 
 
+def published_flush(endpoint: str) -> Rate:
+    """The published buffers: flushed when full, or when their interval has passed. Nothing is limited."""
+    full = published_rate(endpoint)
+    return Rate(least=full.records, delay=full.interval)
+
+
 def epoch_millis(instant: dt.datetime) -> int:
     """Milliseconds since 1970; an instant needs a time zone."""
     if instant.tzinfo is None:
@@ -115,7 +131,9 @@ class KafkaTopics:
     options: Mapping[str, str] = field(default_factory=dict)
     allow_data_loss: bool = False
 
-    def source_options(self, topic: str, max_records: int | None = None) -> dict[str, str]:
+    def source_options(
+        self, topic: str, max_records: int | None = None, least: int | None = None, delay: str | None = None
+    ) -> dict[str, str]:
         options = {
             "kafka.bootstrap.servers": self.bootstrap_servers,
             "subscribe": topic,
@@ -125,6 +143,8 @@ class KafkaTopics:
         }
         if max_records:
             options["maxOffsetsPerTrigger"] = str(max_records)
+        if least:
+            options |= {"minOffsetsPerTrigger": str(least), "maxTriggerDelay": delay}
         return {**options, **self.options}
 
     def read_stream(
@@ -134,9 +154,14 @@ class KafkaTopics:
         max_records: int | None = None,
         start: Offsets | None = None,
         since: dt.datetime | None = None,
+        least: int | None = None,
+        delay: str | None = None,
     ) -> DataFrame:
-        """A topic from its earliest record, or from offsets or a time; a checkpoint goes before either."""
-        options = {**self.source_options(topic, max_records), **self._bound(topic, "starting", start, since)}
+        """A topic from its earliest record, or from offsets or a time; a checkpoint goes before either.
+
+        ``max_records`` limits a micro-batch; ``least`` and ``delay`` let it wait (see ``Rate``).
+        """
+        options = {**self.source_options(topic, max_records, least, delay), **self._bound(topic, "starting", start, since)}
         return spark.readStream.format("kafka").options(**options).load().select("topic", *RECORD_COLUMNS)
 
     def _bound(self, topic: str, side: str, offsets: Offsets | None, instant: dt.datetime | None) -> dict[str, str]:
@@ -236,12 +261,16 @@ class FileTopics:
         max_records: int | None = None,
         start: Offsets | None = None,
         since: dt.datetime | None = None,
+        least: int | None = None,
+        delay: str | None = None,
     ) -> DataFrame:
         """Files are limited by count (``files_per_trigger``); records cannot be.
 
         A time is resolved to offsets from what is there when the stream is defined: records that
         come later may all be read, so a partition without a record as late has no bound.
         """
+        if least or delay:
+            raise ValueError("file topics cannot wait for records")
         if max_records:
             raise ValueError("file topics are limited by files_per_trigger, not by records")
         _one_bound(start, since, "start")

@@ -55,8 +55,11 @@ def _start(
     return writer.trigger(processingTime=rate.interval if rate else "0 seconds").start()
 
 
-def _limit(rate: Rate | None) -> int | None:
-    return rate.records if rate else None
+def source_limits(rate: Rate | None) -> dict:
+    """What a source is to be told of a rate."""
+    if rate is None:
+        return {}
+    return {"max_records": rate.records, **({"least": rate.least, "delay": rate.delay} if rate.least else {})}
 
 
 def start_routing(
@@ -103,7 +106,7 @@ def start_transform(
 ) -> StreamingQuery:
     """A kind's raw topic to its processed topic; the source partition is kept."""
     kind = kind_of(endpoint)
-    raw = source.read_stream(spark, kind.raw_topic, _limit(rate))
+    raw = source.read_stream(spark, kind.raw_topic, **source_limits(rate))
     rows = normalize(raw, kind.name, carry=("partition", "offset", EVENT_MS))
     records = encode_processed(rows, kind.name, carry=("offset",))
     records = records.withColumn("topic", F.lit(kind.processed_topic))
@@ -138,7 +141,7 @@ def start_load(
     given up.
     """
     kind = kind_of(endpoint)
-    records = source.read_stream(spark, kind.processed_topic, _limit(rate))
+    records = source.read_stream(spark, kind.processed_topic, **source_limits(rate))
     rows = decode_processed(records, kind.name, carry=("partition", "offset", "value", EVENT_MS))
     writer = _table_writer(rows, kind.name, path)
     return _start(spark, writer, path, checkpoint, f"load-{kind.name}", live, rate)
@@ -156,7 +159,7 @@ def start_direct(
 ) -> StreamingQuery:
     """A kind's raw topic straight to its table, without the JSON of the processed topic."""
     kind = kind_of(endpoint)
-    raw = source.read_stream(spark, kind.raw_topic, _limit(rate))
+    raw = source.read_stream(spark, kind.raw_topic, **source_limits(rate))
     rows = normalize(raw, kind.name, carry=("partition", "offset", "value", EVENT_MS))
     writer = _table_writer(rows, kind.name, path)
     return _start(spark, writer, path, checkpoint, f"direct-{kind.name}", live, rate)

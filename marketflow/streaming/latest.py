@@ -21,6 +21,7 @@ from marketflow.operators.latest import VERSION
 from marketflow.schemas import KINDS
 from marketflow.sources.topics import FileTopics, KafkaTopics, Rate
 from marketflow.sources.work import claim_stream_folder
+from marketflow.streaming.jobs import source_limits
 
 KLINE = KINDS["kline"]
 BATCH = "batch"
@@ -68,7 +69,7 @@ def start_latest(
     partitions is that of shuffle partitions when the checkpoint is made.
     """
     claim_stream_folder(spark, path, checkpoint)
-    raw = source.read_stream(spark, KLINE.raw_topic, rate.records if rate else None)
+    raw = source.read_stream(spark, KLINE.raw_topic, **source_limits(rate))
     rows = valid_rows(validate(normalize(raw, "kline", carry=VERSION), "kline"), "kline", *VERSION)
     writer = (
         running_latest(rows, watermark)
