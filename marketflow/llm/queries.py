@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marketflow.llm.ann import approximate_nearest
 from marketflow.llm.bpe import encode_and_decode
-from marketflow.llm.chat import format_paths, parsed_turns, threads
+from marketflow.llm.chat import format_paths, parsed_turns, threads, unescape
 from marketflow.llm.common import WORD
 from marketflow.llm.lm import language_model_scores
 from marketflow.llm.mixing import mix
@@ -48,7 +48,11 @@ def op3_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = format_paths(messages).select("tree", "formatted", "loss_spans", parsed_turns("formatted").alias("turns"))
     line = F.lit("\n")
     whole = F.transform("turns", lambda t: F.concat(t["role"], line, t["text"], line))
-    learned = F.transform("loss_spans", lambda s: F.get("turns", s["turn"])["text"])
+    # What a trainer sees under the mask: the code points of the output from start to end.
+    learned = F.transform(
+        "loss_spans",
+        lambda s: unescape(F.substring("formatted", s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int"))),
+    )
     texts = parsed.select(
         "tree", "formatted", F.size("turns").cast("long").alias("n_turns"),
         F.array_join(whole, "").alias("whole"), F.array_join(learned, "").alias("learned"),
