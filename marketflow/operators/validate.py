@@ -44,6 +44,11 @@ def validate(rows: DataFrame, endpoint: str) -> DataFrame:
     return rows.selectExpr("*", f"explode(array({reason})) as {REASON}")
 
 
+def faults_of(endpoint: str) -> list[str]:
+    """Every fault that a reject reason of a kind may name."""
+    return [text for field in kind_of(endpoint).fields for _, text in _faults(field)]
+
+
 def valid_rows(checked: DataFrame, endpoint: str, *extra: str) -> DataFrame:
     """Rows fit for the table, in table column order, followed by ``extra`` columns."""
     return checked.filter(F.col(REASON).isNull()).select(*kind_of(endpoint).columns, *extra)

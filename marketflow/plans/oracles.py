@@ -272,6 +272,13 @@ ORACLES = {
     "klines_published": LATEST_KLINES,
     "klines_bucketed": LATEST_KLINES,
     "stream_klines_state": LATEST_KLINES,
+    # Broken JSON already ends at routing.
+    "stream_metrics": f"""
+        WITH judged AS (SELECT ({QUARANTINE_REASON}) AS reason FROM events WHERE event_id % 71 <> 0)
+        SELECT 'rows' AS metric, count(*) AS n FROM judged
+        UNION ALL SELECT 'rejected', count(reason) FROM judged
+        UNION ALL SELECT fault, count(*) FROM (SELECT unnest(string_split(reason, ', ')) AS fault FROM judged) GROUP BY fault
+    """,
     "backfilled_depths": f"""
         SELECT
             {seconds("ts")} AS timestamp_utc,

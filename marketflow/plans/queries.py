@@ -48,7 +48,8 @@ from marketflow.sources.published import publish_table, read_published
 from marketflow.sources.topics import FileTopics
 from marketflow.sources.work import new_work_dir
 from marketflow.streaming import Pipeline
-from marketflow.streaming.jobs import DEAD_LETTERS
+from marketflow.streaming.jobs import DEAD_LETTERS, start_direct
+from marketflow.streaming.metrics import metrics_of
 from marketflow.streaming.latest import read_latest, start_latest
 
 MARKETS = ["CLICK", "Purchase", ""]
@@ -450,6 +451,22 @@ def klines_bucketed(spark, sf_dir):
     return comparable(read_bucketed(spark, table))
 
 
+def stream_metrics(spark, sf_dir):
+    """What the load of faulty trades counted by itself: rows, rejected rows, and each fault, over its micro-batches."""
+    root = new_work_dir(spark)
+    _rows(spark, sf_dir, "events").repartition(3).write.parquet(f"{root}/events.parquet")
+    topics = FileTopics(f"{root}/raw", files_per_trigger=2)
+    pipeline = Pipeline(spark, ["trade"], root, topics, topics)
+    pipeline.route(adapters.faulty_trades(adapters.stream_rows(spark, root, "events"))).awaitTermination()
+    query = start_direct(spark, "trade", topics, pipeline.table_path("trade"), f"{root}/checkpoints/direct", metrics=True)
+    query.awaitTermination()
+    # One row per micro-batch and count.
+    counts = [(name, m[name]) for m in metrics_of(query) for name in ("rows", "rejected")]
+    counts += [(fault, n) for m in metrics_of(query) for fault, n in m["faults"].items()]
+    rows = spark.createDataFrame(counts, "metric string, n bigint")
+    return rows.groupBy("metric").agg(F.sum("n").alias("n"))
+
+
 def stream_klines_state(spark, sf_dir):
     """Candlesticks routed by a stream and kept as state by another, a file per micro-batch."""
     root = new_work_dir(spark)
@@ -502,4 +519,5 @@ QUERIES = {
     "klines_published": klines_published,
     "klines_bucketed": klines_bucketed,
     "stream_klines_state": stream_klines_state,
+    "stream_metrics": stream_metrics,
 }

@@ -9,5 +9,6 @@ from marketflow.streaming.jobs import (
     start_transform,
 )
 from marketflow.streaming.latest import read_latest, running_latest, start_latest
+from marketflow.streaming.metrics import MetricsListener, metrics_of
 
-__all__ = ["Pipeline", "await_any", "read_latest", "running_latest", "start_direct", "start_latest", "start_load", "start_routing", "start_transform"]
+__all__ = ["MetricsListener", "Pipeline", "await_any", "metrics_of", "read_latest", "running_latest", "start_direct", "start_latest", "start_load", "start_routing", "start_transform"]

@@ -29,6 +29,7 @@ from marketflow.schemas import EVENT_MS, distinct_kinds, kind_of
 from marketflow.sources.tables import partition_columns, table_rows
 from marketflow.sources.topics import FileTopics, KafkaTopics, Rate
 from marketflow.sources.work import claim_stream_folder
+from marketflow.streaming.metrics import observed
 
 Topics = FileTopics | KafkaTopics
 
@@ -115,9 +116,10 @@ def start_transform(
     return _start(spark, writer, folder, checkpoint, f"transform-{kind.name}", live, rate)
 
 
-def _table_writer(rows: DataFrame, endpoint: str, path: str) -> DataStreamWriter:
+def _table_writer(rows: DataFrame, endpoint: str, path: str, metrics: bool) -> DataStreamWriter:
+    stored = table_rows(rows, endpoint)
     return (
-        table_rows(rows, endpoint)
+        (observed(stored, endpoint) if metrics else stored)
         .writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
@@ -134,16 +136,17 @@ def start_load(
     *,
     live: bool = False,
     rate: Rate | None = None,
+    metrics: bool = False,
 ) -> StreamingQuery:
     """A kind's processed topic to its table, bad rows to the table's quarantine.
 
-    A write that fails is tried again by Spark and then fails the query; no batch is
+    With ``metrics`` its progress reports count what was stored and rejected. A write that fails is tried again by Spark and then fails the query; no batch is
     given up.
     """
     kind = kind_of(endpoint)
     records = source.read_stream(spark, kind.processed_topic, **source_limits(rate))
     rows = decode_processed(records, kind.name, carry=("partition", "offset", "value", EVENT_MS))
-    writer = _table_writer(rows, kind.name, path)
+    writer = _table_writer(rows, kind.name, path, metrics)
     return _start(spark, writer, path, checkpoint, f"load-{kind.name}", live, rate)
 
 
@@ -156,12 +159,16 @@ def start_direct(
     *,
     live: bool = False,
     rate: Rate | None = None,
+    metrics: bool = False,
 ) -> StreamingQuery:
-    """A kind's raw topic straight to its table, without the JSON of the processed topic."""
+    """A kind's raw topic straight to its table, without the JSON of the processed topic.
+
+    With ``metrics`` its progress reports count what was stored and rejected.
+    """
     kind = kind_of(endpoint)
     raw = source.read_stream(spark, kind.raw_topic, **source_limits(rate))
     rows = normalize(raw, kind.name, carry=("partition", "offset", "value", EVENT_MS))
-    writer = _table_writer(rows, kind.name, path)
+    writer = _table_writer(rows, kind.name, path, metrics)
     return _start(spark, writer, path, checkpoint, f"direct-{kind.name}", live, rate)
 
 
