@@ -248,6 +248,29 @@ def disturbed_trades(events: DataFrame) -> DataFrame:
     return events.select(value.cast("binary").alias("value"), event_id.alias("offset"))
 
 
+def repeated_keys(events: DataFrame) -> DataFrame:
+    """Trades, candlesticks and books with keys sent twice, and some that are broken besides.
+
+    The event type, the symbol, the event time or a candlestick's interval comes a second time; the
+    values sent first are wrong.
+    """
+    event_id = F.col("event_id")
+    kinds = F.array(*(message(f) for f in (trade_fields(), kline_fields(), depth_fields())))
+    whole = F.get(kinds, (event_id % 3).cast("int"))
+    body = F.substr(whole, F.lit(2))
+    wrong = F.concat(F.lit('{"s":"WRONG","e":"bookTicker","E":"soon",'), body)
+    value = (
+        F.when(event_id % 41 == 0, F.concat(wrong, F.lit(" trailing")))
+        .when(event_id % 37 == 0, F.concat(wrong, F.lit("]")))
+        .when(event_id % 31 == 0, F.concat(F.lit("["), wrong, F.lit("]")))
+        .when(event_id % 29 == 0, F.regexp_replace(whole, F.lit(r"\}$"), F.lit(',"e":"bookTicker"}')))
+        .when(event_id % 23 == 0, F.regexp_replace(whole, F.lit(r"\}$"), F.lit(',"E":"later"}')))
+        .when(event_id % 2 == 0, F.replace(wrong, F.lit('"k":{'), F.lit('"k":{"i":"3m","n":-5,')))
+        .otherwise(whole)
+    )
+    return records(events, value, event_id, F.unix_millis("ts"))
+
+
 def faulty_trades(events: DataFrame) -> DataFrame:
     """Well-formed trade messages, some with fields no table row can be made of."""
     event_id = F.col("event_id")

@@ -87,6 +87,14 @@ CASE
 END
 """
 
+REPEATED_REASON = """
+CASE
+    WHEN event_id % 41 = 0 OR event_id % 37 = 0 OR event_id % 31 = 0 THEN 'malformed'
+    WHEN event_id % 29 = 0 THEN 'unknown event'
+    WHEN event_id % 23 = 0 THEN 'bad event time'
+END
+"""
+
 QUARANTINE_REASON = """
 CASE
     WHEN event_id % 71 = 0 THEN 'missing trade_id, missing timestamp_utc, missing symbol, missing price, '
@@ -206,6 +214,20 @@ ORACLES = {
         SELECT event_id AS "offset", {ROUTE_REASON} AS reject_reason
         FROM events WHERE ({ROUTE_REASON}) IS NOT NULL
     """,
+    "route_repeated_keys": f"""
+        WITH judged AS (SELECT *, ({REPEATED_REASON}) AS reason FROM events)
+        SELECT event_id AS "offset", coalesce(reason, '') AS reject_reason,
+            CASE WHEN reason IS NOT NULL THEN '' WHEN event_id % 3 = 0 THEN 'trade_raw'
+                WHEN event_id % 3 = 1 THEN 'kline_raw' ELSE 'depth_raw' END AS topic,
+            CASE WHEN reason IS NULL THEN upper(event_type) ELSE '' END AS symbol,
+            CASE WHEN reason IS NULL AND event_id % 3 = 1 THEN '1h' ELSE '' END AS "interval",
+            CASE WHEN reason IS NULL THEN {partition("ts")} ELSE -1 END AS partition
+        FROM judged
+    """,
+    "trades_repeated_keys": f"""
+        SELECT {TRADE_COLUMNS} FROM events WHERE ({REPEATED_REASON}) IS NULL AND event_id % 3 = 0
+    """,
+    "trades_lookup": f"SELECT {TRADE_COLUMNS} FROM events WHERE event_type = 'click' AND event_id BETWEEN 700 AND 1300",
     "subscription_filter": f"""
         SELECT kind || '_raw' AS topic, {partition("ts")} AS partition, upper(event_type) AS symbol,
             bar AS "interval", event_id AS "offset"

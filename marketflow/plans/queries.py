@@ -43,6 +43,7 @@ from marketflow.sources.tables import (
     stored_positions,
 )
 from marketflow.sources.bucketed import create_bucketed_klines, insert_bucketed, read_bucketed
+from marketflow.sources.lookup import lookup_rows, summarize_files
 from marketflow.sources.numbered import NumberedTopics
 from marketflow.sources.published import publish_table, read_published
 from marketflow.sources.topics import FileTopics
@@ -141,6 +142,20 @@ def route_rejects(spark, sf_dir):
     return rejected_messages(route_raw(messages, carry=("offset",))).select("offset", REASON)
 
 
+def route_repeated_keys(spark, sf_dir):
+    """Messages of three kinds, half of them with keys sent twice: where they go, or why nowhere."""
+    routed = route_raw(adapters.repeated_keys(_rows(spark, sf_dir, "events")), carry=("offset",))
+    named = {c: F.coalesce(c, F.lit("")).alias(c) for c in ("topic", "symbol", "interval", REASON)}
+    return routed.select(*named.values(), F.coalesce("partition", F.lit(-1)).alias("partition"), "offset")
+
+
+def trades_repeated_keys(spark, sf_dir):
+    """Of the same messages the trades, routed and made table rows: the last value of each key counts."""
+    routed = route_raw(adapters.repeated_keys(_rows(spark, sf_dir, "events")), rewrite_json=True)
+    trades = routed_messages(routed).filter(F.col("topic") == "trade_raw")
+    return comparable(raw_to_rows(trades, "trade"))
+
+
 def subscription_filter(spark, sf_dir):
     routed = route_raw(adapters.mixed(_rows(spark, sf_dir, "events")), carry=("offset",))
     kept = filter_subscribed(routed, Subscriptions.of(MARKETS, ENDPOINTS))
@@ -451,6 +466,18 @@ def klines_bucketed(spark, sf_dir):
     return comparable(read_bucketed(spark, table))
 
 
+def trades_lookup(spark, sf_dir):
+    """A market's trades between two ids, out of a table appended to in batches, the last after its summary."""
+    root = new_work_dir(spark)
+    path, summary = f"{root}/trades", f"{root}/summary"
+    trades = normalize(adapters.trades(_rows(spark, sf_dir, "events")), "trade", carry=STORED)
+    for batch in range(4):
+        append_rows(trades.filter(F.least(F.floor(F.col("offset") / 400), F.lit(3)) == batch), "trade", path)
+        if batch == 2:
+            summarize_files(spark, "trade", path, summary, overlap=dt.timedelta(0))
+    return comparable(lookup_rows(spark, "trade", path, summary, "CLICK", 700, 1300))
+
+
 def stream_metrics(spark, sf_dir):
     """What the load of faulty trades counted by itself: rows, rejected rows, and each fault, over its micro-batches."""
     root = new_work_dir(spark)
@@ -490,6 +517,8 @@ QUERIES = {
     "depth_top5": depth_top5,
     "routed_raw": routed_raw,
     "route_rejects": route_rejects,
+    "route_repeated_keys": route_repeated_keys,
+    "trades_repeated_keys": trades_repeated_keys,
     "subscription_filter": subscription_filter,
     "subscription_pairs": subscription_pairs_listed,
     "topics_of_endpoints": topics_of_endpoints,
@@ -520,4 +549,5 @@ QUERIES = {
     "klines_bucketed": klines_bucketed,
     "stream_klines_state": stream_klines_state,
     "stream_metrics": stream_metrics,
+    "trades_lookup": trades_lookup,
 }

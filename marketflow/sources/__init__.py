@@ -1,6 +1,7 @@
 """Topics, tables and work folders."""
 
 from marketflow.sources.bucketed import create_bucketed_klines, insert_bucketed, read_bucketed
+from marketflow.sources.lookup import lookup_rows, summarize_files
 from marketflow.sources.numbered import NumberedTopics, with_offsets
 from marketflow.sources.published import publish_table, read_published, replaced_dates
 from marketflow.sources.tables import (
@@ -29,6 +30,7 @@ __all__ = [
     "create_tables",
     "insert_bucketed",
     "insert_rows",
+    "lookup_rows",
     "new_work_dir",
     "publish_table",
     "published_flush",
@@ -41,6 +43,7 @@ __all__ = [
     "register_views",
     "replaced_dates",
     "stored_positions",
+    "summarize_files",
     "table_rows",
     "with_offsets",
 ]

@@ -32,7 +32,7 @@ def partition_columns(endpoint: str) -> tuple[str, str]:
     return REJECTED, kind_of(endpoint).date_column
 
 
-def _stored_schema(kind: Kind) -> T.StructType:
+def stored_schema(kind: Kind) -> T.StructType:
     ddl = (
         f"{kind.table_ddl}, {EVENT_MS} bigint, `partition` int, `offset` bigint, {REASON} string, {VALUE} string, "
         f"{REJECTED} boolean, {kind.date_column} date"
@@ -104,7 +104,7 @@ def stored_positions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _stored(spark: SparkSession, endpoint: str, path: str) -> DataFrame:
-    return spark.read.schema(_stored_schema(kind_of(endpoint))).parquet(path)
+    return spark.read.schema(stored_schema(kind_of(endpoint))).parquet(path)
 
 
 def read_table(
@@ -146,7 +146,7 @@ def _touched_dates(spark: SparkSession, kind: Kind, path: str, since: str) -> tu
     partitions at run time as well. At most one row per calendar day of the range is
     broadcast (3.7 million in years 1 to 9999).
     """
-    recent = spark.read.schema(_stored_schema(kind)).option("modifiedAfter", since).option("timeZone", "UTC")
+    recent = spark.read.schema(stored_schema(kind)).option("modifiedAfter", since).option("timeZone", "UTC")
     dates, folder = kind.date_column, f"{new_work_dir(spark)}/touched"
     recent.parquet(path).filter(~F.col(REJECTED)).select(dates).distinct().write.parquet(folder)
     touched = spark.read.schema(f"`{dates}` date").parquet(folder)

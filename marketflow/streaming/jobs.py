@@ -7,8 +7,9 @@ All jobs are map-only: no shuffle and no state.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,11 +26,12 @@ from marketflow.operators import (
 )
 from marketflow.operators.route import DEFAULT_PARTITIONS
 from marketflow.operators.validate import REASON
-from marketflow.schemas import EVENT_MS, distinct_kinds, kind_of
+from marketflow.schemas import EVENT_MS, Kind, distinct_kinds, kind_of
 from marketflow.sources.tables import partition_columns, table_rows
 from marketflow.sources.topics import FileTopics, KafkaTopics, Rate
 from marketflow.sources.work import claim_stream_folder
 from marketflow.streaming.metrics import observed
+from marketflow.streaming.supervise import Outcome, supervise
 
 Topics = FileTopics | KafkaTopics
 
@@ -204,32 +206,34 @@ class Pipeline:
         options = {"subscriptions": own, "live": self.live, **options}
         return start_routing(messages, self.raw, self._checkpoint("route"), **options)
 
+    def starts(self, stage: str) -> dict[str, Callable[[], StreamingQuery]]:
+        """By kind, what starts its job of a stage (``transform``, ``load`` or ``direct``)."""
+
+        def start(kind: Kind) -> StreamingQuery:
+            checkpoint, options = self._checkpoint(stage, kind.name), {"live": self.live, "rate": self.rates.get(kind.name)}
+            if stage == "transform":
+                return start_transform(self.spark, kind.name, self.raw, self.processed, checkpoint, **options)
+            job, source = {"load": (start_load, self.processed), "direct": (start_direct, self.raw)}[stage]
+            return job(self.spark, kind.name, source, self.table_path(kind.name), checkpoint, **options)
+
+        return {kind.name: partial(start, kind) for kind in distinct_kinds(self.endpoints)}
+
+    def _start_all(self, stage: str) -> list[StreamingQuery]:
+        return [start() for start in self.starts(stage).values()]
+
     def transform(self) -> list[StreamingQuery]:
-        return [
-            start_transform(
-                self.spark, kind.name, self.raw, self.processed, self._checkpoint("transform", kind.name),
-                live=self.live, rate=self.rates.get(kind.name),
-            )
-            for kind in distinct_kinds(self.endpoints)
-        ]
+        return self._start_all("transform")
 
     def load(self) -> list[StreamingQuery]:
-        return [
-            start_load(
-                self.spark, kind.name, self.processed, self.table_path(kind.name),
-                self._checkpoint("load", kind.name), live=self.live, rate=self.rates.get(kind.name),
-            )
-            for kind in distinct_kinds(self.endpoints)
-        ]
+        return self._start_all("load")
 
     def direct(self) -> list[StreamingQuery]:
-        return [
-            start_direct(
-                self.spark, kind.name, self.raw, self.table_path(kind.name),
-                self._checkpoint("direct", kind.name), live=self.live, rate=self.rates.get(kind.name),
-            )
-            for kind in distinct_kinds(self.endpoints)
-        ]
+        return self._start_all("direct")
+
+    def supervise(self, *stages: str, **options) -> dict[str, Outcome]:
+        """Run the jobs of stages together, each started again by itself when it fails; by ``<stage>-<kind>``."""
+        starts = {f"{stage}-{kind}": start for stage in stages for kind, start in self.starts(stage).items()}
+        return supervise(starts, **options)
 
     def drain(self, messages: DataFrame, **options) -> None:
         """Run the three stages one after the other over what there is now."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from decimal import Decimal
 
 import pytest
@@ -272,7 +273,7 @@ ROUTED = [
     ('{"e":"trade","E":1} trailing', "malformed"),
     ('{"e":"trade","E":1}{"e":"trade","E":1}', "malformed"),
     ('{"e":"trade","E":1},{"e":"trade","E":1}', "malformed"),
-    ('{"e":"trade","E":1,"E":2}', "malformed"),
+    ('{"e":"trade","E":1,"E":2}', None),
     ("[1,2]", "not an object"),
     ('"result"', "not an object"),
     ("null", "not an object"),
@@ -313,3 +314,43 @@ def test_endpoints_of_one_kind_share_it():
     assert [k.table for k in distinct_kinds(ALL)] == [
         "aggTrades", "trades", "klines", "miniTickers", "tickers", "avgPrices", "depths",
     ]
+
+
+def repeated(message: dict, **first) -> str:
+    """A message whose keys ``first`` come once more before, with other values."""
+    return json.dumps(first)[:-1] + ", " + json.dumps(message)[1:]
+
+
+def test_of_repeated_keys_the_last_value_routes(spark, case_sensitive):
+    bar = json.dumps(KLINE).replace('"i":', '"i": "9m", "i":')
+    rows = routes(
+        spark,
+        repeated(TRADE, e="kline", E=1, s="OTHER"),
+        bar,
+        repeated({**TRADE, "E": "soon"}, E=5),
+        repeated({**TRADE, "e": "bookTicker"}, e="trade"),
+        repeated({"id": 1, "result": None}, id=2),
+        repeated(TRADE, e="x") + " {}",
+        repeated(TRADE, e="x") + "]",
+        repeated(TRADE, e="x")[:-1],
+        "[" + repeated(TRADE, e="x") + "]",
+        repeated(TRADE, e="x") + "," + json.dumps(TRADE),
+        repeated(TRADE, e="x").replace('"', "'"),
+        rewrite_json=True,
+    )
+    assert [(r.topic, r.symbol, r.interval, r.reject_reason) for r in rows[:2]] == [
+        ("trade_raw", TRADE["s"], None, None), ("kline_raw", KLINE["s"], KLINE["k"]["i"], None),
+    ]
+    assert rows[0].value == repeated(TRADE, e="kline", E=1, s="OTHER") and rows[1].value == bar
+    assert [r.reject_reason for r in rows[2:5]] == ["bad event time", "unknown event", "acknowledgement"]
+    assert {r.reject_reason for r in rows[5:]} == {"malformed"}
+    (plain,) = routes(spark, TRADE)
+    assert rows[0].partition == plain.partition
+
+
+def test_sound_messages_are_parsed_once(spark):
+    routed = route_raw(raw(spark, TRADE), carry=("offset",)).filter("reject_reason IS NULL")
+    text = routed._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json(") == 1 and len(re.findall("parse_?json", text, re.IGNORECASE)) == 1
+    # The second parse is asked for where the first one gave nothing, and nowhere else.
+    assert re.search(r"CASE WHEN isnull\(doc#\d+\) THEN (cast\()?from_json\(", text)

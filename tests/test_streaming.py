@@ -11,7 +11,7 @@ from marketflow import Subscriptions, latest_klines, normalize
 from marketflow.operators.latest import VERSION
 from marketflow.plans.batch import backfill, raw_to_rows
 from marketflow.sources import FileTopics, KafkaTopics, Rate, published_rate, read_quarantine, read_table
-from marketflow.streaming import Pipeline, await_any, start_direct, start_routing
+from marketflow.streaming import Pipeline, await_any, start_direct, start_routing, supervise
 from test_messages import ALL, DEPTH, KLINE, T0, TRADE
 
 SCHEMA = "value string, offset bigint"
@@ -129,12 +129,54 @@ def test_dead_letters_and_subscriptions(spark, tmp_path, feed):
     assert {r.topic for r in spark.read.parquet(none.path).collect()} == {"trade_raw", "depth_raw"}
 
 
-def test_a_message_with_a_repeated_key_is_kept_as_a_dead_letter(spark, tmp_path, feed):
-    feed.send('{"e":"trade","e":"trade","E":1}', {"result": None, "id": 1}, {"e": "bookTicker", "E": 1}, {"e": "trade"})
+def test_of_a_repeated_key_the_last_value_reaches_the_table(spark, tmp_path, feed):
+    twice = json.dumps({**TRADE, "t": 5})[:-1] + f', "t": 6, "E": {T0 + 1000}}}'
+    feed.send(twice, '{"e":"trade","e":"trade"}', {"result": None, "id": 1}, {"e": "bookTicker", "E": 1}, {"e": "trade"})
     pipeline = pipeline_of(spark, tmp_path, ["trade"])
-    pipeline.route(feed.stream()).awaitTermination()
+    pipeline.drain(feed.stream())
     lost = {r.offset: r.key for r in pipeline.raw.read(spark, "dead_letters").collect()}
-    assert lost == {0: "malformed", 3: "no event time"}
+    assert lost == {1: "no event time", 4: "no event time"}
+    assert [r.value for r in pipeline.raw.read(spark, "trade_raw").collect()] == [twice]
+    (row,) = read_table(spark, "trade", pipeline.table_path("trade")).collect()
+    assert row.trade_id == 6 and row.timestamp_utc.timestamp() == (T0 + 1000) // 1000
+
+
+def test_a_failed_kind_is_started_again_and_leaves_the_others_alone(spark, tmp_path, feed):
+    feed.send(*({**TRADE, "t": i} for i in range(20)), DEPTH)
+    pipeline = pipeline_of(spark, tmp_path, ["trade", "depth"])
+    pipeline.route(feed.stream()).awaitTermination()
+    block = tmp_path / "tables" / "trades" / "rejected=false"
+    block.parent.mkdir(parents=True)
+    block.write_text("in the way")
+    heard, started = [], []
+
+    def on_failure(name, error):
+        heard.append(name)
+        if len(heard) == 2:
+            block.unlink()
+
+    starts = {
+        name: lambda name=name, start=start: started.append(name) or start()
+        for name, start in pipeline.starts("direct").items()
+    }
+    outcomes = supervise(starts, pause=0.1, poll=0.1, on_failure=on_failure)
+    assert heard == ["trade", "trade"] and sorted(started) == ["depth", "trade", "trade", "trade"]
+    assert (outcomes["trade"].restarts, outcomes["trade"].error) == (2, None) and outcomes["depth"].restarts == 0
+    ids = [r.trade_id for r in read_table(spark, "trade", pipeline.table_path("trade")).collect()]
+    assert sorted(ids) == list(range(20)) and read_table(spark, "depth", pipeline.table_path("depth")).count() == 1
+    spark.streams.resetTerminated()
+
+
+def test_a_kind_is_given_up_after_its_last_restart(spark, tmp_path, feed):
+    feed.send(TRADE, DEPTH)
+    pipeline = pipeline_of(spark, tmp_path, ["trade", "depth"])
+    pipeline.route(feed.stream()).awaitTermination()
+    # The folder is another's, so the job cannot even be started.
+    start_direct(spark, "trade", pipeline.raw, pipeline.table_path("trade"), str(tmp_path / "other")).awaitTermination()
+    outcomes = pipeline.supervise("direct", restarts=1, pause=0.1, poll=0.1)
+    assert outcomes["direct-trade"].restarts == 1 and "belongs to" in str(outcomes["direct-trade"].error)
+    assert outcomes["direct-depth"].error is None
+    assert read_table(spark, "depth", pipeline.table_path("depth")).count() == 1
 
 
 def test_a_pipeline_routes_its_own_kinds_and_markets(spark, tmp_path, feed):
