@@ -3,9 +3,10 @@ r"""BPE encoding and decoding over a table of distinct words.
 Tasks split texts into words as the tokenizer's own pattern does and keep, for a block of
 documents, its distinct words and for every position the number of its word. The distinct
 words of all blocks meet by hash, each is encoded once, and its ids go back to the blocks
-that asked, where they take their positions. Decoding looks every id up in the table of
-pieces (one row per id of the vocabulary, 49,408 here, so of a fixed size) and joins the
-pieces as the tokenizer's decoder does.
+that asked, where they take their positions. Decoding joins the ids that a block's words have,
+each once per bucket of words, with the table of pieces (one row per id of the vocabulary,
+49,408 here, so of a fixed size); the pieces go to the block along with the ids, and texts are
+put together from them as the tokenizer's decoder does.
 
 Per occurrence only a word's number is stored, compressed; words are shuffled once per block
 of about 4 million occurrences, not once per occurrence.
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 import zstandard
@@ -27,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from marketflow.llm.arrays import runs
 from marketflow.llm.common import give_back, materialize, tidy
 
 #: The vocabulary's special tokens and its word pattern (white space spelled out).
@@ -41,7 +44,10 @@ WORDS_AT_ONCE = 20_000
 
 POSITIONS_DDL = "docs array<long>, sizes array<int>, positions binary"
 SHARED = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("steps", pa.binary()), ("words", pa.binary())])
-IDS = pa.schema([("block", pa.int64()), ("steps", pa.binary()), ("counts", pa.binary()), ("ids", pa.binary())])
+IDS = pa.schema([("block", pa.int64()), ("steps", pa.binary()), ("counts", pa.binary()), ("ids", pa.binary()), ("id", pa.int32())])
+IDS_DDL = "block long, steps binary, counts binary, ids binary, id int"
+PIECES = pa.schema([*list(IDS)[:4], ("piece_ids", pa.binary()), ("pieces", pa.binary())])
+PIECES_DDL = "block long, steps binary, counts binary, ids binary, piece_ids binary, pieces binary"
 BLOCKS = pa.schema(
     [*SHARED, ("docs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("positions", pa.binary())]
 )
@@ -154,7 +160,10 @@ def _blocks(words_per_block: int, buckets: int):
 
 
 def _encoded(path: str):
-    """Rows sorted by bucket: every distinct word of a bucket is encoded once."""
+    """Rows sorted by bucket: every distinct word of a bucket is encoded once.
+
+    After a block's words come the ids that they have, a row each, to be joined with their pieces.
+    """
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer.from_file(path)
@@ -172,16 +181,40 @@ def _encoded(path: str):
                 found = [known[w] for w in words]
                 counts, ids = np.array([len(f) for f in found]), np.concatenate(found)
                 yield _row(IDS, block=row["block"], steps=row["steps"], counts=packed(counts), ids=packed(ids))
+                asked = np.unique(ids)
+                blocks, none = np.full(len(asked), row["block"]), pa.nulls(len(asked), pa.binary())
+                columns = [pa.array(blocks), none, none, none, pa.array(asked, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, schema=IDS)
 
     return tidy(encoded)
 
 
-def _digests(path: str):
+def _with_packed_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of words as they are; runs of ids of one block, joined with their pieces, as one row each."""
+    for batch in batches:
+        single = batch.column("id").is_valid()
+        words = batch.filter(pc.invert(single))
+        if len(words):
+            empty = pa.nulls(len(words), pa.binary())
+            yield pa.RecordBatch.from_arrays([*(words.column(n) for n in PIECES.names[:4]), empty, empty], schema=PIECES)
+        joined = batch.filter(single)
+        blocks, ids = joined.column("block").to_numpy(), joined.column("id").to_numpy()
+        pieces = joined.column("piece")
+        for a, b in runs(blocks):
+            order = np.argsort(ids[a:b])
+            text = "\n".join(pieces.slice(a, b - a).take(pa.array(order)).to_pylist())
+            steps = packed(np.diff(ids[a:b][order], prepend=0))
+            yield _row(PIECES, block=int(blocks[a]), piece_ids=steps, pieces=_squeezed(text.encode()))
+
+
+def _digests():
     def digests(_, table):
-        tokenizer = Tokenizer.from_file(path)
-        pieces = [(tokenizer.id_to_token(i) or "").encode() for i in range(tokenizer.get_vocab_size())]
         rows = table.to_pylist()
-        del tokenizer
+        pieces: dict[int, bytes] = {}
+        for r in rows:
+            if r["piece_ids"]:
+                found = zstandard.decompress(r["pieces"]).split(b"\n")
+                pieces.update(zip(np.cumsum(unpacked(r["piece_ids"])).tolist(), found))
         # Words of a block are numbered from 0 without gaps.
         parts = [(np.cumsum(unpacked(r["steps"])), unpacked(r["counts"]), unpacked(r["ids"])) for r in rows if r["ids"]]
         total = sum(len(p[0]) for p in parts)
@@ -224,12 +257,15 @@ def encode_and_decode(
     ids = (
         asked.repartition("bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_encoded(tokenizer_path), "block long, steps binary, counts binary, ids binary")
+        .mapInArrow(_encoded(tokenizer_path), IDS_DDL)
     )
+    # One row per id of the vocabulary. Rows of words have no id and pass.
+    joined = ids.join(F.broadcast(piece_table(docs, tokenizer_path)), "id", "left")
+    known = joined.mapInArrow(tidy(_with_packed_pieces), PIECES_DDL)
     positions = blocks.filter("bucket IS NULL").select("block", "docs", "sizes", "positions")
-    both = positions.unionByName(ids, allowMissingColumns=True)
+    both = positions.unionByName(known, allowMissingColumns=True)
     return both.groupBy("block").applyInArrow(
-        _digests(tokenizer_path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        _digests(), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
 
 

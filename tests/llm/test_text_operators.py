@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import brute
-from marketflow.llm.bpe import decode_ids, encode_and_decode, split_words
+from marketflow.llm.bpe import decode_ids, encode_and_decode, piece_table, split_words
 from marketflow.llm.components import connected_components
 from marketflow.llm.lm import language_model_scores
 from marketflow.llm.mixing import mix
@@ -152,6 +152,20 @@ def test_tokens_match_the_library(spark, documents):
     assert split_words("a <|endoftext|>") == ["a", "<|endoftext|>"]
 
 
+def test_texts_are_decoded_through_the_join_with_pieces(spark, documents, monkeypatch):
+    plain = rows_of(encode_and_decode(table(spark, documents), TOKENIZER))
+    pieces = piece_table(table(spark, []), TOKENIZER).withColumn("piece", F.concat("piece", F.lit("#")))
+    monkeypatch.setattr("marketflow.llm.bpe.piece_table", lambda *_: pieces)
+    marked = rows_of(encode_and_decode(table(spark, documents), TOKENIZER, words_per_block=80, buckets=3))
+    assert [r[:3] for r in marked] == [r[:3] for r in plain]
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    want = Counter()
+    for doc, text, _ in documents:
+        tokens = tokenizer.encode(text or "", add_special_tokens=False).tokens
+        want[doc, hashlib.sha256(" ".join(t + "#" for t in tokens).encode()).hexdigest()] += 1
+    assert Counter((r[0], r[3]) for r in marked) == want
+
+
 def test_decoding_joins_pieces_by_position(spark):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in ("the the cat", "x y")]
