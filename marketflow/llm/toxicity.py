@@ -28,15 +28,12 @@ WINDOW, STRIDE = 48, 24
 BASE_BYTES = 60_000
 #: Bytes of the dictionary of either class that follows the base.
 CLASS_BYTES = 4_000
-#: Windows of a class that dictionaries are trained on, at most; chosen by hash.
-BASE_WINDOWS = 30_000
 LEVEL = 6
 #: Segments are beginnings of words of 4 to 12 bytes with the space before, or whole words.
 SEGMENT_BYTES = range(5, 14)
 LEAST_DOCUMENTS = 6
 #: Likelihood ratio (G squared) of a segment's document counts: chance gives 30 once in 20 million.
 LEAST_RATIO = 30.0
-MOST_SEGMENTS = 256
 GAINS = (1, 2, 3, 5)
 WINDOWS_AT_ONCE = 20_000
 THRESHOLD = 0.5
@@ -131,10 +128,11 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
 
 
 def trained(samples: list[bytes], size: int) -> bytes:
-    """Content of a dictionary trained on windows; of few windows, the windows themselves."""
-    if sum(map(len, samples)) > 4 * size:
+    """Content of a dictionary trained on windows; where zstandard finds them too few to train on, the windows."""
+    try:
         return zstandard.train_dictionary(size, samples).as_bytes()
-    return b"".join(samples)[-size:]
+    except (ValueError, zstandard.ZstdError):
+        return b"".join(samples)
 
 
 def level(one: bytes, other: bytes) -> tuple[bytes, bytes]:
@@ -143,12 +141,10 @@ def level(one: bytes, other: bytes) -> tuple[bytes, bytes]:
     return one.rjust(size), other.rjust(size)
 
 
-def chosen_segments(ranked: Iterable[bytes], most: int = MOST_SEGMENTS) -> list[bytes]:
-    """The first ``most`` in order of significance of those that neither hold, nor lie in, one before."""
+def chosen_segments(ranked: Iterable[bytes]) -> list[bytes]:
+    """In order of significance, those that neither hold, nor lie in, one before."""
     out: list[bytes] = []
     for segment in ranked:
-        if len(out) == most:
-            break
         if not any(s in segment or segment in s for s in out):
             out.append(segment)
     return out
@@ -190,8 +186,9 @@ def _mapped(texts: DataFrame, of, schema: str) -> DataFrame:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = SAMPLE_PER_CLASS) -> Model:
     """Dictionaries and calibration from a bounded sample of labelled documents.
 
-    What reaches the driver is bounded as well: segments, windows for the base, and a row of
-    numbers per document of the calibration half.
+    Of these documents nothing is left out: the driver gets all windows and significant segments of
+    the half that dictionaries are made from, at most ``2 * per_class`` texts of any length and
+    about twice their size, and a row of numbers per document of the other half.
     """
     sample, sizes = labelled_sample(docs, labels, label, per_class)
     learn = sample.filter(F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(2)) == 0)
@@ -241,12 +238,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
 
     def training(answer: int, of) -> list[bytes]:
         found = _mapped(learn.filter(F.col("label") == answer), of, "window binary")
-        return found.orderBy(F.xxhash64("window"), "window").limit(BASE_WINDOWS).toArrow()["window"].to_pylist()
+        return found.orderBy(F.xxhash64("window"), "window").toArrow()["window"].to_pylist()
 
     # Most windows of a toxic document are ordinary text: those with its segments are the toxic ones.
     ordinary_windows = training(0, found_windows)
     toxic_windows = training(1, marked_windows if toxic_markers else found_windows)
     shared = trained(ordinary_windows, BASE_BYTES)
+    # The base has learnt from all ordinary windows; what follows it, from as many of either class.
     own = level(trained(ordinary_windows[: max(1, len(toxic_windows))], CLASS_BYTES), trained(toxic_windows, CLASS_BYTES))
     tails = level(*(b"".join(reversed(m)) for m in (ordinary_markers, toxic_markers)))
     pairs = tuple(tuple(shared + end for end in ends) for ends in (own, tails))

@@ -293,7 +293,7 @@ def test_toxic_and_ordinary_dictionaries_are_both_trained(spark):
 
 def test_parts_of_one_word_take_one_place():
     ranked = [b" abcdefgh"[:n] for n in range(9, 4, -1)] + [b" second", b" third"]
-    assert chosen_segments(ranked, 2) == [b" abcdefgh", b" second"]
+    assert chosen_segments(ranked) == [b" abcdefgh", b" second", b" third"]
 
 
 def test_mix_of_rows_that_share_an_id_or_are_repeated(spark):
