@@ -1,14 +1,18 @@
-"""Interpolated modified Kneser-Ney language model of word pairs.
-
-Spark counts words and pairs: tasks add up blocks of text with numpy and send sorted, packed
-counts by hash bucket, so a shuffle row carries thousands of pairs. Each bucket is merged,
-sorted and written as arrays of 64-bit hashes and counts to a folder all executors share.
-Scoring tasks memory-map the arrays and look up what their block of text holds; no task
-loads the model, and all counts cover the whole corpus.
-
-The probability of word w after word u is ``(c(uw) - D) / c(u) + g(u) * q(w)``, where D is one
-of three discounts by count, g(u) is the mass that they free, and q is the share of distinct
-words that w follows, discounted likewise and mixed with a uniform share for unknown words.
+"""Interpolated modified Kneser-Ney language model of word n-grams, of any order.
+
+Spark counts the n-grams: tasks add up blocks of text with numpy and send sorted, packed arrays
+by hash bucket, so a shuffle row carries many n-grams. Every n-gram goes by a hash of itself, so
+however frequent a word or context is, no bucket is hot. From the longest n-grams down, each
+bucket is merged and written as sorted arrays of 64-bit hashes and counts to a folder all
+executors share, and tells the next shorter ones what it says of them. Scoring tasks memory-map
+the arrays and look up what their block of text holds; no task loads the model, and all counts
+cover the whole corpus.
+
+The probability of word w after context h is ``(a(hw) - D) / t(h) + g(h) * p(w | h')``, where h'
+is h without its first word. a is how often hw comes if it has the model's order, else in how many
+distinct n-grams it is all but the first word; t(h) is the sum of a over all words after h; D is
+one of three discounts by a, and g(h) the mass that they free. Single words are mixed with a
+uniform share for unknown words. Every text begins after ``order - 1`` start marks.
 """
 
 from __future__ import annotations
@@ -26,20 +30,28 @@ from marketflow.llm.arrays import found, rows_by_bucket, runs, shared_folder, st
 from marketflow.llm.common import id_remainder, tidy
 from marketflow.sources.work import new_work_dir
 
-TOKENS_PER_BLOCK = 2_500_000
-#: Buckets of contexts per input partition, and how many ways each is split by the next word.
-BUCKETS_PER_PARTITION = 4
-WAYS_BITS = 3
+#: Longest n-grams that are counted.
+ORDER = 3
+TOKENS_PER_BLOCK = 2_000_000
+#: Distinct n-grams whose neighbours a merging task adds up before it passes them on.
+GRAMS_AT_ONCE = 1_000_000
+#: Buckets by size of the texts, and how many a task merges, one after the other.
+TEXT_BYTES_PER_BUCKET = 8 << 20
+BUCKETS_PER_TASK = 2
 #: What a text ends with and begins after: hashes of strings that are no words.
 END = np.uint64(xxhash.xxh64_intdigest(b"\n"))
 BEGIN = np.uint64(xxhash.xxh64_intdigest(b"\n\n"))
 HELD_OUT = 1
 
-#: Rows of a bucket: the kind of what follows, and arrays of it.
+#: Rows of a bucket: the kind of what follows, and arrays of it. Buckets of a level come after those of the one below.
 PACKED = pa.schema([("bucket", pa.int64()), ("data", pa.list_(pa.binary()))])
 PACKED_DDL = "bucket long, data array<binary>"
-WORDS, PAIRS, FOLLOWS, LEADS = b"words", b"pairs", b"follows", b"leads"
-PAIR_COUNTS, SUMS, HEAD_COUNTS = b"pair counts", b"sums", b"head counts"
+LEVEL_BITS = 48
+#: Contexts, all but first words and counts; the same without counts; words and counts.
+GRAMS, TYPES, WORDS = b"grams", b"types", b"words"
+#: What longer n-grams say of shorter ones: in how many they end, and what follows on them.
+FOLLOWS, LEADS = b"follows", b"leads"
+TOTALS = b"totals"
 
 
 def pair_keys(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -49,13 +61,16 @@ def pair_keys(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
     return x * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def pair_buckets(contexts: np.ndarray, words: np.ndarray, bits: int) -> np.ndarray:
-    """Bucket by context; one context, however frequent, is spread by the word that follows."""
-    return (contexts >> np.uint64(64 - bits) << np.uint64(WAYS_BITS)) | (words >> np.uint64(64 - WAYS_BITS))
+def start_keys(order: int) -> list[np.uint64]:
+    """Hashes of as many start marks as the place in the list says, from one on."""
+    keys = [np.array([BEGIN])]
+    while len(keys) < order:
+        keys.append(pair_keys(keys[-1], keys[-1]))
+    return [np.uint64(0), *(k[0] for k in keys)]
 
 
-def word_buckets(words: np.ndarray, bits: int) -> np.ndarray:
-    return words >> np.uint64(64 - bits)
+def buckets_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    return keys >> np.uint64(64 - bits)
 
 
 @dataclass
@@ -63,9 +78,25 @@ class TokenBlock:
     """Token hashes of several texts; every text ends in an end token."""
 
     tokens: np.ndarray
-    contexts: np.ndarray
     sizes: np.ndarray
 
+    def shifted(self, values: np.ndarray, start) -> np.ndarray:
+        """Values of the tokens before, ``start`` where a text begins."""
+        out = np.empty_like(values)
+        out[1:] = values[:-1]
+        out[np.cumsum(self.sizes) - self.sizes] = start
+        return out
+
+    def levels(self, order: int) -> Iterator[tuple[int, np.ndarray | None, np.ndarray | None, np.ndarray]]:
+        """Per length: the context and the rest after the first word of the n-gram that ends at each token, and its hash."""
+        starts, grams = start_keys(order), self.tokens
+        yield 1, None, None, grams
+        for level in range(2, order + 1):
+            contexts = self.shifted(grams, starts[level - 1])
+            longer = pair_keys(contexts, grams)
+            yield level, contexts, grams, longer
+            grams = longer
+
 
 def token_blocks(texts: Iterator[bytes], most: int) -> Iterator[TokenBlock]:
     """Texts in order, cut into blocks between texts once ``most`` tokens are held."""
@@ -73,11 +104,7 @@ def token_blocks(texts: Iterator[bytes], most: int) -> Iterator[TokenBlock]:
     total = 0
 
     def out() -> TokenBlock:
-        tokens, counts = np.concatenate(held), np.array(sizes)
-        contexts = np.empty_like(tokens)
-        contexts[1:] = tokens[:-1]
-        contexts[np.cumsum(counts) - counts] = BEGIN
-        return TokenBlock(tokens, contexts, counts)
+        return TokenBlock(np.concatenate(held), np.array(sizes))
 
     for text in texts:
         words = text.lower().split()
@@ -109,118 +136,114 @@ def _row(bucket: int, kind: bytes, *arrays: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array([bucket]), pa.array([data], pa.list_(pa.binary()))], schema=PACKED)
 
 
-def _split(buckets: np.ndarray, kind: bytes, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of arrays, one per bucket; buckets are in order."""
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    return counts.astype(np.min_scalar_type(int(counts.max()))) if counts.size else counts
+
+
+def _split(level: int, bits: int, keys: np.ndarray, kind: bytes, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of arrays, one per bucket of ``keys``; keys are in order."""
+    buckets = buckets_of(keys, bits).astype(np.int64)
     for a, b in runs(buckets):
-        yield _row(int(buckets[a]), kind, *(x[a:b] for x in arrays))
+        hashes = (x[a:b] for x in arrays if x.dtype == np.uint64)
+        yield _row(level << LEVEL_BITS | int(buckets[a]), kind, *hashes, *(_narrow(x[a:b]) for x in arrays if x.dtype != np.uint64))
 
 
-def _below(bucket: int) -> int:
-    """Buckets of words among those of pairs: numbers below zero, and back."""
-    return -1 - bucket
+def _columns(data: list[bytes]) -> list[np.ndarray]:
+    """A row's arrays after its kind: hashes, then counts as narrow as they were sent."""
+    n = len(data[1]) // 8
+    return [np.frombuffer(d, dtype=f"<u{len(d) // n}") for d in data[1:]]
 
 
-def _count(bits: int, most: int):
+def _count(levels: set[int], order: int, bits: int, most: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = (t or b"" for batch in batches for t in batch.column(0).cast(pa.binary()).to_pylist())
         for block in token_blocks(texts, most):
-            words, counts = np.unique(block.tokens, return_counts=True)
-            counts, buckets = counts.astype(np.uint32), word_buckets(words, bits).astype(np.int64)
-            for a, b in runs(buckets):
-                yield _row(_below(int(buckets[a])), WORDS, words[a:b], counts[a:b])
-            order = np.argsort(pair_keys(block.contexts, block.tokens))
-            contexts, tokens = block.contexts[order], block.tokens[order]
-            first = np.flatnonzero(np.append(True, (contexts[1:] != contexts[:-1]) | (tokens[1:] != tokens[:-1])))
-            counts = np.diff(np.append(first, len(order))).astype(np.uint32)
-            contexts, tokens = contexts[first], tokens[first]
-            buckets = pair_buckets(contexts, tokens, bits)
-            order = np.lexsort((tokens, contexts, buckets))
-            buckets, contexts, tokens, counts = (x[order] for x in (buckets, contexts, tokens, counts))
-            for a, b in runs(buckets):
-                # Each context once, and how often it comes.
-                first = a + np.flatnonzero(np.append(True, contexts[a + 1 : b] != contexts[a : b - 1]))
-                lengths = np.diff(np.append(first, b)).astype(np.uint32)
-                yield _row(int(buckets[a]), PAIRS, contexts[first], lengths, tokens[a:b], counts[a:b])
+            for level, contexts, rests, grams in block.levels(max(levels)):
+                if level not in levels:
+                    continue
+                keys, first, counts = np.unique(grams, return_index=True, return_counts=True)
+                if level == 1:
+                    yield from _split(1, bits, keys, WORDS, keys, counts)
+                elif level == order:
+                    yield from _split(level, bits, keys, GRAMS, contexts[first], rests[first], counts)
+                else:
+                    yield from _split(level, bits, keys, TYPES, contexts[first], rests[first])
 
     return tidy(count)
 
 
-def _arrays(data: list[bytes], *types) -> list[np.ndarray]:
-    """A row's arrays, after its kind."""
-    return [np.frombuffer(d, dtype=t) for d, t in zip(data[1:], types)]
-
-
-def _narrow(counts: np.ndarray) -> np.ndarray:
-    return counts.astype(np.min_scalar_type(int(counts.max()))) if counts.size else counts
-
-
-def _merge_pairs(folder: str, bits: int):
-    """Write each bucket's pairs; pass on what they say of their words and contexts, and words' counts."""
-
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        follows, leads, waiting = [], [], 0
-        of_counts = np.zeros(5, dtype=np.int64)
-
-        def passed() -> Iterator[pa.RecordBatch]:
-            words, heads = summed(*(np.concatenate(c) for c in zip(*follows)))
-            yield from _split(word_buckets(words, bits), FOLLOWS, words, heads)
-            contexts, *stats = summed(*(np.concatenate(c) for c in zip(*leads)))
-            yield from _split(word_buckets(contexts, bits), LEADS, contexts, *stats)
-
-        for bucket, rows in rows_by_bucket(batches):
-            if bucket < 0:
-                words, counts = (np.concatenate(c) for c in zip(*(_arrays(r, np.uint64, np.uint32) for r in rows)))
-                yield _row(_below(bucket), WORDS, *summed(words, counts.astype(np.uint64)))
-                continue
-            parts = [_arrays(r, np.uint64, np.uint32, np.uint64, np.uint32) for r in rows]
-            contexts = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
-            tokens, counts = (np.concatenate([p[n] for p in parts]) for n in (2, 3))
-            keys = pair_keys(contexts, tokens)
-            order = np.argsort(keys, kind="stable")
-            keys, contexts, tokens, counts = keys[order], contexts[order], tokens[order], counts[order]
-            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-            keys, contexts, tokens = keys[first], contexts[first], tokens[first]
-            counts = np.add.reduceat(counts.astype(np.uint64), first)
-            stored(folder, f"pairs-{bucket}", keys, _narrow(counts))
-            of_counts += np.bincount(np.minimum(counts, 5).astype(np.int64), minlength=6)[1:]
-            follows.append(summed(tokens, np.ones(len(tokens), dtype=np.uint64)))
-            ones = [(counts == c).astype(np.uint64) for c in (1, 2)] + [(counts > 2).astype(np.uint64)]
-            leads.append(summed(contexts, counts, *ones))
-            waiting += len(keys)
-            if waiting >= TOKENS_PER_BLOCK:
-                yield from passed()
-                follows, leads, waiting = [], [], 0
-        if follows:
-            yield from passed()
-        yield _row(-1, PAIR_COUNTS, of_counts)
-
-    return tidy(merged)
+def _neighbours(level: int, bits: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """What distinct n-grams, given as contexts, rests and counts, say of the next shorter ones."""
+    contexts, rests, counts = (np.concatenate(c) for c in zip(*held))
+    order = np.sort(rests)
+    first = np.flatnonzero(np.append(True, order[1:] != order[:-1]))
+    heads = np.diff(np.append(first, len(order)))
+    yield from _split(level - 1, bits, order[first], FOLLOWS, order[first], heads)
+    kinds = [(counts == 1).astype(np.int64), (counts == 2).astype(np.int64), (counts > 2).astype(np.int64)]
+    contexts, *sums = summed(contexts, counts, *kinds)
+    yield from _split(level - 1, bits, contexts, LEADS, contexts, *sums)
+
+
+#: Columns of a merged n-gram: its own count, in how many longer ones it ends, and how often and with what counts it leads.
+COLUMNS = {WORDS: slice(0, 1), GRAMS: slice(0, 1), FOLLOWS: slice(1, 2), LEADS: slice(2, 6)}
+
+
+def _merged_bucket(rows: list[list[bytes]]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """A bucket's distinct keys, their columns, and contexts and rests of those that have them (zeros else)."""
+    keys, columns, contexts, rests = [], [], [], []
+    for data in rows:
+        arrays = _columns(data)
+        pairs = np.zeros((2, len(arrays[0])), dtype=np.uint64)
+        if data[0] in (GRAMS, TYPES):
+            pairs[:] = arrays[:2]
+            arrays = [pair_keys(*arrays[:2]), *arrays[2:]]
+        table = np.zeros((6, len(arrays[0])), dtype=np.int64)
+        if data[0] != TYPES:
+            table[COLUMNS[data[0]]] = arrays[1:]
+        keys.append(arrays[0])
+        columns.append(table)
+        contexts.append(pairs[0])
+        rests.append(pairs[1])
+    keys = np.concatenate(keys)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    columns = np.concatenate(columns, axis=1)
+    sums = [np.add.reduceat(c[order], first) for c in columns]
+    # Rows without them hold zeros, so the largest value is the one that others hold.
+    pairs = [np.maximum.reduceat(np.concatenate(p)[order], first) for p in (contexts, rests)]
+    return keys[first], sums, *pairs
 
 
-def _merge_words(folder: str):
-    """Write each bucket's words with counts; pass on the sums over all of them."""
+def _merge(folder: str, level: int, order: int, bits: int):
+    """Write each bucket of n-grams of a length; pass on what they say of shorter ones, and rows of those."""
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, of_counts = np.zeros(3, dtype=np.int64), np.zeros(5, dtype=np.int64)
+        held, waiting = [], 0
+        totals = np.zeros((order + 1, 5), dtype=np.int64)
         for bucket, rows in rows_by_bucket(batches):
-            if bucket < 0:
+            if bucket >> LEVEL_BITS != level:
                 for data in rows:
-                    yield _row(-1, data[0], *_arrays(data, np.int64))
+                    yield pa.record_batch([pa.array([bucket]), pa.array([data], pa.list_(pa.binary()))], schema=PACKED)
                 continue
-            keys, values = [], []
-            for data in rows:
-                words, *numbers = _arrays(data, *[np.uint64] * (len(data) - 1))
-                table = np.zeros((6, len(words)), dtype=np.uint64)
-                table[{WORDS: slice(0, 1), FOLLOWS: slice(1, 2), LEADS: slice(2, 6)}[data[0]]] = numbers
-                keys.append(words)
-                values.append(table)
-            words, *columns = summed(np.concatenate(keys), *np.concatenate(values, axis=1))
-            counts, heads = columns[0].astype(np.int64), columns[1].astype(np.int64)
-            stored(folder, f"words-{bucket}", words, _narrow(np.stack(columns, axis=1)))
-            sums += [counts.sum(), (counts > 0).sum(), heads.sum()]
-            of_counts += np.bincount(np.minimum(heads[heads > 0], 5), minlength=6)[1:]
-        yield _row(-1, SUMS, sums)
-        yield _row(-1, HEAD_COUNTS, of_counts)
+            keys, columns, contexts, rests = _merged_bucket(rows)
+            counts = columns[0] if level == order else columns[1]
+            kept = [counts] if level == order else [counts, *columns[2:]]
+            if level == 1:
+                kept = [columns[0], *kept]
+                totals[0, :3] += [columns[0].sum(), (columns[0] > 0).sum(), counts.sum()]
+            stored(folder, f"grams{level}-{bucket & (1 << LEVEL_BITS) - 1}", keys, *map(_narrow, kept))
+            totals[level] += np.bincount(np.minimum(counts, 5), minlength=6)[1:]
+            if level > 1:
+                own = counts > 0
+                held.append((contexts[own], rests[own], counts[own]))
+                waiting += int(own.sum())
+                if waiting >= GRAMS_AT_ONCE:
+                    yield from _neighbours(level, bits, held)
+                    held, waiting = [], 0
+        if waiting:
+            yield from _neighbours(level, bits, held)
+        yield _row(-1, TOTALS, totals)
 
     return tidy(merged)
 
@@ -241,71 +264,81 @@ class Model:
     """Where the arrays lie, and the few numbers that hold for all of them."""
 
     folder: str
+    order: int
     bits: int
     tokens: int
     words: int
-    pairs: int
-    pair_discounts: np.ndarray
-    head_discounts: np.ndarray
+    heads: int
     free_heads: float
-
-    def _looked_up(self, kind: str, buckets: np.ndarray, keys: np.ndarray, width: int) -> np.ndarray:
-        """Values of keys, zeros where there are none, read from memory-mapped arrays."""
-        out = np.zeros((len(keys), width), dtype=np.uint64)
-        for asked, at, path in found(self.folder, kind, buckets, keys):
-            values = np.load(f"{path}.1.npy", mmap_mode="r")
-            out[asked] = values.reshape(len(values), -1)[at]
+    #: By length of n-grams.
+    discounts: list[np.ndarray]
+
+    def _looked_up(self, level: int, keys: np.ndarray) -> list[np.ndarray]:
+        """Columns of n-grams, zeros where there are none, read from memory-mapped arrays."""
+        width = (1 if level == self.order else 5) + (level == 1)
+        out = [np.zeros(len(keys), dtype=np.int64) for _ in range(width)]
+        for asked, at, path in found(self.folder, f"grams{level}", buckets_of(keys, self.bits), keys):
+            for part, column in enumerate(out, 1):
+                column[asked] = np.load(f"{path}.{part}.npy", mmap_mode="r")[at]
         return out
 
     def log_probabilities(self, block: TokenBlock) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of every token: log10 by the model, log10 by word counts alone, and whether it is known."""
-        known, at = np.unique(np.append(block.tokens, BEGIN), return_inverse=True)
-        table = self._looked_up("words", word_buckets(known, self.bits), known, 6).astype(np.float64)
-        counts, heads, totals = table[:, 0], table[:, 1], table[:, 2]
-        base = np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.words + 1)))
-        kept = heads - self.head_discounts[np.minimum(heads, 3).astype(np.int64)]
-        lower = kept / max(1, self.pairs) + self.free_heads / (self.words + 1)
-        free = table[:, 3:6] @ self.pair_discounts[1:] / np.maximum(totals, 1)
-        free[totals == 0] = 1.0
-        token = at[:-1]
-        before = np.empty_like(token)
-        before[1:] = token[:-1]
-        before[np.cumsum(block.sizes) - block.sizes] = at[-1]
-        keys = pair_keys(block.contexts, block.tokens)
-        distinct, first, back = np.unique(keys, return_index=True, return_inverse=True)
-        buckets = pair_buckets(block.contexts[first], block.tokens[first], self.bits)
-        pairs = self._looked_up("pairs", buckets, distinct, 1)[back, 0].astype(np.float64)
-        above = pairs - self.pair_discounts[np.minimum(pairs, 3).astype(np.int64)]
-        likely = above / np.maximum(totals[before], 1) + free[before] * lower[token]
-        return np.log10(likely), base[token], counts[token] > 0
-
-
-def fit(texts: DataFrame, model_dir: str | None = None, tokens_per_block: int = TOKENS_PER_BLOCK) -> Model:
+        starts = start_keys(self.order)
+        for level, _, _, grams in block.levels(self.order):
+            known, at = np.unique(np.append(grams, starts[level]), return_inverse=True)
+            columns = self._looked_up(level, known)
+            token = at[:-1]
+            if level == 1:
+                words = columns.pop(0)
+                base = np.log10((words + 0.5) / (self.tokens + 0.5 * (self.words + 1)))[token]
+                is_known = (words > 0)[token]
+            above = columns[0] - self.discounts[level][np.minimum(columns[0], 3)]
+            if level == 1:
+                likely = (above / max(1, self.heads) + self.free_heads / (self.words + 1))[token]
+            else:
+                likely = above[token] / totals + free * likely
+            if level < self.order:
+                before = block.shifted(token, at[-1])
+                kinds = sum(d * c for d, c in zip(self.discounts[level + 1][1:], columns[2:]))
+                sums = np.maximum(columns[1], 1)
+                totals, free = sums[before], np.where(columns[1] > 0, kinds / sums, 1.0)[before]
+        return np.log10(likely), base, is_known
+
+
+def fit(
+    texts: DataFrame, model_dir: str | None = None, order: int = ORDER, tokens_per_block: int = TOKENS_PER_BLOCK
+) -> Model:
     """Count all rows of ``texts`` (one column of text) and write the model's arrays.
 
     ``model_dir`` is by default below the session's shared work folder. Any number of lost
-    tasks may be repeated: files are replaced whole, with the same content.
+    tasks may be repeated: files are replaced whole, with the same content. ``texts`` is read
+    three times; write it first if it could differ between readings.
     """
+    if order < 1:
+        raise ValueError(f"order is {order}, but has to be 1 or more")
     spark = texts.sparkSession
     folder = shared_folder(model_dir or new_work_dir(spark))
-    bits = max(1, (BUCKETS_PER_PARTITION * texts.rdd.getNumPartitions() - 1).bit_length())
-
-    def in_buckets(rows: DataFrame) -> DataFrame:
-        return rows.repartition("bucket").sortWithinPartitions("bucket")
-
-    counted = in_buckets(texts.mapInArrow(_count(bits, tokens_per_block), PACKED_DDL))
-    told = in_buckets(counted.mapInArrow(_merge_pairs(folder, bits), PACKED_DDL))
-    sums = told.mapInArrow(_merge_words(folder), PACKED_DDL)
-    totals = {PAIR_COUNTS: np.zeros(5, np.int64), SUMS: np.zeros(3, np.int64), HEAD_COUNTS: np.zeros(5, np.int64)}
+    size = texts.agg(F.sum(F.octet_length(texts.columns[0]).cast("long"))).first()[0] or 0
+    bits = max(1, (size // TEXT_BYTES_PER_BUCKET).bit_length())
+    tasks = max(1, (1 << bits) // BUCKETS_PER_TASK)
+
+    def counted(levels: set[int]) -> DataFrame:
+        return texts.mapInArrow(_count(levels, order, bits, tokens_per_block), PACKED_DDL)
+
+    told = counted({order})
+    for level in range(order, 0, -1):
+        if level == order - 1:
+            told = told.union(counted(set(range(1, order))))
+        rows = told.repartition(tasks, "bucket").sortWithinPartitions("bucket")
+        told = rows.mapInArrow(_merge(folder, level, order, bits), PACKED_DDL)
     # A few numbers per task come back.
-    for row in sums.collect():
-        totals[bytes(row["data"][0])] += np.frombuffer(row["data"][1], dtype=np.int64)
-    tokens, distinct, heads = totals[SUMS].tolist()
-    head_discounts = discounts(totals[HEAD_COUNTS])
-    of_heads = totals[HEAD_COUNTS].astype(np.float64)
-    taken = (head_discounts[1:] * [of_heads[0], of_heads[1], of_heads[2:].sum()]).sum()
-    free_heads = taken / heads if heads else 1.0
-    return Model(folder, bits, tokens, distinct, heads, discounts(totals[PAIR_COUNTS]), head_discounts, free_heads)
+    totals = sum((np.frombuffer(row["data"][1], dtype=np.int64) for row in told.collect()), np.zeros(5 * (order + 1), np.int64))
+    (tokens, distinct, heads, *_), *of_counts = totals.reshape(order + 1, 5).tolist()
+    found_discounts = [np.zeros(4), *(discounts(np.array(c)) for c in of_counts)]
+    n = of_counts[0]
+    taken = (found_discounts[1][1:] * [n[0], n[1], sum(n[2:])]).sum()
+    return Model(folder, order, bits, tokens, distinct, heads, taken / heads if heads else 1.0, found_discounts)
 
 
 SCORES = pa.schema(
@@ -336,15 +369,16 @@ def score(docs: DataFrame, model: Model, tokens_per_block: int = TOKENS_PER_BLOC
     return docs.mapInArrow(tidy(scored), "doc_id long, n_tokens long, n_known long, base_score double, score double")
 
 
-def language_model_scores(docs: DataFrame, model_dir: str | None = None) -> DataFrame:
+def language_model_scores(docs: DataFrame, model_dir: str | None = None, order: int = ORDER) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``.
 
-    Learns from rows whose crc32 of the id modulo 5 is not 1. A null text is empty and is one
-    end token. Repeated rows count as often as they come. An empty table gives no rows; where
+    Learns n-grams of up to ``order`` words from rows whose crc32 of the id modulo 5 is not 1. A
+    null text is empty and is one end token. Very long texts count whole; one text is held by one
+    task. Repeated rows count as often as they come. An empty table gives no rows; where
     nothing is learnt from, every word is unknown. Other columns are not looked at.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    model = fit(texts.filter(id_remainder("doc_id") != HELD_OUT).select("text"), model_dir)
+    model = fit(texts.filter(id_remainder("doc_id") != HELD_OUT).select("text"), model_dir, order)
     return score(texts, model).select(
         "doc_id", (id_remainder("doc_id") == HELD_OUT).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",

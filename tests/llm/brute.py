@@ -108,21 +108,11 @@ def mixture(rows: list[tuple[int | None, str | None, str | None]]) -> list[tuple
     ]
 
 
-def kneser_ney(rows: list[tuple[int | None, str | None]]) -> list[tuple]:
+def kneser_ney(rows: list[tuple[int | None, str | None]], order: int) -> list[tuple]:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
     def remainder(doc: int | None) -> int:
         return zlib.crc32(("" if doc is None else str(doc)).encode()) % 5
 
-    tokens = [[*words(lowered(text)), None] for _, text in rows]
-    learnt = [t for (doc, _), t in zip(rows, tokens) if remainder(doc) != 1]
-    counts = Counter(w for t in learnt for w in t)
-    pairs = Counter(p for t in learnt for p in zip(["\n", *t[:-1]], t))
-    heads = Counter(w for _, w in pairs)
-    leads, kinds = Counter(), defaultdict(lambda: [0, 0, 0])
-    for (before, _), n in pairs.items():
-        leads[before] += n
-        kinds[before][min(n, 3) - 1] += 1
-
     def discounts(of: Counter) -> list[float]:
         n = [sum(1 for v in of.values() if v == k) for k in (1, 2, 3, 4)]
         if not all(n):
@@ -130,20 +120,33 @@ def kneser_ney(rows: list[tuple[int | None, str | None]]) -> list[tuple]:
         y = n[0] / (n[0] + 2 * n[1])
         return [0] + [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.05), k - 0.05) for k in (1, 2, 3)]
 
-    total, distinct, types = sum(counts.values()), len(counts), len(pairs)
-    d, e = discounts(pairs), discounts(heads)
-    free = sum(e[min(v, 3)] for v in heads.values()) / types if types else 1.0
+    begin = ["\n"] * (order - 1)
+    tokens = [[*words(lowered(text)), None] for _, text in rows]
+    learnt = [t for (doc, _), t in zip(rows, tokens) if remainder(doc) != 1]
+    counts = Counter(w for t in learnt for w in t)
+    total, distinct = sum(counts.values()), len(counts)
+    grams = {order: Counter(tuple((begin + t)[i : i + order]) for t in learnt for i in range(len(t)))}
+    for k in range(order - 1, 0, -1):
+        grams[k] = Counter(g[1:] for g in grams[k + 1])
+    taken = {k: discounts(grams[k]) for k in grams}
+    sums, kinds = defaultdict(int), defaultdict(lambda: [0, 0, 0])
+    for k in grams:
+        for g, n in grams[k].items():
+            sums[g[:-1]] += n
+            kinds[g[:-1]][min(n, 3) - 1] += 1
+
+    def likely(gram: tuple) -> float:
+        k, context = len(gram), gram[:-1]
+        lower = likely(gram[1:]) if k > 1 else 1 / (distinct + 1)
+        if not sums[context]:
+            return lower
+        n = grams[k][gram]
+        free = sum(a * b for a, b in zip(kinds[context], taken[k][1:])) / sums[context]
+        return (n - taken[k][min(n, 3)]) / sums[context] + free * lower
+
     out = []
     for (doc, _), text in zip(rows, tokens):
-        score = 0.0
-        for before, w in zip(["\n", *text[:-1]], text):
-            lower = (heads[w] - e[min(heads[w], 3)]) / max(1, types) + free / (distinct + 1)
-            n = pairs[(before, w)]
-            if leads[before]:
-                mass = sum(a * b for a, b in zip(kinds[before], d[1:])) / leads[before]
-                score += math.log10((n - d[min(n, 3)]) / leads[before] + mass * lower)
-            else:
-                score += math.log10(lower)
+        score = sum(math.log10(likely(tuple((begin + text)[i : i + order]))) for i in range(len(text)))
         base = sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in text)
         out.append((doc, remainder(doc) == 1, len(text), sum(w in counts for w in text), total, base, score))
     return out

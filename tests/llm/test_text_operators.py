@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 import brute
 from marketflow.llm.bpe import decode_ids, encode_and_decode, piece_table, split_words
 from marketflow.llm.components import connected_components
-from marketflow.llm.lm import language_model_scores
+from marketflow.llm.lm import fit, language_model_scores, score, token_blocks
 from marketflow.llm.mixing import mix
 from marketflow.llm.quality import quality
 from marketflow.llm.repeats import removal_digests, sent_fragments, without_repeats
@@ -118,14 +118,50 @@ def test_mix_of_repeated_rows_empty_sources_and_nothing(spark):
     assert mix(table(spark, [])).collect() == []
 
 
-def test_language_model_matches_brute_force(spark, documents, tmp_path):
-    want = sorted(brute.kneser_ney([(d, t) for d, t, _ in documents]), key=lambda r: (r[0] is not None, r[0] or 0))
-    got = rows_of(language_model_scores(table(spark, documents), str(tmp_path / "model")))
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_language_model_matches_brute_force(spark, documents, tmp_path, monkeypatch, order):
+    monkeypatch.setattr("marketflow.llm.lm.GRAMS_AT_ONCE", 500)
+    monkeypatch.setattr("marketflow.llm.lm.TEXT_BYTES_PER_BUCKET", 2_000)
+    want = sorted(brute.kneser_ney([(d, t) for d, t, _ in documents], order), key=lambda r: (r[0] is not None, r[0] or 0))
+    got = rows_of(language_model_scores(table(spark, documents), str(tmp_path / "model"), order))
     assert [r[:5] for r in got] == [r[:5] for r in want]
     for n in (5, 6):
         assert [r[n] for r in got] == pytest.approx([r[n] for r in want], rel=1e-9)
 
 
+def test_language_model_of_small_blocks_gives_the_same(spark, documents):
+    texts = table(spark, documents).select("text")
+    whole, cut = fit(texts, tokens_per_block=10**6), fit(texts, tokens_per_block=50)
+    docs = table(spark, [(d, t, s) for d, t, s in documents if d is not None]).select("doc_id", "text")
+    got = [sorted((r["doc_id"], r["score"]) for r in score(docs, m, n).collect()) for m, n in ((whole, 10**6), (cut, 50))]
+    assert np.allclose([r[1] for r in got[0]], [r[1] for r in got[1]], rtol=1e-9)
+    assert [r[0] for r in got[0]] == [r[0] for r in got[1]]
+
+
+def test_language_model_adds_up_to_one_and_prefers_what_it_has_seen(spark):
+    texts = spark.createDataFrame([(prose(3, 40),)] * 3 + [("b a c a b a",), ("a c",)], "text string")
+    model = fit(texts)
+    vocabulary = sorted({w for (t,) in texts.collect() for w in t.split()})
+
+    def after(context: str) -> list[float]:
+        """Probabilities of every known word, of the end and of one unknown word after a context."""
+        blocks = token_blocks(iter(f"{context} {w}".encode() for w in [*vocabulary, "", "unseen"]), 10**6)
+        (block,) = blocks
+        logs = model.log_probabilities(block)[0]
+        last = np.cumsum(block.sizes) - 2
+        last[-2] += 1
+        return list(10 ** logs[last])
+
+    for context in ("b a", "a c", "unseen words", "c unseen", ""):
+        assert sum(after(context)) == pytest.approx(1.0, rel=1e-9)
+    assert after("b a")[vocabulary.index("c")] > after("c a")[vocabulary.index("c")]
+
+
+def test_language_model_refuses_an_order_below_one(spark):
+    with pytest.raises(ValueError, match="order"):
+        fit(spark.createDataFrame([("a",)], "text string"), order=0)
+
+
 def test_language_model_of_nothing_and_without_training(spark):
     assert language_model_scores(table(spark, [])).collect() == []
     held = next(d for d in range(100) if zlib.crc32(str(d).encode()) % 5 == 1)
