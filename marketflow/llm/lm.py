@@ -141,7 +141,7 @@ def _narrow(counts: np.ndarray) -> np.ndarray:
 
 
 def _split(level: int, bits: int, keys: np.ndarray, kind: bytes, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of arrays, one per bucket of ``keys``; keys are in order."""
+    """Rows of arrays, one per bucket of ``keys``; buckets are in order."""
     buckets = buckets_of(keys, bits).astype(np.int64)
     for a, b in runs(buckets):
         hashes = (x[a:b] for x in arrays if x.dtype == np.uint64)
@@ -164,7 +164,11 @@ def _count(levels: set[int], order: int, bits: int, most: int):
                 keys, first, counts = np.unique(grams, return_index=True, return_counts=True)
                 if level == 1:
                     yield from _split(1, bits, keys, WORDS, keys, counts)
-                elif level == order:
+                    continue
+                # Equal contexts lie side by side in a row: that packs better.
+                place = np.lexsort((contexts[first], buckets_of(keys, bits)))
+                keys, first, counts = keys[place], first[place], counts[place]
+                if level == order:
                     yield from _split(level, bits, keys, GRAMS, contexts[first], rests[first], counts)
                 else:
                     yield from _split(level, bits, keys, TYPES, contexts[first], rests[first])
