@@ -13,13 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import WORD, materialize
+from marketflow.llm.common import WORD, every_number, materialize
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 LEVELS, BITS = 3, 12
-#: Plans of up to so many sources (one row each) are broadcast; larger ones are joined.
-BROADCAST_SOURCES = 10_000
+#: Into so many parts each source is split where documents meet its threshold.
+SALTS = 32
 
 
 def word_count(text: str | Column) -> Column:
@@ -62,8 +62,17 @@ def source_targets(totals: DataFrame, weights: Sequence[int] = WEIGHTS, most: in
     return levels.select("source", "source_size", target.alias("target"))
 
 
-def _small(plan: DataFrame) -> DataFrame:
-    return F.broadcast(plan) if plan.count() <= BROADCAST_SOURCES else plan
+def _salted(plan: DataFrame) -> DataFrame:
+    """A plan with source ``of``, each row once per part of its source.
+
+    Spark broadcasts it where its measured size allows; where not, a source that holds most
+    documents is dealt to as many tasks as it has parts.
+    """
+    return plan.withColumn("_salt", every_number(SALTS))
+
+
+def _of_source(known: DataFrame) -> Column:
+    return F.col("source").eqNullSafe(known["of"]) & (F.pmod(F.col("hash"), F.lit(SALTS)) == known["_salt"])
 
 
 def mixing_plan(sized: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
@@ -80,10 +89,8 @@ def mixing_plan(sized: DataFrame, weights: Sequence[int] = WEIGHTS, most: int =
     plan = materialize(plan.withColumn("threshold", F.lit(0).cast("long")))
     for level in range(LEVELS):
         shift = (LEVELS - 1 - level) * BITS
-        known = _small(plan.select(F.col("source").alias("of"), "threshold"))
-        inside = F.col("source").eqNullSafe(F.col("of")) & (
-            F.shiftright("hash", shift + BITS) == F.shiftright("threshold", shift + BITS)
-        )
+        known = _salted(plan.select(F.col("source").alias("of"), "threshold"))
+        inside = _of_source(known) & (F.shiftright("hash", shift + BITS) == F.shiftright("threshold", shift + BITS))
         bucket = F.shiftright("hash", shift).alias("bucket")
         sums = sized.join(known, inside).groupBy("source", bucket).agg(F.sum("size").alias("words"))
         order = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -134,10 +141,10 @@ def with_hash(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
 def with_copies(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """``sized`` with ``source_size``, ``target`` and ``times``: how often the mix takes each row."""
-    known = _small(plan.withColumnRenamed("source", "of"))
+    known = _salted(plan.withColumnRenamed("source", "of"))
     times = F.col("copies") + (F.col("hash") < F.col("threshold")).cast("long")
-    joined = sized.join(known, sized["source"].eqNullSafe(known["of"]), "left")
-    return joined.withColumn("times", F.coalesce(times, F.lit(0))).drop("of", "copies", "threshold")
+    joined = sized.join(known, _of_source(known), "left")
+    return joined.withColumn("times", F.coalesce(times, F.lit(0))).drop("of", "_salt", "copies", "threshold")
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
