@@ -137,7 +137,8 @@ def threads(conversations: DataFrame) -> DataFrame:
     """Messages of linear conversations (``conv_id, turn, role, text``): each answers the one before.
 
     Turns go by number, nulls first; repeated turns all stay, in order of role and text. A
-    null ``conv_id`` is a conversation of its own. Other columns are not looked at.
+    null ``conv_id`` is a conversation of its own. Texts of any length count whole; an empty
+    table gives no rows. Other columns are not looked at.
     """
     rows = conversations.select("conv_id", "turn", "role", "text").withColumn("tree", _key("conv_id"))
     order = Window.partitionBy("tree").orderBy("turn", "role", "text")

@@ -21,8 +21,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
 
     Only ids whose crc32 modulo 5 is not 0 are looked at. They are chosen by hash of the id,
     so the choice does not depend on how the table is laid out. A document with several
-    labels counts by the largest; labels other than 0 and 1, and null ids, do not count. Also
-    returns how many documents each label has, for weighing the sample back.
+    labels counts by the largest, one with several texts by that of the smallest md5; labels
+    other than 0 and 1, and null ids, do not count. Also returns how many documents each label has, for weighing the sample back.
     """
     known = (
         labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (id_remainder("doc_id") != 0))
@@ -35,7 +35,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     # At most 2 * per_class rows of 20 bytes.
     few = F.broadcast(materialize(chosen[0].union(chosen[1])))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return materialize(texts.join(few, "doc_id").dropDuplicates(["doc_id"])), sizes
+    one = F.min_by("text", F.md5(F.col("text").cast("binary"))).alias("text")
+    sample = texts.join(few, "doc_id").groupBy("doc_id", "label", "order").agg(one)
+    return materialize(sample.select("doc_id", "text", "label", "order")), sizes
 
 
 def class_weights(labels: np.ndarray, sizes: dict[int, int]) -> np.ndarray:

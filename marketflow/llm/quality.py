@@ -2,8 +2,8 @@
 
 A document is the average of learned vectors, one per hashed word and per hashed character
 n-gram (3 and 4 bytes, not across words), with a softmax layer on top, trained by stochastic
-gradient descent in numpy. A word that repeats the one before it is written as one common
-token, as fixed word vectors could not tell repetition otherwise.
+gradient descent in numpy. A word that repeats the one before it, one space away, is written as one
+common token, as fixed word vectors could not tell repetition otherwise.
 
 Once trained, vectors and output layer collapse into one number per hash bucket, and a
 document's score is a mean of looked-up numbers: scoring is one pass over the bytes, needs
@@ -206,8 +206,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", per_
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row of ``docs``.
 
-    A null or blank text gets the share of label 1 among the labelled documents. Repeated
-    rows score alike; an empty table gives no rows; other columns are not looked at.
+    A null or blank text gets the share of label 1 among the labelled documents. Very long texts
+    count whole, a piece of 256 KB at a time. Repeated rows score alike; an empty table gives no rows; other columns are not looked at.
     """
     model = fit_quality(docs, labels)
     scored = append_scores(docs.select("doc_id", F.col("text").cast("string")), model.scores)

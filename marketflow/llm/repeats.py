@@ -537,8 +537,8 @@ def removal_digests(docs: DataFrame, **options) -> DataFrame:
 
     A null text is empty. A null id counts as smaller than any. Rows that share an id are told
     apart by their text, in the order of its hash; rows alike in both are one document, so
-    they remove nothing from each other and all lose what the document loses. An empty table
-    gives no rows; other columns are not looked at.
+    they remove nothing from each other and all lose what the document loses. Very long texts
+    count whole, matches in themselves included. An empty table gives no rows; other columns are not looked at.
     """
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -560,7 +560,8 @@ def removal_digests(docs: DataFrame, **options) -> DataFrame:
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with what repeats cut out of ``text``; a letter cut apart goes as a whole.
 
-    Rows stay, if with an empty text; a null text stays null. Other columns are handed on.
+    Rows stay, if with an empty text; a null text stays null; texts of any length and repeated
+    rows are treated as by ``removal_digests``. Other columns are handed on, whatever their names.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

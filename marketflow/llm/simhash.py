@@ -186,7 +186,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     13; a null text is empty, and texts without words share fingerprint 0. ``component_id``
     is the smallest id among all rows reachable over links; rows without an id get one as
     well but never lend theirs. Exact copies share one fingerprint and cost one row from
-    there on. Repeated rows are all returned. Other columns are not looked at.
+    there on. Repeated rows are all returned. Very long texts count whole, a task holding one
+    text at a time; an empty table gives no rows. Other columns are not looked at.
     """
     rows = materialize(fingerprints(docs, id_column, text_column))
     distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))

@@ -263,8 +263,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row of ``docs``.
 
-    A null text is empty and scores as a text in which no window gains. Without labels every
-    score is 0.5. Repeated rows score alike; an empty table gives no rows; other columns are
+    A null text is empty and scores as a text in which no window gains. Very long texts count
+    whole, 20,000 windows at a time. Without labels every score is 0.5. Repeated rows score alike; an empty table gives no rows; other columns are
     not looked at.
     """
     model = fit_toxicity(docs, labels)

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import xxhash
+import zstandard
 
 
 def words(text: str | None) -> list[str]:
@@ -152,6 +153,45 @@ def kneser_ney(rows: list[tuple[int | None, str | None]], order: int) -> list[tu
     return out
 
 
+def quality_score(model, text: str | None) -> float:
+    """The forward pass of a quality model: numbers of all words and n-grams averaged, then softmax of two."""
+    base, down, found, before = 0x9E3779B97F4A7C15, 32 - model.bits, [], None
+    for match in re.finditer(rb"[^\x20\x09-\x0D]+", (text or "").encode()):
+        word = match[0]
+        h = sum(b * pow(base, n, 1 << 64) for n, b in enumerate(word, 1)) % (1 << 64)
+        found.append(0 if (word, match.start() - 1) == before else (h ^ h >> 29) * base % (1 << 64) >> (64 - model.bits))
+        before, spaced = (word, match.end()), b" " + word + b" "
+        for n, seed, factor in ((3, 0, 2654435761), (4, 0x5BD1E995, 2246822519)):
+            for at in range(len(spaced) - n + 1):
+                gram = spaced[at : at + n]
+                if gram.strip(b" ") and len(gram.strip(b" ")) >= 2:
+                    hashed = (int.from_bytes(gram, "little") ^ seed) * factor % (1 << 32) >> down
+                    found.append(hashed + (1 << model.bits))
+    if not found:
+        return model.empty
+    return 1 / (1 + math.exp(-(sum(float(model.numbers[f]) for f in found) / len(found) + model.bias)))
+
+
+def toxicity_score(model, text: str | None, window: int = 48, stride: int = 24, level: int = 6) -> float:
+    """The score of a toxicity model, one window compressed at a time."""
+    settings = zstandard.ZstdCompressionParameters.from_level(level, write_content_size=0, write_checksum=0, write_dict_id=0)
+
+    def compressor(raw: bytes):
+        content = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return zstandard.ZstdCompressor(dict_data=content, compression_params=settings)
+
+    raw = b" " + re.sub(rb"[\t-\r]", b" ", lowered(text).encode()) + b" "
+    cut = [raw[a : a + window] for a in range(0, max(1, len(raw) - window + stride), stride)]
+    numbers = []
+    for pair in model.pairs:
+        ordinary, toxic = map(compressor, pair)
+        gains = [len(ordinary.compress(w)) - len(toxic.compress(w)) for w in cut]
+        numbers += [sum(max(g - least, 0) for g in gains) / math.sqrt(len(cut)) for least in (1, 2, 3, 5)]
+        numbers.append(max(-1, *gains) if len(gains) > 1 else max(-1, gains[0]))
+    numbers += [math.log1p(len(cut)), 1.0]
+    return 1 / (1 + math.exp(-sum(a * b for a, b in zip(numbers, model.curve.tolist()))))
+
+
 def nearest(rows: list[tuple[int, list[float]]], queries: set[int], k: int, scale: float | None = None) -> dict:
     """Query id to ``(id, score)`` lists, by inner product of (scaled and floored) vectors."""
     value = {i: np.floor(scale * np.array(v)) if scale else np.array(v, dtype=float) for i, v in rows}

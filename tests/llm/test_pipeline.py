@@ -65,6 +65,21 @@ def test_stages_take_awkward_rows(spark, stage):
         assert sorted(r["doc_id"] for r in out.collect()) == [1, 2, 4]
 
 
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_keep_columns_named_as_inside(spark, stage):
+    names = "_score,_row,key,hash,size,fp,source_size,target,times,copies,threshold,bucket,block,n_tokens,_salt,of".split(",")
+    text = "Some words that a document may hold, and then some more of them. " * 4
+    rows = [(1, text, "en", "a", 9, *names), (2, "other words, unlike those", "en", "b", 9, *names), (3, None, None, None, None, *names)]
+    docs = spark.createDataFrame(rows, SCHEMA + "".join(f", {n} string" for n in names))
+    plain = corpus_pipeline.STAGES[stage][1](spark, docs.drop(*names), DATA)
+    out = corpus_pipeline.STAGES[stage][1](spark, docs, DATA)
+    shown = plain.columns
+    assert Counter(tuple(r) for r in out.select(*shown).collect()) == Counter(tuple(r) for r in plain.collect())
+    if stage < 4:
+        assert out.columns == docs.columns
+        assert all(tuple(r) == tuple(names) for r in out.select(*names).collect())
+
+
 def test_near_duplicates_lose_no_other_text(spark):
     """Ids that repeat with other texts, rows without an id, and columns named as inside."""
     a, b, c = ("one two three four five six seven " * 9, "an unrelated text of its own, said once " * 8, "q w e r t y " * 9)

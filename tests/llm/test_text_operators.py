@@ -16,8 +16,9 @@ import brute
 from marketflow.llm.bpe import decode_ids, encode_and_decode, piece_table, split_words
 from marketflow.llm.components import connected_components
 from marketflow.llm.lm import fit, language_model_scores, score, token_blocks
-from marketflow.llm.mixing import mix
-from marketflow.llm.quality import quality
+from marketflow.llm.mixing import mix, mixing_plan, with_copies, with_hash
+from marketflow.llm.labels import labelled_sample
+from marketflow.llm.quality import fit_quality, quality
 from marketflow.llm.repeats import removal_digests, sent_fragments, without_repeats
 from marketflow.llm.simhash import fingerprint, link_runs, near_duplicates, similar_fingerprints
 from marketflow.llm.suffix import induced
@@ -291,6 +292,39 @@ def test_quality_of_held_out_documents(spark):
     assert check_scores(quality(docs, labels), ones, 360) >= 0.95
 
 
+AWKWARD = ["", None, " \t\n", "a", "a a a  a", "É ß 漢字\x0bx", "word " * 70 + prose(5, 40)]
+
+
+def test_quality_matches_a_plain_forward_pass(spark):
+    docs, labels, _ = labelled(spark, [prose(i, 60).upper() for i in range(40)], [prose(900 + i, 60) for i in range(40)], "quality")
+    model = fit_quality(docs, labels)
+    texts = [*AWKWARD, prose(1, 80).upper(), prose(2, 60_000)]
+    want = [brute.quality_score(model, t) for t in texts]
+    assert model.scores([(t or "").encode() for t in texts]) == pytest.approx(want, rel=1e-6)
+    assert len(texts[-1]) > 1 << 18 and len(set(want)) >= 6
+
+
+def test_toxicity_matches_windows_compressed_one_by_one(spark):
+    toxic = [prose(i, 60) + " zzvorkel xxqumbly " + prose(500 + i, 20) for i in range(60)]
+    docs, labels, _ = labelled(spark, [prose(900 + i, 80) for i in range(120)], toxic, "toxic")
+    model = fit_toxicity(docs, labels)
+    texts = [*AWKWARD, toxic[0], toxic[1].upper(), prose(2, 100_000)]
+    want = [brute.toxicity_score(model, t) for t in texts]
+    assert model.scores([(t or "").encode() for t in texts]) == pytest.approx(want, rel=1e-9)
+    assert len(texts[-1]) > 20_000 * 24
+
+
+def test_labelled_sample_takes_one_text_of_an_id_whatever_the_layout(spark):
+    ids = [d for d in range(40) if zlib.crc32(str(d).encode()) % 5]
+    labels = spark.createDataFrame([(d, d % 2) for d in ids], "doc_id long, quality int")
+    rows = [(d, prose(d + n, 5), "s") for d in ids for n in range(6)] + [(d, None, "s") for d in ids[:3]]
+    samples = []
+    for order, parts in ((rows, 1), (rows[::-1], 7)):
+        sample, sizes = labelled_sample(table(spark, order, parts), labels, "quality", 100)
+        samples.append(sorted(tuple(r) for r in sample.collect()))
+    assert samples[0] == samples[1] and [s[0] for s in samples[0]] == ids and sum(sizes.values()) == len(ids)
+
+
 def test_quality_without_labels_or_documents(spark):
     empty = spark.createDataFrame([], "doc_id long, quality int")
     assert {r["score"] for r in quality(table(spark, [(1, "a", "s"), (2, None, "s")]), empty).collect()} == {0.5}
@@ -342,3 +376,20 @@ def test_mix_of_rows_that_share_an_id_or_are_repeated(spark):
         for size in {r[2:4] for r in got}:
             taken = sum(r[4] for r in got if r[2:4] == size)
             assert abs(taken - size[1]) <= 50
+
+
+def test_mix_of_more_sources_than_are_broadcast(spark):
+    """Thresholds meet documents by source and part of it; a source that holds most is no single task."""
+    rows = [(n, prose(n, 5 + n % 9), f"s{n % 90}" if n % 3 else "hot") for n in range(900)]
+    want = Counter(brute.mixture([(d, s, t) for d, t, s in rows]))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = table(spark, rows)
+        assert Counter(tuple(r) for r in mix(docs).collect()) == want
+        sized = with_hash(docs.select("doc_id", "source", "text"))
+        joined = with_copies(sized, mixing_plan(sized))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan.split("LeftOuter")[-2].rsplit("\n", 1)[-1] and "_salt" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
