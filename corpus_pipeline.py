@@ -20,9 +20,17 @@ from marketflow.llm.simhash import chosen_keys
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier predicts as label 1 (op 2); others go."""
+    """Documents that the quality classifier predicts as label 1 (op 2); others go.
+
+    Null and blank texts score as the share of label 1 among labelled documents; very long texts
+    count whole; repeated rows stay or go together; columns of any name are kept; an empty table
+    stays empty.
+    """
     model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return append_scores(docs, model.scores, "_score").filter(F.col("_score") >= THRESHOLD).drop("_score")
+    score = "_score"
+    while score in (c.lower() for c in docs.columns):
+        score = "_" + score
+    return append_scores(docs, model.scores, score).filter(F.col(score) >= THRESHOLD).drop(score)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,13 +50,21 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 100 bytes that also start earlier are cut out of texts (op 10); all documents stay."""
+    """Passages of 100 bytes that also start earlier are cut out of texts (op 10); all documents stay.
+
+    A null text stays null; very long texts count whole; of repeated rows all lose the same; an
+    empty table stays empty.
+    """
     cut = without_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources brought to their targets (op 4): documents left out go, repeated ones come again."""
+    """Sources brought to their targets (op 4): documents left out go, repeated ones come again.
+
+    A null source is one of its own; null and blank texts add no words and may come any number of
+    times up to three; rows that share an id are taken each on its own; an empty table stays empty.
+    """
     sized = with_hash(docs.withColumn("_row", F.struct(*docs.columns)).select("_row", "doc_id", "source", "text"))
     numbers = materialize(sized.select("source", "size", "hash"))
     taken = with_copies(sized, mixing_plan(numbers)).filter("times > 0")
@@ -56,7 +72,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that the mix holds, by digest (op 9)."""
+    """Token ids of every document that the mix holds, by digest (op 9).
+
+    A null text has no tokens; very long texts are encoded whole; repeated rows are all returned;
+    other columns are not looked at; an empty table gives no rows.
+    """
     return encode_and_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
