@@ -38,12 +38,7 @@ WHITE = r"\x09-\x0D \x85\xA0  -     　"
 WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE}\p{{L}}\p{{N}}]+")
 
 WORDS_PER_BLOCK = 4_000_000
-#: Buckets of distinct words: at least so many, and one per so many bytes of text. A task encodes some of them in turn.
-LEAST_BUCKETS = 256
-BYTES_PER_BUCKET = 4 << 20
-BYTES_PER_TASK = 32 << 20
-#: Blocks are put together by more tasks, as one block is all that a task holds.
-TASKS_OF_BLOCKS = 4
+BUCKETS = 256
 LEVEL = 9
 WORDS_AT_ONCE = 20_000
 
@@ -249,22 +244,18 @@ def _digests():
 
 
 def encode_and_decode(
-    docs: DataFrame, tokenizer_path: str, words_per_block: int = WORDS_PER_BLOCK, buckets: int | None = None
+    docs: DataFrame, tokenizer_path: str, words_per_block: int = WORDS_PER_BLOCK, buckets: int = BUCKETS
 ) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row of ``docs``.
 
     A null text is empty; very long texts are encoded whole; repeated rows are all returned; an
-    empty table gives no rows; other columns are not looked at. Buckets and tasks grow with the
-    bytes of all texts, so that what one of them holds does not. The tokenizer file is read on every worker.
+    empty table gives no rows; other columns are not looked at. The tokenizer file is read on every worker.
     """
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    buckets = buckets or max(LEAST_BUCKETS, size // BYTES_PER_BUCKET)
-    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, size // BYTES_PER_TASK)
     blocks = materialize(texts.mapInArrow(_blocks(words_per_block, buckets), BLOCKS_DDL))
     asked = blocks.filter("bucket IS NOT NULL").select("bucket", "block", "steps", "words")
     ids = (
-        asked.repartition(tasks, "bucket")
+        asked.repartition("bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_encoded(tokenizer_path), IDS_DDL)
     )
@@ -273,7 +264,7 @@ def encode_and_decode(
     known = joined.mapInArrow(tidy(_with_packed_pieces), PIECES_DDL)
     positions = blocks.filter("bucket IS NULL").select("block", "docs", "sizes", "positions")
     both = positions.unionByName(known, allowMissingColumns=True)
-    return both.repartition(TASKS_OF_BLOCKS * tasks, "block").groupBy("block").applyInArrow(
+    return both.groupBy("block").applyInArrow(
         _digests(), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
 
