@@ -46,8 +46,14 @@ def amount(value: Column | str | int | float, scale: int = 8) -> Column:
 
 
 def plain_text(number: Column, scale: int) -> Column:
-    """A decimal in plain digits; outside ANSI mode a cast writes those below 1E-6 with an exponent."""
-    return F.call_function("format_number", number, F.lit("0." + "0" * scale))
+    """A decimal in plain digits; outside ANSI mode a cast writes those below 1E-6 with an exponent.
+
+    A cast takes a fraction of the time of ``format_number``, which is left with those few.
+    """
+    digits = number.cast("string")
+    return F.when(~F.contains(digits, F.lit("E")), digits).otherwise(
+        F.call_function("format_number", number, F.lit("0." + "0" * scale))
+    )
 
 
 def text(value: Column | str | int | float, scale: int = 8) -> Column:

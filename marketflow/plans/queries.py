@@ -46,7 +46,7 @@ from marketflow.sources.bucketed import create_bucketed_klines, insert_bucketed,
 from marketflow.sources.lookup import lookup_rows, summarize_files
 from marketflow.sources.numbered import NumberedTopics
 from marketflow.sources.published import publish_table, read_published
-from marketflow.sources.topics import FileTopics
+from marketflow.sources.topics import ROW_GROUP, ROW_GROUP_BYTES, FileTopics
 from marketflow.sources.work import new_work_dir
 from marketflow.streaming import Pipeline
 from marketflow.streaming.jobs import DEAD_LETTERS, start_direct
@@ -72,6 +72,12 @@ def _rows(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return adapters.read_rows(spark, sf_dir, table)
 
 
+def _stored_events(spark: SparkSession, sf_dir: str, root: str, files: int) -> None:
+    """The events in a number of files, each of which many tasks can share."""
+    parts = _rows(spark, sf_dir, "events").repartition(files)
+    parts.write.option(ROW_GROUP, ROW_GROUP_BYTES).parquet(f"{root}/events.parquet")
+
+
 def trades_normalized(spark, sf_dir):
     return comparable(raw_to_rows(adapters.trades(_rows(spark, sf_dir, "events")), "trade", "partition"))
 
@@ -342,7 +348,7 @@ def stream_resumed(spark, sf_dir):
 def stream_rate_limited(spark, sf_dir):
     """Two kinds at once, a file per micro-batch at every stage."""
     root = new_work_dir(spark)
-    _rows(spark, sf_dir, "events").repartition(4).write.parquet(f"{root}/events.parquet")
+    _stored_events(spark, sf_dir, root, 4)
     topics = FileTopics(f"{root}/raw", files_per_trigger=1)
     pipeline = Pipeline(spark, ["trade", "depth"], root, topics, topics)
     pipeline.route(adapters.mixed(adapters.stream_rows(spark, root, "events", 1))).awaitTermination()
@@ -481,7 +487,7 @@ def trades_lookup(spark, sf_dir):
 def stream_metrics(spark, sf_dir):
     """What the load of faulty trades counted by itself: rows, rejected rows, and each fault, over its micro-batches."""
     root = new_work_dir(spark)
-    _rows(spark, sf_dir, "events").repartition(3).write.parquet(f"{root}/events.parquet")
+    _stored_events(spark, sf_dir, root, 3)
     topics = FileTopics(f"{root}/raw", files_per_trigger=2)
     pipeline = Pipeline(spark, ["trade"], root, topics, topics)
     pipeline.route(adapters.faulty_trades(adapters.stream_rows(spark, root, "events"))).awaitTermination()
@@ -497,7 +503,7 @@ def stream_metrics(spark, sf_dir):
 def stream_klines_state(spark, sf_dir):
     """Candlesticks routed by a stream and kept as state by another, a file per micro-batch."""
     root = new_work_dir(spark)
-    _rows(spark, sf_dir, "events").repartition(4).write.parquet(f"{root}/events.parquet")
+    _stored_events(spark, sf_dir, root, 4)
     topics = FileTopics(f"{root}/raw", files_per_trigger=1)
     pipeline = Pipeline(spark, ["kline_1h"], root, topics, topics)
     pipeline.route(adapters.klines(adapters.stream_rows(spark, root, "events"))).awaitTermination()

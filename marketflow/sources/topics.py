@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Callable, Mapping
+import threading
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -22,6 +24,11 @@ from marketflow.schemas import kind_of
 
 RECORD_COLUMNS = ("key", "partition", "offset", "value")
 
+#: Spark splits files between row groups: with small ones many tasks share a micro-batch of one large file.
+ROW_GROUP = "parquet.block.size"
+ROW_GROUP_BYTES = 2 << 20
+_STARTING = threading.Lock()
+
 #: An offset for every partition, or one each; partitions that are not named are not bounded.
 Offsets = int | Mapping[int, int]
 
@@ -50,6 +57,23 @@ BUSY = Rate(1000, "500 milliseconds")
 QUIET = Rate(10, "1 second")
 
 
+@contextmanager
+def small_row_groups(spark: SparkSession) -> Iterator[None]:
+    """Queries started meanwhile write files of small row groups, unless the session says otherwise.
+
+    The file sink takes their size from the session when it starts, not from its writer's options.
+    """
+    with _STARTING:
+        if spark.conf.get(ROW_GROUP, None) is not None:
+            yield
+            return
+        spark.conf.set(ROW_GROUP, ROW_GROUP_BYTES)
+        try:
+            yield
+        finally:
+            spark.conf.unset(ROW_GROUP)
+
+
 def published_rate(endpoint: str) -> Rate:
     return BUSY if kind_of(endpoint).name in ("trade", "aggTrade") else QUIET
 

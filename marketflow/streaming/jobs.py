@@ -28,7 +28,7 @@ from marketflow.operators.route import DEFAULT_PARTITIONS
 from marketflow.operators.validate import REASON
 from marketflow.schemas import EVENT_MS, Kind, distinct_kinds, kind_of
 from marketflow.sources.tables import partition_columns, table_rows
-from marketflow.sources.topics import FileTopics, KafkaTopics, Rate
+from marketflow.sources.topics import FileTopics, KafkaTopics, Rate, small_row_groups
 from marketflow.sources.work import claim_stream_folder
 from marketflow.streaming.metrics import observed
 from marketflow.streaming.supervise import Outcome, supervise
@@ -53,9 +53,9 @@ def _start(
         claim_stream_folder(spark, folder, checkpoint)
     # Names of running queries differ within a session; so do checkpoints.
     writer = writer.option("checkpointLocation", checkpoint).queryName(f"{name} {checkpoint}")
-    if not live:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=rate.interval if rate else "0 seconds").start()
+    every = {"processingTime": rate.interval if rate else "0 seconds"} if live else {"availableNow": True}
+    with small_row_groups(spark):
+        return writer.trigger(**every).start()
 
 
 def source_limits(rate: Rate | None) -> dict:

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from marketflow import Subscriptions, latest_klines, normalize
 from marketflow.operators.latest import VERSION
 from marketflow.plans.batch import backfill, raw_to_rows
 from marketflow.sources import FileTopics, KafkaTopics, Rate, published_rate, read_quarantine, read_table
 from marketflow.streaming import Pipeline, await_any, start_direct, start_routing, supervise
+from marketflow.streaming.jobs import _start
 from test_messages import ALL, DEPTH, KLINE, T0, TRADE
 
 SCHEMA = "value string, offset bigint"
@@ -112,6 +115,22 @@ def test_one_file_per_batch_gives_the_same_rows(spark, tmp_path, feed):
     assert sorted(ids) == sorted(10 * i + j for i in range(4) for j in range(3))
 
 
+def test_tasks_share_a_large_file_of_a_topic(spark, tmp_path):
+    many = spark.range(0, 120_000, 1, 1).select(
+        F.lit("trade_raw").alias("topic"), F.lit(0).alias("partition"), F.sha2(F.col("id").cast("string"), 256).alias("value"), F.col("id").alias("offset")
+    )
+    many.write.parquet(str(tmp_path / "feed"))
+    topics, root = FileTopics(str(tmp_path / "raw")), str(tmp_path)
+    stream = spark.readStream.schema(many.schema).parquet(f"{root}/feed")
+    before = spark.conf.get("parquet.block.size", None)
+    query = _start(spark, topics.writer(stream), topics.sink_folder(), f"{root}/checkpoint", "copy", False)
+    query.awaitTermination()
+    assert spark.conf.get("parquet.block.size", None) == before
+    groups = [pq.ParquetFile(f).num_row_groups for f in (tmp_path / "raw").rglob("*.parquet")]
+    assert sum(groups) > 2 * len(groups)
+    assert sorted(r.offset for r in topics.read(spark, "trade_raw").select("offset").collect()) == list(range(120_000))
+
+
 def test_dead_letters_and_subscriptions(spark, tmp_path, feed):
     feed.send(TRADE, DEPTH, {**TRADE, "s": "OTHER"}, "junk")
     topics = FileTopics(str(tmp_path / "all"))
