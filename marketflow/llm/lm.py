@@ -113,7 +113,7 @@ def token_blocks(texts: Iterator[bytes], most: int) -> Iterator[TokenBlock]:
     for text in texts:
         words = text.lower().split()
         found = np.empty(len(words) + 1, dtype=np.uint64)
-        found[:-1] = [digest(w) for w in words]
+        found[:-1] = np.fromiter(map(digest, words), dtype=np.uint64, count=len(words))
         found[-1] = END
         held.append(found)
         sizes.append(len(found))
@@ -399,7 +399,7 @@ class Model:
     discounts: list[np.ndarray]
 
     def _looked_up(self, level: int, keys: np.ndarray) -> np.ndarray:
-        """Columns of n-grams by their distinct hashes, zeros where there are none, read from memory-mapped arrays."""
+        """Columns of n-grams by their hashes, zeros where there are none, read from memory-mapped arrays."""
         out = np.zeros((1 if level == self.order else 5, len(keys)), dtype=np.int64)
         buckets = gram_buckets(keys, level, self.bits)
         order = np.argsort(buckets, kind="stable")
@@ -434,7 +434,10 @@ class Model:
             if level > 1:
                 grams = pair_keys(block.shifted(grams, BEGIN), ends)
             # Start marks have the key 0, however many.
-            known, at = np.unique(np.append(grams, np.uint64(BEGIN)), return_inverse=True)
+            if level > 1:
+                known, at = np.unique(np.append(grams, np.uint64(BEGIN)), return_inverse=True)
+            else:
+                known, at = np.append(numbers, np.uint32(BEGIN)).astype(np.uint64), np.append(token, len(numbers))
             columns = self._looked_up(level, known)
             token = at[:-1]
             above = columns[0] - self.discounts[level][np.minimum(columns[0], 3)]
